@@ -1,16 +1,17 @@
 """Word counts, top lists, keyword write-back and pooled frequencies."""
 
-import pandas as pd
 from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hubbub.functions.text import sentences
 from hubbub.functions.times import in_range, parse_wall
 from hubbub.operators.filters import content_words, term_array
+from hubbub.operators.joins import fits_broadcast
 from hubbub.operators.ranking import top_per_group
 from hubbub.operators.segment import Dictionary, cut
-from hubbub.operators.joins import fits_broadcast
 from hubbub.sources.lexicon import STOP_WORDS
 
 TOP_WORDS = 50
@@ -59,9 +60,9 @@ def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WO
     @F.pandas_udf("array<array<struct<word:string,pos:string>>>")
     def cut_units(column: pd.Series) -> pd.Series:
         known = dictionary.value
+        blocks = known.cutter()
         return column.map(lambda units: [
-            [{"word": w, "pos": known.tag(w, "x")} for s in unit for w in cut(s, known.at, known.log_total)]
-            for unit in units
+            [{"word": w, "pos": known.tag(w, "x")} for s in unit for w in cut(s, blocks)] for unit in units
         ])
 
     @F.pandas_udf(_DONE)

@@ -23,6 +23,15 @@ def top_per_group(df, keys, order, n, rank="rank", spread=64):
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
 
 
+def cap_comments(comments, key, order, cap, page=None):
+    """At most ``cap`` comments per article in ``order``.
+
+    With ``page`` the cap is met page by page: pages are taken until more than ``cap`` rows came.
+    """
+    n = cap if page is None else (cap // page + 1) * page
+    return top_per_group(comments, [key], order, n, rank="_rank").drop("_rank")
+
+
 def number_rows(df, order, name="number"):
     """Number all rows from 1 in a total order, without one task seeing all rows.
 
@@ -45,3 +54,29 @@ def number_rows(df, order, name="number"):
 def first_match(items, keep):
     """First element of an ordered array that satisfies ``keep``, else NULL."""
     return F.get(F.filter(items, keep), F.lit(0))
+
+
+def grouped_median(df, keys, value, name="median", tolerance=10_000):
+    """Exact median per group without holding a group's values in memory.
+
+    A mergeable quantile sketch brackets the middle, rows below the bracket are only counted, and
+    just the rows inside it (about 6/tolerance of a group, or repeats of one value, which are
+    counted together) are ranked.
+    """
+    v, edge = F.col(value), 3.0 / tolerance
+    rows = df.where(v.isNotNull())
+    sketch = F.percentile_approx(v, [max(0.0, 0.5 - edge), min(1.0, 0.5 + edge)], tolerance)
+    ends = rows.groupBy(*keys).agg(sketch.alias("_ends"), F.count(F.lit(1)).alias("_n"))
+    placed = rows.select(*keys, v.alias("_v")).join(ends, keys)
+    low, high = F.get("_ends", F.lit(0)), F.get("_ends", F.lit(1))
+    # Below the bracket everything collapses to one value per group; above it is not needed.
+    # The sketch is only off by 1/tolerance of the rows, but small groups are kept whole.
+    inside = (F.col("_v") <= high) | (F.col("_n") < tolerance)
+    kept = placed.where(inside).withColumn("_v", F.when(F.col("_v") >= low, F.col("_v")))
+    counts = kept.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"))
+    upto = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first())
+    ranked = counts.withColumn("_to", F.sum("_c").over(upto)).withColumn("_from", F.col("_to") - F.col("_c"))
+    lower, upper = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+    def at(rank):
+        return F.max(F.when((F.col("_from") < rank) & (F.col("_to") >= rank), F.col("_v")))
+    return ranked.groupBy(*keys).agg(((at(lower) + at(upper)) / 2).alias(name))

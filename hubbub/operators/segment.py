@@ -1,6 +1,7 @@
 """Dictionary word segmentation: the most probable path through the dictionary words of a sentence."""
 
 import re
+from functools import lru_cache
 from math import log
 
 import pandas as pd
@@ -17,30 +18,31 @@ _HAN = re.compile(r"([一-鿕]+)")
 _RUN = re.compile(r"([a-zA-Z0-9]+(?:\.\d+)?%?)")
 
 
-def cut(sentence, words_at, log_total):
-    """Words of a sentence. ``words_at(block, start)`` yields (end, weight) of dictionary words.
+def cut(sentence, cut_block):
+    """Words of a sentence; characters that cannot be part of a word stand alone."""
+    out = []
+    for block in _BLOCK.split(sentence):
+        out.extend(cut_block(block) if _BLOCK.match(block) else block)
+    return out
+
+
+def cut_block(block, words_at, log_total):
+    """Words of a block. ``words_at(block, start)`` yields (end, weight) of dictionary words.
 
     Characters in no dictionary word stay single, but Latin and digit runs are kept whole.
     """
-    out = []
-    for block in _BLOCK.split(sentence):
-        if not block:
-            continue
-        if not _BLOCK.match(block):
-            out.extend(block)
-            continue
-        ends = _best_ends(block, words_at, log_total)
-        loose, at = "", 0
-        while at < len(block):
-            end = ends[at]
-            if end - at == 1:
-                loose += block[at]
-            else:
-                out.extend(_loose_parts(loose))
-                out.append(block[at:end])
-                loose = ""
-            at = end
-        out.extend(_loose_parts(loose))
+    out, loose, at = [], "", 0
+    ends = _best_ends(block, words_at, log_total)
+    while at < len(block):
+        end = ends[at]
+        if end - at == 1:
+            loose += block[at]
+        else:
+            out.extend(_loose_parts(loose))
+            out.append(block[at:end])
+            loose = ""
+        at = end
+    out.extend(_loose_parts(loose))
     return out
 
 
@@ -49,9 +51,12 @@ def _best_ends(block, words_at, log_total):
     n = len(block)
     score, ends = [0.0] * (n + 1), [0] * n
     for at in range(n - 1, -1, -1):
-        options = {at + 1: 1.0}
-        options.update(words_at(block, at))
-        score[at], ends[at] = max((log(w) - log_total + score[end], end) for end, w in options.items())
+        best, best_end = score[at + 1] - log_total, at + 1
+        for end, weight in words_at(block, at):
+            gain = log(weight) - log_total + score[end]
+            if gain >= best:
+                best, best_end = gain, end
+        score[at], ends[at] = best, best_end
     return ends
 
 
@@ -71,6 +76,10 @@ class Dictionary:
         self.prefixes = {word[:i] for word in self.words for i in range(1, len(word) + 1)}
         self.log_total = log(sum(w for w, _ in self.words.values()) or 1.0)
 
+    def cutter(self):
+        """Block cutter that remembers the blocks it met last."""
+        return lru_cache(maxsize=1 << 16)(lambda block: cut_block(block, self.at, self.log_total))
+
     def at(self, block, start):
         for end in range(start + 1, len(block) + 1):
             part = block[start:end]
@@ -107,9 +116,9 @@ def _by_broadcast(units, dictionary, default_tag):
     @F.pandas_udf(TAGGED)
     def run(column: pd.Series) -> pd.Series:
         known = shared.value
+        blocks = known.cutter()
         return column.map(lambda parts: [
-            {"word": w, "pos": known.tag(w, default_tag)}
-            for part in parts for w in cut(part, known.at, known.log_total)
+            {"word": w, "pos": known.tag(w, default_tag)} for part in parts for w in cut(part, blocks)
         ])
 
     return units.withColumn("tagged", run(sentences("text")))
@@ -149,7 +158,7 @@ def _cut_found(parts, hits, log_total, default_tag):
 
     return [
         {"word": w, "pos": tags.get(w) or default_tag}
-        for part in parts for w in cut(part, words_at, log_total)
+        for part in parts for w in cut(part, lambda block: cut_block(block, words_at, log_total))
     ]
 
 

@@ -1,17 +1,16 @@
 """Keyword hits in articles and comments, and their volume by day and hour."""
 
-import re
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hubbub.functions.times import in_range
+from hubbub.operators.ranking import grouped_median
 
 HOURS = list(range(24))
 
+# "median" is handled apart: the built-in exact one holds a whole group in memory.
 AGGREGATES = {
-    "sum": F.sum, "mean": F.avg, "median": F.median, "max": F.max,
-    "min": F.min, "std": F.stddev_samp, "len": F.count,
+    "sum": F.sum, "mean": F.avg, "max": F.max, "min": F.min, "std": F.stddev_samp, "len": F.count,
 }
 
 
@@ -52,20 +51,22 @@ def keyword_hits(articles, comments, keywords, start, end, literal=False):
     )
 
 
-def _aggregate(how, value):
-    return AGGREGATES[how](value)
+def _aggregated(df, keys, how, name):
+    if how == "median":
+        return grouped_median(df, keys, "comment_count", name)
+    return df.groupBy(*keys).agg(AGGREGATES[how]("comment_count").alias(name))
 
 
 def volume_by_day(df, how="sum"):
     """Volume by day of month."""
-    day = F.dayofmonth("publish_time").alias("day")
-    return df.groupBy(day).agg(_aggregate(how, "comment_count").alias("comment_count")).orderBy("day")
+    days = df.withColumn("day", F.dayofmonth("publish_time"))
+    return _aggregated(days, ["day"], how, "comment_count").orderBy("day")
 
 
 def volume_cells(df, how="sum"):
     """Volume by date and hour, long form."""
-    keys = [F.to_date("publish_time").alias("date"), F.hour("publish_time").alias("hour")]
-    return df.groupBy(*keys).agg(_aggregate(how, "comment_count").alias("n"))
+    cells = df.withColumn("date", F.to_date("publish_time")).withColumn("hour", F.hour("publish_time"))
+    return _aggregated(cells.where(F.col("date").isNotNull()), ["date", "hour"], how, "n")
 
 
 def heatmap(df, fill="all", hours="full", how="sum"):
@@ -75,13 +76,13 @@ def heatmap(df, fill="all", hours="full", how="sum"):
     0 in every gap; ``'missing_hours'`` only in hours that occur on no date at all, leaving the
     other gaps NULL.
     """
-    keys = df.withColumn("date", F.to_date("publish_time")).withColumn("hour", F.hour("publish_time"))
+    cells = volume_cells(df, how)
     if hours == "observed":
-        found = keys.where(F.col("hour").isNotNull()).select("hour").distinct().collect()  # at most 24
-        columns = sorted(r["hour"] for r in found)
+        columns = sorted(r["hour"] for r in cells.select("hour").distinct().collect())  # at most 24
     else:
         columns = HOURS
-    table = keys.where(F.col("date").isNotNull()).groupBy("date").pivot("hour", columns).agg(_aggregate(how, "comment_count"))
+    # One row per date and hour by now: spread the hours over columns with a second small aggregate.
+    table = cells.groupBy("date").agg(*[F.max(F.when(F.col("hour") == h, F.col("n"))).alias(str(h)) for h in columns])
     names = [str(h) for h in columns]
     if fill == "all":
         table = table.na.fill(0, names)

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Whole pages and texts travel in Arrow batches: keep a batch to some tens of megabytes.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }
 
 

@@ -22,28 +22,31 @@ def _with_terms(df):
     ])
 
 
-def _reader(spark, mode, schema):
+def _reader(spark, mode, schema, lines):
     return (
-        spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", "*.json")
+        spark.read.schema(schema).option("multiLine", not lines).option("pathGlobFilter", "*.json")
         .option("recursiveFileLookup", False).option("mode", mode)
         .option("columnNameOfCorruptRecord", CORRUPT)
     )
 
 
-def read_articles(spark, path):
-    """Scan a folder of article files, one JSON object each; any malformed file ends the run."""
-    df = _reader(spark, "FAILFAST", ARTICLE_JSON).json(path)
+def read_articles(spark, path, lines=False):
+    """Scan a folder of article files, one JSON object each; any malformed file ends the run.
+
+    ``lines`` reads the bulk form with one article per line, which splits and compacts well.
+    """
+    df = _reader(spark, "FAILFAST", ARTICLE_JSON, lines).json(path)
     return _with_terms(df.withColumn("source_filename", F.col("_metadata.file_name")))
 
 
-def read_articles_tolerant(spark, path):
-    """As ``read_articles``, but malformed files are set aside.
+def read_articles_tolerant(spark, path, lines=False):
+    """As ``read_articles``, but malformed files (or lines) are set aside.
 
     Returns (articles, rejected); ``rejected`` holds file name and text. Both come from the same
     scan definition, so a bad file is in exactly one of them.
     """
     schema = T.StructType(ARTICLE_JSON.fields + [T.StructField(CORRUPT, T.StringType())])
-    df = _reader(spark, "PERMISSIVE", schema).json(path).withColumn("source_filename", F.col("_metadata.file_name"))
+    df = _reader(spark, "PERMISSIVE", schema, lines).json(path).withColumn("source_filename", F.col("_metadata.file_name"))
     good = _with_terms(df.where(F.col(CORRUPT).isNull()).drop(CORRUPT))
     rejected = df.where(F.col(CORRUPT).isNotNull()).select("source_filename", F.col(CORRUPT).alias("content"))
     return good, rejected
@@ -67,12 +70,12 @@ def write_articles(articles, path, key="article_url", order="seq", form="parquet
     """Write one article per key, the last one in task order winning, in one folder per category.
 
     ``key='article_url'`` loses nothing; ``key='output_name'`` keeps one article per file name.
-    Files per category follow the data size: rows are spread before the write so that a large
-    category is written by many tasks, not by one.
+    Rows are rebalanced by category before the write: a small category becomes few files, a
+    large one is split over many tasks.
     """
     kept = last_per_key(articles, [key], [order])
     out = article_json(kept) if form == "json" else kept
-    out.write.mode("overwrite").partitionBy("article_category").format(form).save(path)
+    out.hint("rebalance", F.col("article_category")).write.mode("overwrite").partitionBy("article_category").format(form).save(path)
 
 
 def write_by_method(articles, path, form="parquet"):
