@@ -79,7 +79,7 @@ def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WO
         F.array(F.coalesce("content_raw", F.lit(""))),
         F.transform(F.coalesce("comments", no_comments), lambda c: F.coalesce(c["comment_content"], F.lit(""))),
     )
-    pieces = F.transform(texts, sentences)
+    pieces = F.transform(texts, lambda text: sentences(text))
     if segmented:
         keep = content_words if method == "ckip" else (lambda unit: term_array(F.transform(unit, lambda t: t["word"]), stop))
         tagged = articles.withColumn("_tagged", cut_units(pieces))

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 from hubbub.schemas import ARTICLE_JSON
 
 
-def article_stream(spark, path):
-    """New article files of a folder as a stream."""
+def article_stream(spark, path, lines=False):
+    """New article files of a folder as a stream; ``lines`` for many articles per file."""
     return (
-        spark.readStream.schema(ARTICLE_JSON).option("multiLine", True)
+        spark.readStream.schema(ARTICLE_JSON).option("multiLine", not lines)
         .option("pathGlobFilter", "*.json").json(path)
     )
 
