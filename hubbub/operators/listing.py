@@ -11,12 +11,10 @@ from pyspark.sql import functions as F
 from hubbub.functions.times import post_date, previous_year_if_future
 from hubbub.operators.ranking import top_per_group
 
-_PLACE = F.struct(F.col("page_seq").alias("page_seq"), (-F.col("pos")).alias("pos_back"))
-
-
 def valid_entries(entries):
     """Entries that link to a post, with their newest-first place."""
-    return entries.where(F.col("url").isNotNull()).withColumn("place", _PLACE)
+    place = F.struct(F.col("page_seq").alias("page_seq"), (-F.col("pos")).alias("pos_back"))
+    return entries.where(F.col("url").isNotNull()).withColumn("place", place)
 
 
 def date_entries(entries, year, as_of):

@@ -1,17 +1,17 @@
 """Social pages, news pages and API payloads built from rows, and their way back."""
 
-from functools import partial
-
 from pyspark.sql import functions as F
 
-from hubbub.operators.ranking import first_match  # noqa: F401
 from hubbub.operators.units import explode_comments
 from hubbub.plans import listings, social
 from workload.base import query, table, texts
 from workload.forum import escape, lines_of
 
 NEWS = "https://news.example.org"
-_first = partial(F.get, lines_of(), F.lit(0))
+
+
+def _first():
+    return F.get(lines_of(), F.lit(0))
 
 
 def _meta(name, content):
@@ -228,7 +228,8 @@ def card_list(spark, sf_dir):
     return listings.new_cards(found, ["page_seq", "pos"]).select("title", "reactions", "comments", "page_seq")
 
 
-@query(r"""select page_id, trim(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&amp;', '&')) as article_title, url as article_url,
+@query(r"""select page_id, trim(regexp_replace(replace(replace(replace(replace(
+    regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&quot;', '"'), '&#x27;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g')) as article_title, url as article_url,
   '' as content_raw, 'ok' as status from pages""")
 def html_titles(spark, sf_dir):
     """Headings of the given pages; their text is not in a news body."""
