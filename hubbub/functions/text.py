@@ -53,7 +53,7 @@ def is_digits(c):
 def is_term(c):
     """A word worth counting: longer than one character, not blank, not a number."""
     c = _col(c)
-    return (F.char_length(c) > 1) & ~c.rlike(f"^{WS}*$") & ~is_digits(c)
+    return (F.char_length(c) > 1) & ~c.rlike(f"^({WS}*|[{DIGIT_SET}]+)$")
 
 
 def file_safe(c):

@@ -4,7 +4,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from hubbub.functions.text import strip_ws, ws_tokens
+from hubbub.functions.text import WS, ws_tokens
 
 EPOCH_SENTINEL = "1970-01-01 00:00:00"
 UNKNOWN_TIME = "Unknown"
@@ -37,9 +37,9 @@ def _at(year, month, day, hour=0, minute=0):
 
 def post_date(raw, year):
     """Read ' M/D' in an assumed year; anything else gives NULL."""
-    parts = F.split(strip_ws(raw), "/")
-    number = [strip_ws(F.get(parts, F.lit(i))).try_cast("int") for i in (0, 1)]
+    parts = F.split(F.regexp_replace(_col(raw), f"^{WS}+|{WS}*(/){WS}*|{WS}+$", "$1"), "/")
     year = F.lit(year) if isinstance(year, int) else _col(year)
+    number = [F.get(parts, F.lit(i)).try_cast("int") for i in (0, 1)]
     return F.when(F.size(parts) == 2, _at(year, *number))
 
 
@@ -64,8 +64,9 @@ def comment_time(raw, published, policy="month", has_header=None):
     whole time lies before the article's, only for articles with header lines; no sentinel.
     """
     raw, published = _col(raw), _col(published)
-    stamp = r"^(\d{1,2})/(\d{1,2}) (\d{1,2}):(\d{1,2})$"
-    month, day, hour, minute = [F.regexp_extract(raw, stamp, i).try_cast("int") for i in (1, 2, 3, 4)]
+    # One shape test and one split serve all four numbers.
+    parts = F.split(F.when(raw.rlike(r"^\d{1,2}/\d{1,2} \d{1,2}:\d{1,2}$"), raw), "[/ :]")
+    month, day, hour, minute = [F.get(parts, F.lit(i)).try_cast("int") for i in range(4)]
     year = F.year(published)
     same_year = _at(year, month, day, hour, minute)
     next_year = _at(year + 1, month, day, hour, minute)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from hubbub.functions.text import sentences
 from hubbub.functions.times import in_range, parse_wall
-from hubbub.operators.filters import content_words, term_array
+from hubbub.operators.filters import content_words, term_array, zip_tags
 from hubbub.operators.joins import fits_broadcast
 from hubbub.operators.ranking import top_per_group
 from hubbub.operators.segment import Dictionary, cut
@@ -57,13 +57,14 @@ def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WO
             rows = [tuple(r) for r in table.collect()]  # measured above
         dictionary = spark.sparkContext.broadcast(Dictionary(rows))
 
-    @F.pandas_udf("array<array<struct<word:string,pos:string>>>")
-    def cut_units(column: pd.Series) -> pd.Series:
+    @F.pandas_udf("struct<word:array<array<string>>,pos:array<array<string>>>")
+    def cut_units(column: pd.Series) -> pd.DataFrame:
         known = dictionary.value
         blocks = known.cutter()
-        return column.map(lambda units: [
-            [{"word": w, "pos": known.tag(w, "x")} for s in unit for w in cut(s, blocks)] for unit in units
-        ])
+        found = [[[w for s in unit for w in cut(s, blocks)] for unit in units] for units in column]
+        return pd.DataFrame({
+            "word": found, "pos": [[[known.tag(w, "x") for w in unit] for unit in units] for units in found],
+        })
 
     @F.pandas_udf(_DONE)
     def finish(column: pd.Series) -> pd.DataFrame:
@@ -81,9 +82,11 @@ def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WO
     )
     pieces = F.transform(texts, lambda text: sentences(text))
     if segmented:
-        keep = content_words if method == "ckip" else (lambda unit: term_array(F.transform(unit, lambda t: t["word"]), stop))
         tagged = articles.withColumn("_tagged", cut_units(pieces))
-        units = F.transform("_tagged", keep)
+        if method == "ckip":
+            units = F.zip_with("_tagged.word", "_tagged.pos", lambda w, p: content_words(zip_tags(w, p)))
+        else:
+            units = F.transform("_tagged.word", lambda unit: term_array(unit, stop))
     else:
         tagged, units = articles, F.transform(pieces, lambda unit: term_array(unit, stop))
     done = tagged.withColumn("_done", finish(units))

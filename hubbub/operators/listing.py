@@ -23,10 +23,11 @@ def date_entries(entries, year, as_of):
     The first entry of a board is never moved.
     """
     first = entries.where(~F.col("pinned")).groupBy("board").agg(F.min("place").alias("_first"))
-    dated = entries.join(first, "board", "left").withColumn("parsed_date", post_date("date", year))
+    # Dates are read below the join, so later filters on them do not read them again.
+    dated = entries.withColumn("_read", post_date("date", year)).join(first, "board", "left")
     exempt = F.col("pinned") | (F.col("place") == F.col("_first"))
     as_of = F.lit(as_of).cast("timestamp_ntz")
-    return dated.withColumn("parsed_date", previous_year_if_future("parsed_date", as_of, exempt)).drop("_first")
+    return dated.withColumn("parsed_date", previous_year_if_future("_read", as_of, exempt)).drop("_first", "_read")
 
 
 def until_stop_date(entries, stop_date):

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from hubbub.functions.text import sentences
 from hubbub.operators.joins import fits_broadcast, lookup_join
 
-TAGGED = "array<struct<word:string,pos:string>>"
+# Two plain arrays cross from Python faster than an array of structs.
+_CUT = "struct<word:array<string>,pos:array<string>>"
 
 # Characters that can form one word, Han characters, and Latin or digit runs.
 _BLOCK = re.compile(r"([一-鿕a-zA-Z0-9+#&\._%\-]+)")
@@ -113,15 +114,18 @@ def segment(units, lexicon=None, keys=("article_url",), default_tag="x", small=N
 def _by_broadcast(units, dictionary, default_tag):
     shared = units.sparkSession.sparkContext.broadcast(dictionary)
 
-    @F.pandas_udf(TAGGED)
-    def run(column: pd.Series) -> pd.Series:
+    @F.pandas_udf(_CUT)
+    def run(column: pd.Series) -> pd.DataFrame:
         known = shared.value
         blocks = known.cutter()
-        return column.map(lambda parts: [
-            {"word": w, "pos": known.tag(w, default_tag)} for part in parts for w in cut(part, blocks)
-        ])
+        found = [[w for part in parts for w in cut(part, blocks)] for parts in column]
+        return pd.DataFrame({"word": found, "pos": [[known.tag(w, default_tag) for w in ws] for ws in found]})
 
-    return units.withColumn("tagged", run(sentences("text")))
+    return units.withColumn("_cut", run(sentences("text"))).withColumn("tagged", _zipped("_cut")).drop("_cut")
+
+
+def _zipped(cut_column):
+    return F.arrays_zip(F.col(f"{cut_column}.word").alias("word"), F.col(f"{cut_column}.pos").alias("pos"))
 
 
 def _by_join(units, lexicon, row_key, default_tag):
@@ -136,12 +140,12 @@ def _by_join(units, lexicon, row_key, default_tag):
     found = lookup_join(found, lexicon, ["word"], "inner", small=False)
     matches = found.groupBy(*row_key).agg(F.collect_list(F.struct("sent_ix", "start", "word", "weight", "tag")).alias("_found"))
 
-    @F.pandas_udf(TAGGED)
-    def run(column: pd.Series, found: pd.Series) -> pd.Series:
-        return pd.Series([_cut_found(parts, hits, log_total, default_tag) for parts, hits in zip(column, found)])
+    @F.pandas_udf(_CUT)
+    def run(column: pd.Series, found: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_cut_found(parts, hits, log_total, default_tag) for parts, hits in zip(column, found)])
 
-    joined = units.join(matches, row_key, "left")
-    return joined.withColumn("tagged", run(sentences("text"), F.col("_found"))).drop("_found")
+    joined = units.join(matches, row_key, "left").withColumn("_cut", run(sentences("text"), F.col("_found")))
+    return joined.withColumn("tagged", _zipped("_cut")).drop("_cut", "_found")
 
 
 def _cut_found(parts, hits, log_total, default_tag):
@@ -156,10 +160,8 @@ def _cut_found(parts, hits, log_total, default_tag):
             if len(word) == size and word in weight:
                 yield start + size, weight[word]
 
-    return [
-        {"word": w, "pos": tags.get(w) or default_tag}
-        for part in parts for w in cut(part, lambda block: cut_block(block, words_at, log_total))
-    ]
+    found = [w for part in parts for w in cut(part, lambda block: cut_block(block, words_at, log_total))]
+    return {"word": found, "pos": [tags.get(w) or default_tag for w in found]}
 
 
 def words(tagged="tagged"):

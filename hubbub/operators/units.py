@@ -15,7 +15,9 @@ def explode_comments(articles, keys=("article_url",), where=None):
     become rows. Articles without comments give no rows.
     """
     comments = F.filter("comments", lambda c: c.isNotNull() & where(c)) if where else F.col("comments")
-    rows = articles.select(*keys, F.posexplode(comments).alias("comment_ix", "comment"))
+    # The outer form with a filter afterwards: the inner form would add a size test on the array
+    # below, and a computed array would be built twice.
+    rows = articles.select(*keys, F.posexplode_outer(comments).alias("comment_ix", "comment"))
     return rows.where(F.col("comment").isNotNull()).select(*keys, "comment_ix", "comment.*")
 
 

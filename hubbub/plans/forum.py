@@ -53,7 +53,13 @@ def parse_articles(pages, source=SOURCE):
     complete = F.filter("pushes", lambda p: (
         p["tag"].isNotNull() & p["author"].isNotNull() & p["content"].isNotNull() & p["stamp"].isNotNull()
     ))
-    comments = F.transform(complete, lambda p: push_comment(p, F.col("_published")))
+    # Staged, because lambdas evaluate a repeated expression each time: text and raw time, then the
+    # repaired time, then the comment.
+    raw = F.transform(complete, lambda p: F.struct(
+        p["tag"].alias("tag"), p["author"].alias("author"), push_text(p["content"]).alias("content"),
+        last_two_tokens(p["stamp"]).alias("raw_time")))
+    timed = F.transform(raw, lambda p: F.struct(p.alias("p"), comment_time(p["raw_time"], F.col("_published")).alias("time")))
+    comments = F.transform(timed, lambda t: push_comment(t["p"], t["time"]))
     ok = found.withColumn("status", status).withColumn("comments", comments)
     return ok.select(
         *[c for c in pages.columns if c not in ("url", "html", "status_code")],
@@ -78,17 +84,15 @@ def parse_articles(pages, source=SOURCE):
     )
 
 
-def push_comment(push, published):
-    """One raw push as a canonical comment struct."""
-    raw = last_two_tokens(push["stamp"])
-    time = comment_time(raw, published)
+def push_comment(push, time):
+    """One push with its repaired time as a canonical comment struct."""
     return F.struct(
         push["author"].alias("comment_author"),
-        raw.alias("comment_raw_time"),
+        push["raw_time"].alias("comment_raw_time"),
         wall_text(time).alias("comment_date_format"),
         *date_parts(time, "comment"),
         push["tag"].alias("comment_tag"),
-        push_text(push["content"]).alias("comment_content"),
+        push["content"].alias("comment_content"),
         F.lit(None).cast("array<string>").alias("comment_keywords"),
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from hubbub.functions.times import date_parts, epoch_wall, iso_offset_wall, iso_utc_wall, parse_wall, wall_text
 from hubbub.functions.urls import canonical_url, rewrite_host
 from hubbub.operators.audit import NO_TITLE
-from hubbub.operators.joins import skewed_join
+from hubbub.operators.joins import hot_keys, skewed_join
 from hubbub.operators.ranking import first_match
 from hubbub.schemas import COMMENT, COMMENT_PAYLOAD, POST_PAYLOAD
 from hubbub.sources.html import extract_pages
@@ -50,9 +50,14 @@ def _article(df, keep, **fields):
     )
 
 
-def payload_comment(c):
-    """One API comment as a canonical struct; its floor becomes the tag."""
-    time = iso_utc_wall(c["createdAt"])
+def payload_comments(shown):
+    """API comments as canonical structs; the floor becomes the tag."""
+    # The time is read once per comment, because lambdas evaluate a repeated expression each time.
+    timed = F.transform(shown, lambda c: F.struct(c.alias("c"), iso_utc_wall(c["createdAt"]).alias("time")))
+    return F.transform(timed, lambda t: _payload_comment(t["c"], t["time"]))
+
+
+def _payload_comment(c, time):
     return F.struct(
         F.coalesce(c["school"], F.lit(ANONYMOUS)).alias("comment_author"),
         c["createdAt"].alias("comment_raw_time"),
@@ -84,7 +89,7 @@ def payload_articles(payloads, source="Dcard"):
         title=F.coalesce(p["title"], F.lit(NO_TITLE)), category=F.coalesce(p["forumAlias"], F.lit(UNKNOWN)),
         author=F.coalesce(p["school"], F.lit(ANONYMOUS)), time=iso_utc_wall(p["createdAt"]),
         reactions=F.coalesce(p["reactionCount"], F.lit(0)), replies=F.coalesce(p["commentCount"], F.lit(0)),
-        content=F.coalesce(p["content"], F.lit("")), comments=F.transform(shown, payload_comment),
+        content=F.coalesce(p["content"], F.lit("")), comments=payload_comments(shown),
         status=F.when(p.isNull() | F.coalesce(p["title"], p["content"], p["createdAt"]).isNull(), "bad_payload").otherwise("ok"),
     )
 
@@ -94,14 +99,15 @@ def payload_comment_rows(posts, comments, key="post_id"):
 
     A post with very many comments keeps them spread over tasks: nothing is gathered per post.
     """
-    parsed = comments.withColumn("_c", F.from_json("comment", COMMENT_PAYLOAD)).where(is_visible(F.col("_c")))
-    rows = parsed.select(key, payload_comment(F.col("_c")).alias("_c")).select(key, "_c.*")
+    shown = F.filter(F.array(F.from_json("comment", COMMENT_PAYLOAD)), is_visible)
+    parsed = comments.select(key, F.explode_outer(payload_comments(shown)).alias("_c"))
+    rows = parsed.where(F.col("_c").isNotNull()).select(key, "_c.*")
     heads = posts.withColumn("_p", F.from_json("post", POST_PAYLOAD)).select(
         key, F.coalesce("_p.title", F.lit(NO_TITLE)).alias("article_title"),
         F.coalesce("_p.forumAlias", F.lit(UNKNOWN)).alias("article_category"),
         wall_text(iso_utc_wall("_p.createdAt")).alias("publish_time"),
     )
-    return skewed_join(rows, heads, key, how="inner")
+    return skewed_join(rows, heads, key, how="inner", hot=hot_keys(comments, key))
 
 
 def _before(text, mark):
@@ -168,8 +174,7 @@ def news_articles(pages, source="Yahoo", zone="Asia/Taipei"):
     found = extract_pages(pages, read_head, HEAD_FIELDS)
     keep = [c for c in pages.columns if c not in ("url", "html", "messages")]
 
-    def comment(m):
-        time = epoch_wall(m["time"], zone)
+    def comment(m, time):
         return F.struct(
             m["user"].alias("comment_author"), m["time"].cast("string").alias("comment_raw_time"),
             wall_text(time).alias("comment_date_format"), *date_parts(time, "comment"),
@@ -177,7 +182,8 @@ def news_articles(pages, source="Yahoo", zone="Asia/Taipei"):
             F.lit(None).cast("array<string>").alias("comment_keywords"),
         )
 
-    comments = F.transform(F.coalesce(messages, F.array().cast("array<struct<user:string,content:string,time:bigint,likes:bigint>>")), comment)
+    timed = F.transform(messages, lambda m: F.struct(m.alias("m"), epoch_wall(m["time"], zone).alias("time")))
+    comments = F.coalesce(F.transform(timed, lambda t: comment(t["m"], t["time"])), F.array().cast(_NO_COMMENTS))
     time = F.coalesce(iso_utc_wall("time_attr"), iso_offset_wall("time_attr"), parse_wall("time_attr"))
     return _article(
         found, keep, source=source, url=F.col("url"), title=F.coalesce("h1", F.lit(NO_HEADING)),

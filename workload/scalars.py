@@ -83,7 +83,7 @@ def time_conversions(spark, sf_dir):
 def comment_lines(spark, sf_dir):
     """Lines as comments of orders with a year-less time: well formed, unpadded, with seconds (R,
     not readable) or on Feb 29 (line 7)."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate")
+    lines = texts(spark, sf_dir, "lineitem", "l_orderkey").select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate")
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").alias("published"),
         (F.col("o_orderstatus") != "P").alias("has_header"))

@@ -164,7 +164,7 @@ def payload_join(spark, sf_dir):
     posts = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("post_id"), F.to_json(F.struct(
         F.concat(F.lit("order "), F.col("o_orderkey")).alias("title"), F.col("o_orderpriority").alias("forumAlias"),
         iso("o_orderdate").alias("createdAt"))).alias("post"))
-    comments = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("post_id"), F.to_json(F.struct(
+    comments = texts(spark, sf_dir, "lineitem", "l_orderkey").select(F.col("l_orderkey").alias("post_id"), F.to_json(F.struct(
         (F.col("l_returnflag") == "R").alias("hidden"), iso("l_shipdate").alias("createdAt"),
         F.when(F.col("l_linestatus") != "O", "school").alias("school"),
         F.concat(F.lit("part "), F.col("l_partkey")).alias("content"), F.col("l_linenumber").alias("floor"))).alias("comment"))
