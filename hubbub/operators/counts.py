@@ -11,7 +11,7 @@ from hubbub.functions.times import in_range, parse_wall
 from hubbub.operators.filters import content_words, term_array, zip_tags
 from hubbub.operators.joins import fits_broadcast
 from hubbub.operators.ranking import top_per_group
-from hubbub.operators.segment import Dictionary, cut
+from hubbub.operators.segment import Dictionary
 from hubbub.sources.lexicon import STOP_WORDS
 
 TOP_WORDS = 50
@@ -60,8 +60,8 @@ def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WO
     @F.pandas_udf("struct<word:array<array<string>>,pos:array<array<string>>>")
     def cut_units(column: pd.Series) -> pd.DataFrame:
         known = dictionary.value
-        blocks = known.cutter()
-        found = [[[w for s in unit for w in cut(s, blocks)] for unit in units] for units in column]
+        words_of = known.cutter()
+        found = [[[w for s in unit for w in words_of(s)] for unit in units] for units in column]
         return pd.DataFrame({
             "word": found, "pos": [[[known.tag(w, "x") for w in unit] for unit in units] for units in found],
         })

@@ -16,49 +16,68 @@ _CUT = "struct<word:array<string>,pos:array<string>>"
 # Characters that can form one word, Han characters, and Latin or digit runs.
 _BLOCK = re.compile(r"([一-鿕a-zA-Z0-9+#&\._%\-]+)")
 _HAN = re.compile(r"([一-鿕]+)")
+_SHORT = 64
 _RUN = re.compile(r"([a-zA-Z0-9]+(?:\.\d+)?%?)")
 
 
-def cut(sentence, cut_block):
-    """Words of a sentence; characters that cannot be part of a word stand alone."""
-    out = []
-    for block in _BLOCK.split(sentence):
-        out.extend(cut_block(block) if _BLOCK.match(block) else block)
-    return out
+class Dictionary:
+    """Word weights and tags with a prefix set, so lookups stop as soon as no word can follow."""
 
+    def __init__(self, rows, log_total=None):
+        weights = {word: max(weight or 1.0, 1.0) for word, weight, _ in rows}
+        self.tags = {word: tag for word, _, tag in rows if tag}
+        self.prefixes = {word[:i] for word in weights for i in range(1, len(word) + 1)}
+        log_total = log(sum(weights.values()) or 1.0) if log_total is None else log_total
+        self.scores = {word: log(weight) - log_total for word, weight in weights.items()}
+        self.loose = -log_total
 
-def cut_block(block, words_at, log_total):
-    """Words of a block. ``words_at(block, start)`` yields (end, weight) of dictionary words.
+    def cutter(self):
+        """Sentence cutter that remembers the short sentences it met last."""
+        remembered = lru_cache(maxsize=1 << 16)(self.cut)
+        return lambda sentence: remembered(sentence) if len(sentence) <= _SHORT else self.cut(sentence)
+
+    def cut(self, sentence):
+        """Words of a sentence: dictionary words on the most probable path.
+
+        Characters in no dictionary word stay single, but Latin and digit runs are kept whole;
+        characters that cannot be part of a word stand alone.
+        """
+        out = []
+        for place, block in enumerate(_BLOCK.split(sentence)):
+            if place % 2 == 0:  # between the blocks
+                out.extend(block)
+                continue
+            ends, at, loose = self.best_ends(block), 0, 0
+            while at < len(block):
+                end = ends[at]
+                if end - at > 1:
+                    out.extend(_loose_parts(block[loose:at]))
+                    out.append(block[at:end])
+                    loose = end
+                at = end
+            out.extend(_loose_parts(block[loose:]))
+        return out
+
+    def best_ends(self, block):
+        """For each start, the end of the first word on the best path to the block's end."""
+        n, scores, prefixes = len(block), self.scores, self.prefixes
+        path, ends = [0.0] * (n + 1), [0] * n
+        for at in range(n - 1, -1, -1):
+            best, best_end, end = self.loose + path[at + 1], at + 1, at + 1
+            part = block[at]
+            while part in prefixes:
+                word = scores.get(part)
+                if word is not None and word + path[end] >= best:
+                    best, best_end = word + path[end], end
+                if end == n:
+                    break
+                end += 1
+                part = block[at:end]
+            path[at], ends[at] = best, best_end
+        return ends
 
-    Characters in no dictionary word stay single, but Latin and digit runs are kept whole.
-    """
-    out, loose, at = [], "", 0
-    ends = _best_ends(block, words_at, log_total)
-    while at < len(block):
-        end = ends[at]
-        if end - at == 1:
-            loose += block[at]
-        else:
-            out.extend(_loose_parts(loose))
-            out.append(block[at:end])
-            loose = ""
-        at = end
-    out.extend(_loose_parts(loose))
-    return out
-
-
-def _best_ends(block, words_at, log_total):
-    """For each start, the end of the first word on the best path to the block's end."""
-    n = len(block)
-    score, ends = [0.0] * (n + 1), [0] * n
-    for at in range(n - 1, -1, -1):
-        best, best_end = score[at + 1] - log_total, at + 1
-        for end, weight in words_at(block, at):
-            gain = log(weight) - log_total + score[end]
-            if gain >= best:
-                best, best_end = gain, end
-        score[at], ends[at] = best, best_end
-    return ends
+    def tag(self, word, default):
+        return self.tags.get(word, default)
 
 
 def _loose_parts(text):
@@ -69,30 +88,6 @@ def _loose_parts(text):
             yield from (p for p in _RUN.split(part) if p)
 
 
-class Dictionary:
-    """Word weights and tags with a prefix set, so lookups stop as soon as no word can follow."""
-
-    def __init__(self, rows):
-        self.words = {word: (max(weight or 1.0, 1.0), tag) for word, weight, tag in rows}
-        self.prefixes = {word[:i] for word in self.words for i in range(1, len(word) + 1)}
-        self.log_total = log(sum(w for w, _ in self.words.values()) or 1.0)
-
-    def cutter(self):
-        """Block cutter that remembers the blocks it met last."""
-        return lru_cache(maxsize=1 << 16)(lambda block: cut_block(block, self.at, self.log_total))
-
-    def at(self, block, start):
-        for end in range(start + 1, len(block) + 1):
-            part = block[start:end]
-            if part not in self.prefixes:
-                return
-            if part in self.words:
-                yield end, self.words[part][0]
-
-    def tag(self, word, default):
-        return (self.words.get(word) or (None, None))[1] or default
-
-
 def segment(units, lexicon=None, keys=("article_url",), default_tag="x", small=None):
     """Add ``tagged``: the (word, pos) pairs of each text unit, sentence by sentence.
 
@@ -117,8 +112,8 @@ def _by_broadcast(units, dictionary, default_tag):
     @F.pandas_udf(_CUT)
     def run(column: pd.Series) -> pd.DataFrame:
         known = shared.value
-        blocks = known.cutter()
-        found = [[w for part in parts for w in cut(part, blocks)] for parts in column]
+        words_of = known.cutter()
+        found = [[w for part in parts for w in words_of(part)] for parts in column]
         return pd.DataFrame({"word": found, "pos": [[known.tag(w, default_tag) for w in ws] for ws in found]})
 
     return units.withColumn("_cut", run(sentences("text"))).withColumn("tagged", _zipped("_cut")).drop("_cut")
@@ -131,14 +126,14 @@ def _zipped(cut_column):
 def _by_join(units, lexicon, row_key, default_tag):
     longest, total = lexicon.agg(F.max(F.char_length("word")), F.sum(F.greatest(F.coalesce("weight", F.lit(1.0)), F.lit(1.0)))).first()
     log_total = log(total or 1.0)
-    parts = units.select(*row_key, F.posexplode(sentences("text")).alias("sent_ix", "sentence"))
+    parts = units.select(*row_key, F.explode(sentences("text")).alias("sentence"))
     starts = parts.select("*", F.explode(F.sequence(F.lit(1), F.char_length("sentence"))).alias("start"))
     reach = F.least(F.lit(longest), F.char_length("sentence") - F.col("start") + 1)
     found = starts.select("*", F.explode(F.sequence(F.lit(1), reach)).alias("size")).select(
-        *row_key, "sent_ix", "start", "size", F.substring("sentence", F.col("start"), F.col("size")).alias("word")
-    )
+        *row_key, F.substring("sentence", F.col("start"), F.col("size")).alias("word")
+    ).distinct()
     found = lookup_join(found, lexicon, ["word"], "inner", small=False)
-    matches = found.groupBy(*row_key).agg(F.collect_list(F.struct("sent_ix", "start", "word", "weight", "tag")).alias("_found"))
+    matches = found.groupBy(*row_key).agg(F.collect_set(F.struct("word", "weight", "tag")).alias("_found"))
 
     @F.pandas_udf(_CUT)
     def run(column: pd.Series, found: pd.Series) -> pd.DataFrame:
@@ -150,18 +145,9 @@ def _by_join(units, lexicon, row_key, default_tag):
 
 def _cut_found(parts, hits, log_total, default_tag):
     hits = [] if hits is None else hits
-    tags = {h["word"]: h["tag"] for h in hits}
-    weight = {h["word"]: max(h["weight"] or 1.0, 1.0) for h in hits}
-    sizes = sorted({len(w) for w in weight})
-
-    def words_at(block, start):
-        for size in sizes:
-            word = block[start:start + size]
-            if len(word) == size and word in weight:
-                yield start + size, weight[word]
-
-    found = [w for part in parts for w in cut(part, lambda block: cut_block(block, words_at, log_total))]
-    return {"word": found, "pos": [tags.get(w) or default_tag for w in found]}
+    known = Dictionary([(h["word"], h["weight"], h["tag"]) for h in hits], log_total)
+    found = [w for part in parts for w in known.cut(part)]
+    return {"word": found, "pos": [known.tag(w, default_tag) for w in found]}
 
 
 def words(tagged="tagged"):
