@@ -38,7 +38,7 @@ def read_user_dictionary(spark, path, header="^【.*】$", weight=1.0):
     because its sections are defined by line order.
     """
     lines = (
-        spark.read.option("wholetext", True).text(path)
+        spark.read.text(path, wholetext=True)
         .select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", r"\r?\n|\r")).alias("line", "raw"))
         .select("file", "line", strip_ws("raw").alias("word"))
         .where(F.col("word") != "")

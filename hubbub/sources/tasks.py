@@ -28,7 +28,7 @@ def read_tasks(spark, path):
     if not path_exists(spark, path):
         note = spark.createDataFrame([(path, "task file not found")], "input string, problem string")
         return spark.createDataFrame([], _TASKS), note
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     rows = text.select(F.from_json("value", T.ArrayType(TASK)).alias("tasks"), F.col("_metadata.file_name").alias("input"))
     bad = rows.where(F.col("tasks").isNull()).select("input", F.lit("not a task list").alias("problem"))
     tasks = rows.select(F.posexplode("tasks").alias("seq", "task")).select(F.col("seq").cast("long"), "task.*")
