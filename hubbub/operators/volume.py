@@ -1,5 +1,7 @@
 """Keyword hits in articles and comments, and their volume by day and hour."""
 
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -51,22 +53,28 @@ def keyword_hits(articles, comments, keywords, start, end, literal=False):
     )
 
 
-def _aggregated(df, keys, how, name):
-    if how == "median":
-        return grouped_median(df, keys, "comment_count", name)
-    return df.groupBy(*keys).agg(AGGREGATES[how]("comment_count").alias(name))
+def _aggregated(df, keys, names):
+    """Aggregates of ``comment_count`` per group; ``names`` maps output columns to aggregates.
+
+    All built-in ones share one pass over the data.
+    """
+    built_in = [AGGREGATES[how]("comment_count").alias(name) for name, how in names.items() if how != "median"]
+    medians = [grouped_median(df, keys, "comment_count", name) for name, how in names.items() if how == "median"]
+    parts = ([df.groupBy(*keys).agg(*built_in)] if built_in else []) + medians
+    return reduce(lambda a, b: a.join(b, keys, "left"), parts).select(*keys, *names)
 
 
 def volume_by_day(df, how="sum"):
-    """Volume by day of month."""
+    """Volume by day of month; a list of aggregates gives one column each, named after them."""
     days = df.withColumn("day", F.dayofmonth("publish_time"))
-    return _aggregated(days, ["day"], how, "comment_count").orderBy("day")
+    names = {"comment_count": how} if isinstance(how, str) else {h: h for h in how}
+    return _aggregated(days, ["day"], names).orderBy("day")
 
 
 def volume_cells(df, how="sum"):
     """Volume by date and hour, long form."""
     cells = df.withColumn("date", F.to_date("publish_time")).withColumn("hour", F.hour("publish_time"))
-    return _aggregated(cells.where(F.col("date").isNotNull()), ["date", "hour"], how, "n")
+    return _aggregated(cells.where(F.col("date").isNotNull()), ["date", "hour"], {"n": how})
 
 
 def heatmap(df, fill="all", hours="full", how="sum"):

@@ -103,14 +103,16 @@ def push_text(content):
 
 
 def task_articles(tasks, pages):
-    """Fetch result of each task: its page parsed, or an error row when no page landed.
+    """The article of each task; a task whose page never landed gives an ``http_error`` row.
 
-    ``pages`` must hold one page per url. A url that many tasks share is joined by broadcast.
+    ``pages`` must hold one page per url and is parsed once, however many tasks name it. The
+    article of a url that very many tasks name reaches them by broadcast.
     """
-    landed = pages.withColumn("_landed", F.lit(True))
-    return skewed_join(tasks, landed, "url").withColumn(
-        "status_code", F.coalesce("status_code", F.when(F.col("_landed"), F.lit(200)), F.lit(0))
-    ).drop("_landed")
+    parsed = parse_articles(pages).withColumnRenamed("article_url", "url")
+    found = skewed_join(tasks, parsed, "url").withColumnRenamed("url", "article_url")
+    missing = F.col("status").isNull()
+    return found.withColumn("error", F.when(missing, "no page").otherwise(F.col("error"))).withColumn(
+        "status", F.when(missing, "http_error").otherwise(F.col("status")))
 
 
 def legacy_article(articles):

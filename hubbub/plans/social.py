@@ -94,6 +94,13 @@ def payload_articles(payloads, source="Dcard"):
     )
 
 
+def payload_listing(payloads):
+    """Posts of forum listings (``listing``: a JSON array of posts) as rows in listing order."""
+    posts = F.from_json("listing", T.ArrayType(T.StructType([T.StructField("id", T.LongType())] + POST_PAYLOAD.fields)))
+    keep = [c for c in payloads.columns if c != "listing"]
+    return payloads.select(*keep, F.posexplode(posts).alias("pos", "p")).select(*keep, "pos", "p.*")
+
+
 def payload_comment_rows(posts, comments, key="post_id"):
     """Visible comments (one JSON object per row) next to their post, as long rows.
 

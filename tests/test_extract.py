@@ -87,8 +87,9 @@ def test_index(spark):
 def test_tasks_without_page_give_error_rows(spark):
     tasks = spark.createDataFrame([(0, URL), (1, URL), (2, "https://f/M.5.A.html")], "seq int, url string")
     pages = spark.createDataFrame([(URL, page(body="x"), 200)], "url string, html string, status_code int")
-    rows = forum.parse_articles(forum.task_articles(tasks, pages)).orderBy("seq").collect()
-    assert [(r.seq, r.status) for r in rows] == [(0, "ok"), (1, "ok"), (2, "http_error")]
+    rows = forum.task_articles(tasks, pages).orderBy("seq").collect()
+    assert [(r.seq, r.status, r.error) for r in rows] == [(0, "ok", None), (1, "ok", None), (2, "http_error", "no page")]
+    assert [r.content_raw for r in rows] == ["x", "x", None]
 
 
 LD = '<script type="application/ld+json">{}</script>'
@@ -139,6 +140,12 @@ def test_payload(spark):
     assert bad.status == "bad_payload" and bad.comments == []
 
 
+def test_payload_listing(spark):
+    listing = '[{"id": 7, "title": "a", "forumAlias": "f"}, {"id": 8, "commentCount": 2}]'
+    rows = social.payload_listing(spark.createDataFrame([("l", listing), ("m", "x")], "url string, listing string")).collect()
+    assert [(r.url, r.pos, r.id, r.title, r.commentCount) for r in rows] == [("l", 0, 7, "a", None), ("l", 1, 8, None, 2)]
+
+
 def test_news_page(spark):
     html = '<h1> T </h1><time datetime="2024-01-01T00:00:00.000Z"></time><div class="caas-body x"><p>a</p><div><p> b <b>c</b></p></div></div>'
     rows = spark.createDataFrame([("u", html, '[{"user": "n", "content": "c", "time": 1704067200, "likes": 3}]'), ("v", "", None)], "url string, html string, messages string")

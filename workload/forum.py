@@ -124,14 +124,14 @@ def forum_row_audit(spark, sf_dir):
     return row_audit(forum.parse_articles(article_pages(spark, sf_dir)))
 
 
-@query(f"""with {_SQL_DOCS} select doc_id as seq, article_url, case when lang = 'es' and status <> 'bad_url' then 'http_error' else status end as status from a""")
+@query(f"""with {_SQL_DOCS} select doc_id as seq, article_url, case when lang = 'es' then 'http_error' else status end as status from a""")
 def task_results(spark, sf_dir):
     """Tasks joined to landed pages; Spanish pages never landed and give error rows."""
     pages = article_pages(spark, sf_dir)
     tasks = pages.select(F.col("doc_id").alias("seq"), "url")
     docs = texts(spark, sf_dir, "documents", "doc_id").where(F.col("lang") != "es").select("doc_id")
     landed = pages.join(docs, "doc_id", "left_semi").drop("doc_id")
-    return forum.parse_articles(forum.task_articles(tasks, landed)).select("seq", "article_url", "status")
+    return forum.task_articles(tasks, landed).select("seq", "article_url", "status")
 
 
 def index_pages(spark, sf_dir):

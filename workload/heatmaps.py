@@ -1,7 +1,5 @@
 """Keyword volume by date and hour."""
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from hubbub.functions.times import in_range, time_range
@@ -74,14 +72,9 @@ round(median(value), 4) as "median", round(max(value), 4) as "max", round(min(va
 round(stddev_samp(value), 5) as "std", count(value) as "len" from events group by 1""")
 def volume_aggs(spark, sf_dir):
     values = table(spark, sf_dir, "events").select(F.col("ts").alias("publish_time"), F.col("value").alias("comment_count"))
+    daily = volume.volume_by_day(values, ["sum", "mean", "median", "max", "min", "std", "len"])
     digits = {"sum": 3, "mean": 5, "median": 4, "max": 4, "min": 4, "std": 5}
-    columns = []
-    for how in ("sum", "mean", "median", "max", "min", "std", "len"):
-        value = F.col("comment_count")
-        value = F.round(value, digits[how]) if how in digits else value
-        columns.append(volume.volume_by_day(values, how).select("day", value.alias(how)))
-    joined = reduce(lambda a, b: a.join(b, "day"), columns)
-    return joined.withColumn("day", F.col("day").cast("bigint"))
+    return daily.select(F.col("day").cast("bigint").alias("day"), "len", *[F.round(c, n).alias(c) for c, n in digits.items()])
 
 
 @query(f"""with {SQL_THREADS} select ts as publish_time, 1::bigint as comment_count from articles

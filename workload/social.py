@@ -150,6 +150,17 @@ def payload_comments(spark, sf_dir):
     return rows.select("article_url", "comment_tag", "comment_content", "comment_author", "comment_date_format")
 
 
+@query("""with l as (select doc_id, lang, unnest(string_split(text, chr(10))) as title, unnest(range(len(string_split(text, chr(10))))) as pos from documents)
+select doc_id as listing_id, pos::bigint as pos, doc_id * 1000 + pos as id, title, lang as forum from l""")
+def payload_listing(spark, sf_dir):
+    """Forum listings as JSON arrays, one per document with a post per line."""
+    docs = texts(spark, sf_dir, "documents", "doc_id")
+    listing = F.to_json(F.transform(lines_of(), lambda x, i: F.struct(
+        (F.col("doc_id") * 1000 + i).alias("id"), x.alias("title"), F.col("lang").alias("forumAlias"))))
+    posts = social.payload_listing(docs.select(F.col("doc_id").alias("listing_id"), listing.alias("listing")))
+    return posts.select("listing_id", F.col("pos").cast("bigint").alias("pos"), "id", "title", F.col("forumAlias").alias("forum"))
+
+
 @query("""select l_orderkey as post_id, 'B' || l_linenumber as comment_tag, 'part ' || l_partkey as comment_content,
   case when l_linestatus = 'O' then '匿名' else 'school' end as comment_author,
   strftime(l_shipdate + interval 8 hour, '%Y-%m-%d %H:%M:%S') as comment_date_format,
