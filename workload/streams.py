@@ -16,8 +16,12 @@ def _work(spark, name):
 
 
 def _stream(spark, sf_dir, name):
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    """A table as a stream, whether it is one file or a folder of files."""
+    rows = table(spark, sf_dir, name)
+    reader = spark.readStream.schema(rows.schema)
+    if rows.inputFiles()[0].endswith(f"/{name}.parquet"):
+        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @query("select ts::date as date, hour(ts)::bigint as hour, count(*) as n from events group by 1, 2")
