@@ -2,9 +2,14 @@
 
 from pyspark.sql import functions as F
 
-# The members of Python's whitespace, the sentence marks, and the characters for
-# which str.isdigit() is true, written as regex classes because \s and \d are ASCII-only here.
+# The members of Python's whitespace (as a regex class and as characters), the
+# sentence marks, and the characters for which str.isdigit() is true. The classes are spelled
+# out because \s and \d are ASCII-only here.
 WS_SET = r"\t\n\x0B\f\r\x1C-\x1F\x20\x{85}\p{Z}"
+WS_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 SENTENCE_MARKS = ",，。;；!！?？"
 DIGIT_SET = (
     r"\p{Nd}\x{B2}-\x{B3}\x{B9}\x{1369}-\x{1371}\x{19DA}\x{2070}\x{2074}-\x{2079}"
@@ -26,7 +31,7 @@ def _col(c):
 
 def strip_ws(c):
     """Trim Unicode whitespace at both ends."""
-    return F.regexp_replace(_col(c), f"^{WS}+|{WS}+$", "")
+    return F.btrim(_col(c), F.lit(WS_CHARS))
 
 
 def ws_tokens(c):

@@ -4,7 +4,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from hubbub.functions.text import WS, ws_tokens
+from hubbub.functions.text import strip_ws, ws_tokens
 
 EPOCH_SENTINEL = "1970-01-01 00:00:00"
 UNKNOWN_TIME = "Unknown"
@@ -37,9 +37,9 @@ def _at(year, month, day, hour=0, minute=0):
 
 def post_date(raw, year):
     """Read ' M/D' in an assumed year; anything else gives NULL."""
-    parts = F.split(F.regexp_replace(_col(raw), f"^{WS}+|{WS}*(/){WS}*|{WS}+$", "$1"), "/")
+    parts = F.split(_col(raw), "/")
     year = F.lit(year) if isinstance(year, int) else _col(year)
-    number = [F.get(parts, F.lit(i)).try_cast("int") for i in (0, 1)]
+    number = [strip_ws(F.get(parts, F.lit(i))).try_cast("int") for i in (0, 1)]
     return F.when(F.size(parts) == 2, _at(year, *number))
 
 

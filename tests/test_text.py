@@ -13,6 +13,11 @@ def test_whitespace_class_is_pythons(spark):
     assert found == {i for (i,) in rows if chr(i).isspace()}
 
 
+def test_trim_characters_are_pythons(one):
+    assert all(c.isspace() for c in text.WS_CHARS) and len(set(text.WS_CHARS)) == 29
+    assert one(text.strip_ws(F.lit(text.WS_CHARS + "a b" + text.WS_CHARS)))[0] == "a b"
+
+
 def test_digit_class_covers_isdigit(spark):
     points = [(i, chr(i)) for i in range(0x20000) if not 0xD800 <= i < 0xE000 and chr(i).isdigit()]
     df = spark.createDataFrame(points, "i int, c string")
