@@ -14,46 +14,37 @@ SILENT = {"script", "style", "template"}
 
 
 class Element:
-    """A node of the page: children are elements or strings, in page order."""
+    """A node of the page: children are elements or strings, in page order.
 
-    def __init__(self, tag, attrs=(), parent=None):
+    ``page`` lists all elements in page order; those below this one are ``page[at + 1:end]``.
+    """
+
+    __slots__ = ("tag", "parent", "children", "attrs", "names", "page", "at", "end")
+
+    def __init__(self, tag, attrs, parent, page):
         self.tag, self.parent, self.children = tag, parent, []
         self.attrs = {k: v or "" for k, v in attrs}
+        self.names = self.attrs.get("class", "").split()
+        self.page, self.at, self.end = page, len(page), None
+        page.append(self)
 
     def get(self, name, default=None):
         return self.attrs.get(name, default)
 
     def has_class(self, wanted):
-        value = self.attrs.get("class", "")
-        return wanted == value or wanted in value.split()
+        return wanted in self.names or wanted == self.attrs.get("class")
 
-    def walk(self):
-        """Elements below this one, in page order."""
-        stack = [iter(self.children)]
-        while stack:
-            child = next(stack[-1], None)
-            if child is None:
-                stack.pop()
-            elif isinstance(child, Element):
-                yield child
-                stack.append(iter(child.children))
+    def _matches(self, tag, cls, attrs):
+        tags = (tag,) if isinstance(tag, str) else tag
+        for e in self.page[self.at + 1:self.end]:
+            if e.tag in tags and (cls is None or e.has_class(cls)) and all(e.attrs.get(k) == v for k, v in attrs.items()):
+                yield e
 
     def find_all(self, tag, cls=None, **attrs):
-        tags = (tag,) if isinstance(tag, str) else tag
-        return [
-            e for e in self.walk()
-            if e.tag in tags and (cls is None or e.has_class(cls))
-            and all(e.attrs.get(k) == v for k, v in attrs.items())
-        ]
+        return list(self._matches(tag, cls, attrs))
 
     def find(self, tag, cls=None, **attrs):
-        tags = (tag,) if isinstance(tag, str) else tag
-        for e in self.walk():
-            if e.tag in tags and (cls is None or e.has_class(cls)) and all(
-                e.attrs.get(k) == v for k, v in attrs.items()
-            ):
-                return e
-        return None
+        return next(self._matches(tag, cls, attrs), None)
 
     def strings(self, skip=frozenset()):
         """Text nodes below this one, leaving out elements in ``skip`` and silent elements."""
@@ -81,21 +72,29 @@ class Element:
 class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = Element("[page]")
+        self.page = []
+        self.root = Element("[page]", (), None, self.page)
         self.open = [self.root]
         self.pending = []
 
-    def _flush(self):
+    def flush(self):
         if self.pending:
             self.open[-1].children.append("".join(self.pending))
             self.pending = []
 
+    def shut(self, depth):
+        """Close all open elements from ``depth`` on."""
+        for element in self.open[depth:]:
+            element.end = len(self.page)
+        del self.open[depth:]
+
     def handle_starttag(self, tag, attrs):
-        self._flush()
-        element = Element(tag, attrs, self.open[-1])
+        self.flush()
+        element = Element(tag, attrs, self.open[-1], self.page)
         self.open[-1].children.append(element)
-        if tag not in VOID:
-            self.open.append(element)
+        self.open.append(element)
+        if tag in VOID:
+            self.shut(len(self.open) - 1)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -103,17 +102,17 @@ class _Builder(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        self._flush()
+        self.flush()
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag == tag:
-                del self.open[i:]
+                self.shut(i)
                 return
 
     def handle_data(self, data):
         self.pending.append(data)
 
     def handle_comment(self, data):
-        self._flush()
+        self.flush()
 
     handle_decl = unknown_decl = handle_pi = handle_comment
 
@@ -123,7 +122,8 @@ def parse_page(html):
     builder = _Builder()
     builder.feed(html or "")
     builder.close()
-    builder._flush()
+    builder.flush()
+    builder.shut(0)
     return builder.root
 
 
