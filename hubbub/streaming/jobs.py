@@ -23,20 +23,29 @@ def hourly_volume(stream, time, delay, weight=None):
     """Hits per hour, late rows included up to ``delay``. Long form: pivot when reading."""
     value = F.lit(1) if weight is None else F.col(weight)
     hours = _event_time(stream, time, delay).groupBy(F.window(time, "1 hour")).agg(F.sum(value).cast("bigint").alias("n"))
-    return hours.select(
-        F.to_date(F.col("window.start")).alias("date"), F.hour(F.col("window.start")).alias("hour"), "n"
-    )
+    return hours.select(F.to_date(_window_start()).alias("date"), F.hour(_window_start()).alias("hour"), "n")
 
 
 def windowed_terms(stream, time, delay, span):
     """Word counts per time window."""
     counts = _event_time(stream, time, delay).groupBy(F.window(time, span), "word").agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "word", "n")
+    return counts.select(_window_start().alias("window_start"), "word", "n")
+
+
+def _epoch():
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def _event_time(stream, time, delay):
-    # Watermarks need an instant; wall-clock times are read as the session's zone.
-    return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
+    """Watermarks need an instant: a wall-clock time is carried as if it were UTC."""
+    if stream.schema[time].dataType.simpleString() == "timestamp_ntz":
+        stream = stream.withColumn(time, F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), F.col(time))))
+    return stream.withWatermark(time, delay)
+
+
+def _window_start():
+    """Start of the window as wall-clock time, whatever the session's zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros("window.start"), _epoch())
 
 
 def append_to(stream, path, checkpoint):

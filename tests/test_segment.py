@@ -86,6 +86,26 @@ def test_registered_segmentation_against_plain_python(spark, tmp_path):
     assert got == dict(want) and got == {(0, "xyzxyz"): 1}
 
 
+def test_registered_enrichment_against_plain_python(spark, tmp_path):
+    import re
+    from collections import Counter
+
+    from workload import QUERIES
+
+    text = "abab xyzxyz\nlonglong xyzxyz abab\nlonglong! zz"
+    bench = "abab abab xyzxyz longlong"
+    spark.createDataFrame([(0, text, "en", "s", 9)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(0, bench)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    row = QUERIES["enriched_articles_tagged"](spark, str(tmp_path)).first()
+    known = segment.Dictionary([(w, float(n), "VA" if len(w) < 7 else "Na") for w, n in Counter(bench.split()).items()])
+    units_ = [[w for part in re.split(r"[!\s]", line) for w in known.cut(part) if known.tag(w, "x") != "x"] for line in text.split("\n")]
+    assert row.keywords == " ".join(units_[0]) == "abab xyzxyz"
+    want = Counter(w for unit in units_[1:] for w in unit).most_common()
+    assert row.comments_top == " ".join(f"{w}:{n}" for w, n in want) == "longlong:2 xyzxyz:1 abab:1"
+    assert row.content_top == "abab:1 xyzxyz:1"
+
+
 def test_token_rows_keep_order(spark, texts):
     cut = segment.segment(texts, None)
     rows = units.token_rows(cut, segment.words()).where("article_url = 'a'").orderBy("pos").collect()

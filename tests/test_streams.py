@@ -32,6 +32,18 @@ def test_first_seen(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["x", "y", "z"]
 
 
+def test_wall_clock_windows_ignore_the_session_zone(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    land(source, "1.json", {"ts": "2025-01-01T23:30:00", "word": "a"})
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        jobs.versions_to(jobs.windowed_terms(stream(spark, source), "ts", "1 hour", "1 day"), out, str(tmp_path / "state")).awaitTermination()
+        assert spark.read.parquet(out).first().window_start == dt.datetime(2025, 1, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_rolling_top(spark, tmp_path):
     source, out = tmp_path / "in", str(tmp_path / "out")
     land(source, "1.json", *[{"ts": "2025-01-01T01:00:00", "word": w} for w in "aab"])
