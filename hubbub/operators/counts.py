@@ -11,7 +11,8 @@ from hubbub.functions.times import in_range, parse_wall
 from hubbub.operators.filters import content_words, term_array, zip_tags
 from hubbub.operators.joins import fits_broadcast
 from hubbub.operators.ranking import top_per_group
-from hubbub.operators.segment import Dictionary
+from hubbub.operators.segment import Dictionary, segment
+from hubbub.operators.units import text_units
 from hubbub.sources.lexicon import STOP_WORDS
 
 TOP_WORDS = 50
@@ -38,24 +39,24 @@ _DONE = (
 )
 
 
-def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WORDS, segmented=True):
+def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WORDS, segmented=True,
+           key="article_url", small=None):
     """Write keywords back into each article and its comments, with both top lists.
 
     Everything happens inside the row, so no article is shuffled. ``method='jieba'`` keeps terms
     that are no stop words, ``method='ckip'`` keeps nouns and verbs. ``segmented=False`` takes
-    the sentence pieces as words (blank-separated languages). Dictionaries beyond the broadcast
-    limit go through ``segment`` and ``top_terms`` instead.
+    the sentence pieces as words (blank-separated languages). With a dictionary beyond the
+    broadcast limit the words are found by join and brought back to their article by ``key``,
+    which must then be unique.
     """
     spark = articles.sparkSession
+    if segmented and lexicon is not None and small is None:
+        small = fits_broadcast(lexicon.select("word", "weight", "tag"))
+    by_join = segmented and lexicon is not None and not small
     dictionary = None
-    if segmented:
-        rows = []
-        if lexicon is not None:
-            table = lexicon.select("word", "weight", "tag")
-            if not fits_broadcast(table):
-                raise ValueError("dictionary too large to send to every worker: use segment() and top_terms()")
-            rows = [tuple(r) for r in table.collect()]  # measured above
-        dictionary = spark.sparkContext.broadcast(Dictionary(rows))
+    if segmented and not by_join:
+        table = [] if lexicon is None else lexicon.select("word", "weight", "tag").collect()  # measured above
+        dictionary = spark.sparkContext.broadcast(Dictionary([tuple(r) for r in table]))
 
     @F.pandas_udf("struct<word:array<array<string>>,pos:array<array<string>>>")
     def cut_units(column: pd.Series) -> pd.DataFrame:
@@ -82,7 +83,7 @@ def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WO
     )
     pieces = F.transform(texts, lambda text: sentences(text))
     if segmented:
-        tagged = articles.withColumn("_tagged", cut_units(pieces))
+        tagged = _cut_by_join(articles, lexicon, key) if by_join else articles.withColumn("_tagged", cut_units(pieces))
         if method == "ckip":
             units = F.zip_with("_tagged.word", "_tagged.pos", lambda w, p: content_words(zip_tags(w, p)))
         else:
@@ -103,6 +104,18 @@ def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WO
     )
 
 
+def _cut_by_join(articles, lexicon, key):
+    """Segment every unit with ``segment`` and bring an article's units, its own text, together."""
+    cut = segment(text_units(articles, [key]), lexicon, [key], small=False)
+    units = cut.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("unit_ix", "tagged"))).alias("_units"))
+
+    def part(name):
+        return F.transform("_units", lambda u: F.transform(u["tagged"], lambda t: t[name])).alias(name)
+
+    joined = articles.join(units, key, "left")
+    return joined.select(*articles.columns, F.struct(part("word"), part("pos")).alias("_tagged"))
+
+
 def _top(found, n):
     return [{"word": w, "count": c} for w, c in Counter(found).most_common(n)]
 

@@ -61,6 +61,14 @@ def test_enrich_writes_back_by_position(spark):
     assert tagged.content_keywords == [] and [c.comment_keywords for c in tagged.comments] == [["柯P"], [], ["柯P"]]
 
 
+def test_enrich_with_a_dictionary_too_large_to_send(spark):
+    a = article(spark, ("x", "台北 可以 台北 12 x", [("t", "柯P 台北"), ("t", ""), ("t", "柯P")]), ("y", "", None))
+    lexicon = weighted_dictionary(spark, {"柯P": 1, "台北": 1}, {"柯P": "Nb"})
+    for method in ("jieba", "ckip"):
+        near, far = (counts.enrich(a, lexicon, method, small=s).orderBy("article_url") for s in (True, False))
+        assert near.columns == far.columns and near.collect() == far.collect()
+
+
 def test_pooled_words_use_their_own_time(spark):
     a = article(spark, ("x", "body body", [("2025-03-02 00:00:00", "late"), ("2025-03-01 23:59:59", "in time"), (None, "never")]))
     done = counts.enrich(a, segmented=False, stop=())
