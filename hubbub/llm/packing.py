@@ -25,8 +25,8 @@ from hubbub.llm.shared import durable, kept_in_worker, slices, small, with_nulls
 from hubbub.llm.wordtable import WordTable
 
 VOCABULARY = "word_bpe_49k.json"
-# Rows whose number within their length is counted by one task.
-GROUP_ROWS = 50_000
+# Pieces of one length that are numbered together.
+GROUP_ROWS = 500
 
 
 # --- tokens -----------------------------------------------------------------------------------
@@ -231,12 +231,12 @@ def pack(rows, capacity=2048):
 
     ``rows`` must give the same rows each time it is read: pass a checkpoint or a stored table.
     """
+    counts = {r["length"]: r["n"] for r in small(rows.groupBy("length").agg(F.count("*").alias("n")), capacity)}
+    # A frequent length is numbered in as many groups as its count asks for.
+    groups = F.array(*[F.lit(-(-counts.get(n, 0) // GROUP_ROWS) or 1) for n in range(capacity + 1)])
     spread = rows.withColumn("__seed", F.xxhash64(*[F.col("`" + c + "`") for c in rows.columns]))
-    total = spread.count()
-    groups = max(1, -(-total // GROUP_ROWS))
-    spread = spread.withColumn("__group", F.pmod("__seed", F.lit(groups)).cast("int"))
+    spread = spread.withColumn("__group", F.pmod("__seed", F.get(groups, F.col("length").cast("int"))).cast("int"))
     sizes = durable(spread.groupBy("length", "__group").agg(F.count("*").alias("n")))
-    counts = {r["length"]: r["n"] for r in small(sizes.groupBy("length").agg(F.sum("n").alias("n")), capacity)}
     made, _ = plan(counts, capacity)
     # A group's numbers within its length start after those of the groups before it.
     earlier = F.sum("n").over(Window.partitionBy("length").orderBy("__group").rowsBetween(Window.unboundedPreceding, -1))

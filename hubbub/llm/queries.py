@@ -1,6 +1,6 @@
 """Registered queries over the given tables, with SQL where SQL can say the same."""
 
-from hubbub.llm import packing, pii, quality
+from hubbub.llm import fingerprints, ngram_join, packing, pii, quality
 from hubbub.llm.shared import table
 
 QUERIES, ORACLES = {}, {}
@@ -32,3 +32,15 @@ def op4_best_fit_packing(spark, sf_dir):
 def op7_quality_classifier(spark, sf_dir):
     """A quality score for every document."""
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op10_ngram_jaccard_join(spark, sf_dir):
+    """Groups of documents linked by Jaccard similarity of five-word shingles."""
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_simhash(spark, sf_dir):
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.fingerprint_edited(table(spark, sf_dir, "documents"))
