@@ -4,9 +4,10 @@ masked, and what is left is packed into token sequences. Each stage's result is
 import uuid
 
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 import hubbub
-from hubbub.llm import packing, pii, quality
+from hubbub.llm import ngram_join, packing, pii, quality
 from hubbub.llm.shared import table
 from hubbub.session import shared_dir
 
@@ -18,10 +19,13 @@ def quality_classifier(spark, docs, sf_dir):
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def ngram_jaccard_join(spark, docs, sf_dir):
+    """One document, the one with the smallest id, of each group of near copies."""
+    return ngram_join.keep_one(docs)
+
+
 def mask_personal_data(spark, docs, sf_dir):
     """All documents, with personal data replaced by its kind; n_chars follows the new text."""
-    from pyspark.sql import functions as F
-
     return pii.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
@@ -32,6 +36,7 @@ def best_fit_packing(spark, docs, sf_dir):
 
 STAGES = [
     ("quality classifier", quality_classifier),
+    ("n-gram Jaccard join", ngram_jaccard_join),
     ("personal data", mask_personal_data),
     ("best-fit packing", best_fit_packing),
 ]

@@ -1,6 +1,6 @@
 """Registered queries over the given tables, with SQL where SQL can say the same."""
 
-from hubbub.llm import fingerprints, ngram_join, packing, pii, quality
+from hubbub.llm import ann, chat, fingerprints, ngram_join, packing, pii, quality
 from hubbub.llm.shared import table
 
 QUERIES, ORACLES = {}, {}
@@ -44,3 +44,15 @@ def op10_ngram_jaccard_join(spark, sf_dir):
 def op8_simhash(spark, sf_dir):
     """Fingerprints of every document and of its edited text."""
     return fingerprints.fingerprint_edited(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_nearest_neighbours(spark, sf_dir):
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    return ann.search(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
+
+
+@query(chat.SQL)
+def op6_chat_formatting(spark, sf_dir):
+    """Maximal logged conversations, rendered."""
+    return chat.collapse(table(spark, sf_dir, "conversations"))
