@@ -1,6 +1,8 @@
 """Registered queries over the given tables, with SQL where SQL can say the same."""
 
-from hubbub.llm import ann, chat, fingerprints, ngram_join, packing, pii, quality
+from pyspark.sql import functions as F
+
+from hubbub.llm import ann, chat, fingerprints, licenses, ngram_join, packing, pieces, pii, quality, token_counts
 from hubbub.llm.shared import table
 
 QUERIES, ORACLES = {}, {}
@@ -56,3 +58,31 @@ def op2_nearest_neighbours(spark, sf_dir):
 def op6_chat_formatting(spark, sf_dir):
     """Maximal logged conversations, rendered."""
     return chat.collapse(table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op3_license_scan(spark, sf_dir):
+    """License notices in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_sentencepiece(spark, sf_dir):
+    """Every document as subword pieces, and whether they decode to the same text."""
+    return pieces.encode(table(spark, sf_dir, "documents"))
+
+
+def edited(docs):
+    """Documents with three edits each: words replaced by the source, the language put in, the end cut off."""
+    n = F.length("text")
+    change = lambda start, end, new: F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), new.alias("new"))
+    quarter, half = F.floor(n / 4), F.floor(n / 2)
+    return docs.withColumn("edits", F.array(
+        change(quarter, quarter + 12, F.col("source")), change(half, half, F.concat(F.lit(" "), "lang", F.lit(" "))), change(n - 20, n, F.lit("")),
+    ))
+
+
+@query()
+def op9_token_counts(spark, sf_dir):
+    """Token counts of every document before and after edits."""
+    return token_counts.count(edited(table(spark, sf_dir, "documents")), "edits")
