@@ -40,7 +40,7 @@ def running(rows, values):
     """``rows`` with running sums of ``values`` (name -> column) along each conversation, as those names.
 
     ``rows`` holds ``part``, the range partition of each row; a conversation's parts follow each other."""
-    inside = Window.partitionBy("part", "conv").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("part", "conv").orderBy(*ordered()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.select("*", *[v.alias(f"__{n}") for n, v in values.items()])
     totals = rows.groupBy("conv", "part").agg(*[F.sum(f"__{n}").alias(n) for n in values])
     earlier = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -51,14 +51,15 @@ def running(rows, values):
     return rows.select(*keep, *[(F.col(f"__s_{n}") + F.col(f"__b_{n}")).alias(n) for n in values])
 
 
-ORDER = [F.asc_nulls_first("turn"), "role", "tie"]
+def ordered():
+    return [F.asc_nulls_first("turn"), F.col("role"), F.col("tie")]
 
 
 def prefixes(rows):
     """Every different turn with its position, rolling hash (a, b) and the characters rendered up to it."""
     chars = F.length(rendered(F.col("role"), F.col("text")))
     slim = rows.select("conv", "turn", "role", "tie", chars.cast("long").alias("size")).distinct()
-    ranged = slim.repartitionByRange(F.asc_nulls_first("conv"), *[F.col(c) if isinstance(c, str) else c for c in ORDER])
+    ranged = slim.repartitionByRange(F.asc_nulls_first("conv"), *ordered())
     ranged = durable(ranged.withColumn("part", F.spark_partition_id()))
     placed = running(ranged, {"pos": F.lit(1).cast("long"), "chars": F.col("size")})
     mark = F.xxhash64("pos", "role", "tie")

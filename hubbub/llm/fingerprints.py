@@ -35,7 +35,7 @@ def votes(rows, keys, hashes):
 
     Rows already spread by one of the keys stay where they are."""
     terms = rows.select(*keys, F.explode_outer(hashes).alias("h"))
-    terms = terms.select(*keys, "h", F.xxhash64("h").alias("g"))
+    terms = terms.select(*keys, "h", F.when(F.col("h").isNotNull(), F.xxhash64("h")).alias("g"))
     lane = lambda c, j: F.sum(F.shiftrightunsigned(c, j).bitwiseAND(F.lit(LANES))).alias(f"{c}{j}")
     sums = terms.groupBy(*keys).agg(F.count("h").alias("terms"), *[lane(c, j) for c in "hg" for j in range(32)])
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hubbub.session import durable  # noqa: F401  (operators cut lineage with it)
 
 # Bytes of text handled at once inside a task; a longer text is handled alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 def table(spark, sf_dir, name):
