@@ -91,43 +91,39 @@ def read_head(root, body_class="caas-body"):
     }
 
 
-NEWS_FIELDS = "links array<struct<pos:int,title:string,href:string,time_attr:string,source:string>>"
-
-
-def read_news(root, prefix="./articles/"):
-    """Article links with the nearest time (5 levels up) and a nearby short label (3 levels up)."""
-    links = []
-    for pos, link in enumerate(e for e in root.find_all("a") if e.get("href", "").startswith(prefix)):
-        title = link.text()
-        links.append({
-            "pos": pos,
-            "title": title,
-            "href": link.get("href"),
-            "time_attr": _time_above(link),
-            "source": _label_above(link, title),
-        })
-    return {"links": links}
-
-
-def _above(element, levels):
-    while levels and element.parent is not None:
-        element, levels = element.parent, levels - 1
-        yield element
-
-
-def _time_above(link):
-    times = (area.find("time") for area in _above(link, 5))
-    found = next((t for t in times if t is not None), None)
-    return None if found is None else found.get("datetime")
-
-
-def _label_above(link, title):
-    for area in _above(link, 3):
-        for near in area.find_all(("a", "div")):
-            label = near.text()
-            if 0 < len(label) < 20 and label != title and "articles" not in near.get("href", ""):
-                return label
-    return None
+NEWS_FIELDS = (
+    "links array<struct<pos:int,title:string,href:string,"
+    "near:array<struct<level:int,tag:string,text:string,href:string,time_attr:string>>>>"
+)
+# Longer texts around a link are whole passages; no label is read from them.
+_LABEL_ROOM = 200
+
+
+def read_news(root, prefix="./articles/", levels=5):
+    """Article links with what stands around them: the links, boxes and times of the enclosing areas, innermost
+    area first, each element once. Which of them is the label or the time is decided on the rows."""
+    links = [e for e in root.find_all("a") if e.get("href", "").startswith(prefix)]
+    return {"links": [
+        {"pos": pos, "title": link.text(), "href": link.get("href"), "near": list(_surroundings(link, levels))}
+        for pos, link in enumerate(links)
+    ]}
+
+
+def _surroundings(link, levels):
+    # Elements below an area are one stretch of the page's list; the inner area's stretch was told before.
+    inner_from, inner_to, area = link.at, link.at, link.parent
+    for level in range(1, levels + 1):
+        if area is None:
+            return
+        for at in (*range(area.at + 1, inner_from), *range(inner_to, area.end)):
+            element = area.page[at]
+            if element.tag in ("a", "div", "time"):
+                text = element.text()
+                yield {
+                    "level": level, "tag": element.tag, "text": text if len(text) <= _LABEL_ROOM else None,
+                    "href": element.get("href"), "time_attr": element.get("datetime"),
+                }
+        inner_from, inner_to, area = area.at + 1, area.end, area.parent
 
 
 LINK_FIELDS = "links array<struct<pos:int,title:string,href:string>>"
