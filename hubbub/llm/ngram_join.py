@@ -18,10 +18,12 @@ id and text columns are read, so others cannot clash.
 """
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from hubbub.llm.shared import durable, slices, small, with_nulls_as_text
+from hubbub.llm.shared import column, durable, slices, small, with_nulls_as_text
 from hubbub.llm.wordtable import Powers, hash_spans, mix
 
 WORDS, PERCENT, ORDERS = 5, 80, 3
@@ -106,8 +108,6 @@ def profile(rows, words):
                 yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([c], pa.int32()), pa.array([own.tobytes()])], ["doc_id", "n", "id", "chunk", "data"])
 
     name = rows.schema["doc_id"].dataType
-    from pyspark.sql.pandas.types import to_arrow_type
-
     id_type = to_arrow_type(name)
     return rows.mapInArrow(run, f"doc_id {name.simpleString()}, n long, id long, chunk int, data binary")
 
@@ -284,13 +284,12 @@ def verified(rows, pairs, classes, words, percent):
         for batch in batches:
             good = []
             for who, a, b, data in zip(*(c.to_pylist() for c in batch.columns)):
-                other = waiting.get((a, b))
-                if other is None:
+                if (a, b) not in waiting:
                     waiting[a, b] = who, data
-                elif other[0] != who:
-                    if linked(np.frombuffer(other[1], np.uint64), np.frombuffer(data, np.uint64)):
+                elif waiting[a, b] and waiting[a, b][0] != who:
+                    if linked(np.frombuffer(waiting[a, b][1], np.uint64), np.frombuffer(data, np.uint64)):
                         good.append((a, b))
-                    waiting[a, b] = None, None
+                    waiting[a, b] = None  # decided; more copies of either set may still come
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in good], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     def linked(x, y):
@@ -342,8 +341,6 @@ def left_over(members, labels, percent):
         ok &= possible(pick(left, "n")[:, None], pick(left, "pos")[:, None], pick(right, "n")[None, :], pick(right, "pos")[None, :], percent)
         x, y = np.nonzero(ok)
         x, y = pick(left, "a")[x], pick(right, "a")[y]
-        import pandas as pd
-
         return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}).drop_duplicates()
 
     return rest.groupBy("key", "i", "j").applyInPandas(across, "a long, b long").distinct()
@@ -381,11 +378,6 @@ def join(docs, id_col="doc_id", text_col="text", words=WORDS, percent=PERCENT):
 
 def keep_one(docs, id_col="doc_id", text_col="text", words=WORDS, percent=PERCENT):
     """One document of each group stays: the one with the smallest id; of repeated rows of that id, one."""
-    rows = docs.withColumn("__copy", F.lit(0))
     found = join(docs, id_col, text_col, words, percent)
     stay = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    kept = rows.join(stay, rows["`" + id_col + "`"].eqNullSafe(stay["__id"]), "left_semi").drop("__copy")
-    return kept
-
-
-__all__ = ["join", "keep_one", "shingle_sets", "components"]
+    return docs.join(stay, column(docs, id_col).eqNullSafe(stay["__id"]), "left_semi")
