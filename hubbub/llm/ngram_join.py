@@ -7,7 +7,8 @@
    order, sets meet by such tokens, with size and position bounds. Small meetings give their pairs. In large ones
    everybody is paired with the set that meets most often; once links are known, only pairs between different
    components are left to look at, in blocks of bounded size.
-4. A candidate must also share leading tokens under the other orders; then the whole sets are compared.
+4. Parities of 1,024 token groups, kept for each set, bound the difference of two sets from below and drop candidates that
+   differ too much. What is left must also share leading tokens under the other orders; then the whole sets are compared.
 
 Components come from minimum labels with pointer jumping. No step gathers a group, links or components in one place;
 the driver holds the sketch and a Bloom filter, both of fixed size.
@@ -18,7 +19,6 @@ id and text columns are read, so others cannot clash.
 """
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -29,8 +29,10 @@ from hubbub.llm.wordtable import Powers, hash_spans, mix
 WORDS, PERCENT, ORDERS = 5, 80, 3
 # Sketch counters and chunks they travel in; bits of the Bloom filter over candidates.
 COUNTERS, CHUNK, BLOOM_BITS = 1 << 22, 1 << 16, 1 << 26
+# Token groups whose parity is kept.
+PARITY_BITS = 1024
 # Members of a meeting that gives all its pairs; rows of a task; members of a block of a larger meeting.
-SMALL, TASK_ROWS, BLOCK = 16, 600_000, 2048
+SMALL, TASK_ROWS, BLOCK = 16, 600_000, 1024
 FACTORS = mix(np.arange(101, 101 + 64, dtype=np.uint64)) | np.uint64(1)
 SALTS = mix(np.arange(11, 11 + 16, dtype=np.uint64))
 RECORD = np.dtype([("key", "<u4"), ("id", "<i8"), ("n", "<u4"), ("pos", "<u2")])
@@ -75,6 +77,12 @@ def bucket_of(tokens):
     return (mix(tokens ^ SALTS[-2]) >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
 
 
+def parities(tokens):
+    """Of each token group, whether an odd number of tokens is in the set, packed in longs."""
+    at = (mix(tokens ^ SALTS[-3]) >> np.uint64(64 - PARITY_BITS.bit_length() + 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=PARITY_BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def lead(n, percent=PERCENT):
     """How many first tokens of a set of n must hold one in common with any set similar enough."""
     return n - -(-n * percent // 100) + 1
@@ -90,7 +98,7 @@ def prefix(tokens, order, classes, percent=PERCENT):
 # --- pass 1: sizes, digests and the sketch ------------------------------------------------------
 
 def profile(rows, words):
-    """Slim rows (doc_id, n, id) of all documents, and counter chunks of each task."""
+    """Rows (doc_id, n, id, parities as data) of all documents, and counter chunks of each task."""
     def run(batches):
         powers, count = Powers(), np.zeros(COUNTERS, np.uint8)
         for part, texts in slices(batches):
@@ -100,7 +108,7 @@ def profile(rows, words):
                 at, many = np.unique(bucket_of(tokens), return_counts=True)
                 count[at] = np.minimum(count[at].astype(np.int64) + many, 255)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s) for s in sets], pa.int64()), pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())],
+                [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s) for s in sets], pa.int64()), pa.nulls(len(sets), pa.int32()), pa.array([parities(s).tobytes() for s in sets])],
                 ["doc_id", "n", "id", "chunk", "data"])
         for c in range(COUNTERS // CHUNK):
             own = count[c * CHUNK:(c + 1) * CHUNK]
@@ -220,6 +228,23 @@ def possible_column(n, pos, m, at, percent):
     return 100 * top >= percent * (n + m - top)
 
 
+def close_enough(pairs, marks, percent):
+    """The pairs (a, b) that the parities of their sets do not rule out. ``marks`` has id, n, data."""
+    side = lambda p: marks.select(F.col("id").alias(p), F.col("n").alias(f"n{p}"), F.col("data").alias(f"d{p}"))
+
+    def check(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("da", "db"))
+            n = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+            ok = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) * (100 + percent) <= n * (100 - percent)
+            yield batch.select(["a", "b"]).filter(pa.array(ok))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "da", "db")
+    return both.mapInArrow(check, "a long, b long")
+
+
 # --- verification -------------------------------------------------------------------------------
 
 def bloom(ids):
@@ -332,18 +357,38 @@ def left_over(members, labels, percent):
     rest = rest.withColumn("own", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rest = rest.select("key", "a", "n", "pos", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
-    def across(pdf):
-        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
-        left = pdf if i == j else pdf[pdf["own"] == i]
-        right = pdf if i == j else pdf[pdf["own"] == j]
-        pick = lambda side, c: side[c].to_numpy()
-        ok = pick(left, "label")[:, None] != pick(right, "label")[None, :]
-        ok &= possible(pick(left, "n")[:, None], pick(left, "pos")[:, None], pick(right, "n")[None, :], pick(right, "pos")[None, :], percent)
+    def across(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(c).to_numpy() for c in ("key", "i", "j", "own", "a", "n", "pos", "label")]
+            if held is not None:
+                columns = [np.concatenate(c) for c in zip(held, columns)]
+            key, i, j = columns[:3]
+            cuts = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            bounds = [0, *cuts.tolist()]
+            yield found([meeting([c[s:e] for c in columns]) for s, e in zip(bounds, bounds[1:])])
+            held = [c[bounds[-1]:] for c in columns]  # its end may be in the next batch
+        if held is not None:
+            yield found([meeting(held)])
+
+    def found(pairs):
+        pairs = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    def meeting(columns):
+        _, i, j, own, a, n, pos, label = columns
+        left, right = (slice(None), slice(None)) if i[0] == j[0] else (own == i[0], own == j[0])
+        ok = label[left][:, None] != label[right][None, :]
+        ok &= possible(n[left][:, None], pos[left][:, None], n[right][None, :], pos[right][None, :], percent)
         x, y = np.nonzero(ok)
-        x, y = pick(left, "a")[x], pick(right, "a")[y]
-        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}).drop_duplicates()
+        x, y = a[left][x], a[right][y]
+        return np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)
 
-    return rest.groupBy("key", "i", "j").applyInPandas(across, "a long, b long").distinct()
+    # Blocks lie in tasks as their number asks for; rows of one block follow each other.
+    dealt = rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").select("key", "i", "j", "own", "a", "n", "pos", "label")
+    return dealt.mapInArrow(across, "a long, b long").distinct()
 
 
 def join(docs, id_col="doc_id", text_col="text", words=WORDS, percent=PERCENT):
@@ -352,6 +397,7 @@ def join(docs, id_col="doc_id", text_col="text", words=WORDS, percent=PERCENT):
     profiled = durable(profile(rows, words))
     slim = profiled.where("chunk is null").select("doc_id", "n", "id")
     sets = slim.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"))
+    marks = profiled.where("chunk is null and n > 0").select("id", "n", "data").dropDuplicates(["id"])
     total, leads = sets.agg(F.sum("n"), F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()
     alone = F.col("doc_id").alias("component_id")
     if not total:
@@ -363,10 +409,12 @@ def join(docs, id_col="doc_id", text_col="text", words=WORDS, percent=PERCENT):
     often = members.groupBy("a").agg(F.count("*").alias("often"))
     lead_ = members.join(often, "a").groupBy("key").agg(F.max(F.struct("often", F.col("a").alias("b"), F.col("n").alias("m"), F.col("pos").alias("at"))).alias("l")).select("key", "l.*")
     star = members.join(lead_, "key").where("a <> b").where(possible_column(F.col("n"), F.col("pos"), F.col("m"), F.col("at"), percent))
-    pairs = durable(pairs.union(star.select(F.least("a", "b"), F.greatest("a", "b"))).distinct())
+    pairs = pairs.union(star.select(F.least("a", "b"), F.greatest("a", "b"))).distinct()
+    pairs = durable(close_enough(pairs, marks, percent))
     links = verified(rows, pairs, classes, words, percent)
     labels = components(links)
-    rest = durable(left_over(members, labels, percent).join(pairs, ["a", "b"], "left_anti"))
+    rest = left_over(members, labels, percent).join(pairs, ["a", "b"], "left_anti")
+    rest = durable(close_enough(rest, marks, percent))
     if not rest.isEmpty():
         links = links.union(verified(rows, rest, classes, words, percent))
         labels = components(links)
