@@ -7,8 +7,9 @@
    order, sets meet by such tokens, with size and position bounds. Small meetings give their pairs. In large ones
    everybody is paired with the set that meets most often; once links are known, only pairs between different
    components are left to look at, in blocks of bounded size.
-4. Parities of 1,024 token groups, kept for each set, bound the difference of two sets from below and drop candidates that
-   differ too much. What is left must also share leading tokens under the other orders; then the whole sets are compared.
+4. Parities of token groups, two to four groups for each token, bound the difference of two sets from below and drop
+   candidates that differ too much. What is left must also share leading tokens under the other orders; then the
+   whole sets are compared.
 
 Components come from minimum labels with pointer jumping. No step gathers a group, links or components in one place;
 the driver holds the sketch and a Bloom filter, both of fixed size.
@@ -29,7 +30,7 @@ from hubbub.llm.wordtable import Powers, hash_spans, mix
 WORDS, PERCENT, ORDERS = 5, 80, 3
 # Sketch counters and chunks they travel in; bits of the Bloom filter over candidates.
 COUNTERS, CHUNK, BLOOM_BITS = 1 << 22, 1 << 16, 1 << 26
-# Token groups whose parity is kept.
+# The fewest token groups whose parity is kept for a set.
 PARITY_BITS = 1024
 # Members of a meeting that gives all its pairs; rows of a task; members of a block of a larger meeting.
 SMALL, TASK_ROWS, BLOCK = 16, 600_000, 1024
@@ -78,9 +79,18 @@ def bucket_of(tokens):
 
 
 def parities(tokens):
-    """Of each token group, whether an odd number of tokens is in the set, packed in longs."""
-    at = (mix(tokens ^ SALTS[-3]) >> np.uint64(64 - PARITY_BITS.bit_length() + 1)).astype(np.int64)
-    return np.packbits((np.bincount(at, minlength=PARITY_BITS) & 1).astype(np.uint8)).view(np.int64)
+    """Of each token group, whether an odd number of tokens is in the set, as packed bits."""
+    bits = max(PARITY_BITS.bit_length() - 1, (2 * len(tokens) - 1).bit_length())
+    at = (mix(tokens ^ SALTS[-3]) >> np.uint64(64 - bits)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=1 << bits) & 1).astype(np.uint8))
+
+
+def differing(x, y):
+    """The least number of tokens that two sets with these parities differ by."""
+    x, y = np.unpackbits(np.frombuffer(x, np.uint8)), np.unpackbits(np.frombuffer(y, np.uint8))
+    # Twice as many groups are halves of the fewer ones.
+    x, y = (np.bitwise_xor.reduce(v.reshape(min(len(x), len(y)), -1), axis=1) for v in (x, y))
+    return int((x ^ y).sum(dtype=np.int64))
 
 
 def lead(n, percent=PERCENT):
@@ -236,9 +246,9 @@ def close_enough(pairs, marks, percent):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("da", "db"))
             n = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-            ok = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) * (100 + percent) <= n * (100 - percent)
+            least = np.array([differing(x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column("da"), batch.column("db"))])
+            ok = least * (100 + percent) <= n * (100 - percent)
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "da", "db")
