@@ -11,8 +11,9 @@ from hubbub.functions.times import in_range, parse_wall
 from hubbub.operators.filters import content_words, term_array, zip_tags
 from hubbub.operators.joins import fits_broadcast
 from hubbub.operators.ranking import top_per_group
-from hubbub.operators.segment import Dictionary, segment
+from hubbub.operators.segment import by_join, collected, known_words, one_per_word
 from hubbub.operators.units import text_units
+from hubbub.session import durable
 from hubbub.sources.lexicon import STOP_WORDS
 
 TOP_WORDS = 50
@@ -33,34 +34,29 @@ def top_terms(counts, keys=("article_url",), n=TOP_WORDS):
     return top_per_group(counts, list(keys), order, n)
 
 
-_DONE = (
-    "struct<units:array<array<string>>,"
-    "body_top:array<struct<word:string,count:bigint>>,comments_top:array<struct<word:string,count:bigint>>>"
-)
+_DONE = "struct<body_top:array<struct<word:string,count:bigint>>,comments_top:array<struct<word:string,count:bigint>>>"
 
 
-def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WORDS, segmented=True,
-           key="article_url", small=None):
+def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WORDS, segmented=True, small=None):
     """Write keywords back into each article and its comments, with both top lists.
 
     Everything happens inside the row, so no article is shuffled. ``method='jieba'`` keeps terms
     that are no stop words, ``method='ckip'`` keeps nouns and verbs. ``segmented=False`` takes
     the sentence pieces as words (blank-separated languages). With a dictionary beyond the
-    broadcast limit the words are found by join and brought back to their article by ``key``,
-    which must then be unique.
+    broadcast limit the words are found by join and brought back to their row; the result is the same.
     """
     spark = articles.sparkSession
-    if segmented and lexicon is not None and small is None:
-        small = fits_broadcast(lexicon.select("word", "weight", "tag"))
-    by_join = segmented and lexicon is not None and not small
-    dictionary = None
-    if segmented and not by_join:
-        table = [] if lexicon is None else lexicon.select("word", "weight", "tag").collect()  # measured above
-        dictionary = spark.sparkContext.broadcast(Dictionary([tuple(r) for r in table]))
+    if segmented and lexicon is not None:
+        lexicon = one_per_word(lexicon)
+        small = fits_broadcast(lexicon) if small is None else small
+    joined = segmented and lexicon is not None and not small
+    shared = None
+    if segmented and not joined:
+        shared = spark.sparkContext.broadcast([] if lexicon is None else collected(lexicon))
 
     @F.pandas_udf("struct<word:array<array<string>>,pos:array<array<string>>>")
     def cut_units(column: pd.Series) -> pd.DataFrame:
-        known = dictionary.value
+        known = known_words(shared)
         words_of = known.cutter()
         found = [[[w for s in unit for w in words_of(s)] for unit in units] for units in column]
         return pd.DataFrame({
@@ -71,7 +67,6 @@ def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WO
     def finish(column: pd.Series) -> pd.DataFrame:
         rows = [list(map(list, units)) for units in column]
         return pd.DataFrame({
-            "units": rows,
             "body_top": [_top(units[0], top_n) for units in rows],
             "comments_top": [_top([w for unit in units[1:] for w in unit], top_n) for units in rows],
         })
@@ -83,37 +78,36 @@ def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WO
     )
     pieces = F.transform(texts, lambda text: sentences(text))
     if segmented:
-        tagged = _cut_by_join(articles, lexicon, key) if by_join else articles.withColumn("_tagged", cut_units(pieces))
+        tagged = _cut_by_join(articles, lexicon) if joined else articles.withColumn("_tagged", cut_units(pieces))
         if method == "ckip":
             units = F.zip_with("_tagged.word", "_tagged.pos", lambda w, p: content_words(zip_tags(w, p)))
         else:
             units = F.transform("_tagged.word", lambda unit: term_array(unit, stop))
     else:
         tagged, units = articles, F.transform(pieces, lambda unit: term_array(unit, stop))
-    done = tagged.withColumn("_done", finish(units))
-    comments = F.transform(
-        "comments", lambda c, i: c.withField("comment_keywords", F.get(F.col("_done.units"), i + 1))
-    )
+    done = tagged.withColumn("_units", units)
+    done = done.withColumn("_done", finish("_units"))
+    comments = F.transform("comments", lambda c, i: c.withField("comment_keywords", F.get(F.col("_units"), i + 1)))
     return (
-        done.withColumn("content_keywords", F.get("_done.units", F.lit(0)))
+        done.withColumn("content_keywords", F.get("_units", F.lit(0)))
         .withColumn("content_top_key", F.col("_done.body_top"))
         .withColumn("comments_top_key", F.col("_done.comments_top"))
         .withColumn("comments", comments)
         .withColumn("method", F.lit(method))
-        .drop("_tagged", "_done")
+        .drop("_tagged", "_done", "_units")
     )
 
 
-def _cut_by_join(articles, lexicon, key):
-    """Segment every unit with ``segment`` and bring an article's units, its own text, together."""
-    cut = segment(text_units(articles, [key]), lexicon, [key], small=False)
-    units = cut.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("unit_ix", "tagged"))).alias("_units"))
+def _cut_by_join(articles, lexicon):
+    """Segment every unit by join and bring an article's units, its own text, together."""
+    numbered = durable(articles.withColumn("_row", F.monotonically_increasing_id()))
+    cut = by_join(durable(text_units(numbered, ["_row"])), lexicon, ["_row", "unit_ix"], "x")
+    units = cut.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("unit_ix", "tagged"))).alias("_units"))
 
     def part(name):
         return F.transform("_units", lambda u: F.transform(u["tagged"], lambda t: t[name])).alias(name)
 
-    joined = articles.join(units, key, "left")
-    return joined.select(*articles.columns, F.struct(part("word"), part("pos")).alias("_tagged"))
+    return numbered.join(units, "_row", "left").select(*articles.columns, F.struct(part("word"), part("pos")).alias("_tagged"))
 
 
 def _top(found, n):

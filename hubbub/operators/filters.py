@@ -13,20 +13,21 @@ def keep_terms(tokens, stop=STOP_WORDS, word="word"):
     """Rows whose word is a term and no stop word. Repeats are kept.
 
     Up to ``_LITERAL_WORDS`` given words are tested in place by hash set; a table, or a larger
-    collection, is an anti join (broadcast if measured small, salted otherwise).
+    collection, is an anti join (broadcast if measured small). A missing stop word stops nothing.
     """
     tokens = tokens.where(is_term(word))
     if not hasattr(stop, "join") or isinstance(stop, str):
-        stop = list(stop)
+        stop = [w for w in stop if w is not None]
         if len(stop) <= _LITERAL_WORDS:
             return tokens.where(~F.col(word).isin(*stop)) if stop else tokens
         stop = tokens.sparkSession.createDataFrame([(w,) for w in stop], "word string")
-    return lookup_join(tokens, stop.select(F.col("word").alias(word)).distinct(), [word], "left_anti")
+    stop = stop.where(F.col("word").isNotNull()).select(F.col("word").alias(word)).distinct()
+    return lookup_join(tokens, stop, [word], "left_anti")
 
 
 def term_array(words, stop=STOP_WORDS):
     """The same filter inside an array, order and repeats kept."""
-    stop = list(stop)
+    stop = [w for w in stop if w is not None]
     return F.filter(words, lambda w: is_term(w) & ~w.isin(*stop) if stop else is_term(w))
 
 

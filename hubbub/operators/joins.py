@@ -12,24 +12,38 @@ HOT_SHARE = 0.02
 
 def fits_broadcast(df, max_rows=BROADCAST_ROWS, max_bytes=BROADCAST_BYTES):
     """Measure a lookup table: true if its rows and text bytes are within the limits."""
-    width = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns])
+    width = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.to_json(F.struct(f"`{c}`"))), F.lit(0)) for c in df.columns])
     rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 
 
+def row_hash(columns, schema):
+    """Hash of a row's columns; maps, which have no hash, are hashed as JSON text."""
+    return F.xxhash64(*[F.to_json(F.struct(f"`{c}`")) if "map<" in schema[c].dataType.simpleString() else F.col(f"`{c}`") for c in columns])
+
+
 def lookup_join(many, table, on, how="left", salts=32, small=None):
-    """Join rows to a lookup table that is unique on ``on``.
+    """Join rows to a lookup table that is unique on ``on``. The result is the same either way:
 
-    A table measured as small is broadcast. A larger one is joined by shuffle with salted keys:
-    each lookup row is copied ``salts`` times, so a frequent key is shared by that many tasks.
+    A table measured as small is broadcast. A larger one is joined by shuffle. Rows that are nothing but their
+    key are counted before they move; otherwise the few keys that hold many rows are spread over
+    ``salts`` tasks, and only their lookup rows are copied.
     """
     if small is None:
         small = fits_broadcast(table)
     if small:
         return many.join(F.broadcast(table), on, how)
     others = [c for c in many.columns if c not in on]
-    salt = F.pmod(F.xxhash64(*(others or on)), F.lit(salts)).cast("int")
-    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    if not others:
+        counted = many.groupBy(*on).agg(F.count(F.lit(1)).alias("_times")).join(table, on, how)
+        return counted.withColumn("_times", F.explode(F.sequence(F.lit(1).cast("bigint"), "_times"))).drop("_times")
+    hot = hot_keys(many, on[0]) if len(on) == 1 else []
+    if not hot:
+        return many.join(table, on, how)
+    is_hot = F.coalesce(F.col(on[0]).isin(*hot), F.lit(False))
+    salt = F.when(is_hot, F.pmod(row_hash(others, many.schema), F.lit(salts)).cast("int")).otherwise(0)
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted = table.withColumn("_salt", F.explode(copies))
     return many.withColumn("_salt", salt).join(salted, on + ["_salt"], how).drop("_salt")
 
 
@@ -48,8 +62,8 @@ def hot_keys(df, key, share=HOT_SHARE):
 def skewed_join(many, one, key, how="left", hot=None):
     """Equi-join where ``one`` is unique on ``key`` and ``many`` may be skewed.
 
-    Rows of the few hot keys meet their at most ``HOT_KEYS`` partners by broadcast and are never
-    moved; all other rows take the normal shuffle join. Without hot keys it is one plain join.
+    Rows of the few hot keys meet their at most ``HOT_KEYS`` partners by broadcast, if those are measured as small,
+    and are never moved; all other rows take the normal shuffle join. Otherwise it is one plain join.
     """
     if how not in ("inner", "left"):
         raise ValueError("inner or left only")
@@ -59,6 +73,8 @@ def skewed_join(many, one, key, how="left", hot=None):
         return many.join(one, key, how)
     is_hot = F.col(key).isin(*hot)
     few = one.where(is_hot)
+    if not fits_broadcast(few):
+        return many.join(one, key, how)
     spread = many.where(is_hot).join(F.broadcast(few), key, how)
     rest = many.where(~is_hot | F.col(key).isNull()).join(one.where(~is_hot), key, how)
     return spread.unionByName(rest)

@@ -9,8 +9,15 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hubbub.functions.times import post_date, previous_year_if_future
+from hubbub.operators.joins import fits_broadcast
 from hubbub.operators.ranking import top_per_group
 
+
+def _per_board(summary):
+    """A summary of one row per board, sent to the entries where it is measured as small, so that they stay in place."""
+    return F.broadcast(summary) if fits_broadcast(summary) else summary
+
+
 def valid_entries(entries):
     """Entries that link to a post, with their newest-first place."""
     place = F.struct(F.col("page_seq").alias("page_seq"), (-F.col("pos")).alias("pos_back"))
@@ -24,7 +31,7 @@ def date_entries(entries, year, as_of):
     """
     first = entries.where(~F.col("pinned")).groupBy("board").agg(F.min("place").alias("_first"))
     # Dates are read below the join, so later filters on them do not read them again.
-    dated = entries.withColumn("_read", post_date("date", year)).join(first, "board", "left")
+    dated = entries.withColumn("_read", post_date("date", year)).join(_per_board(first), "board", "left")
     exempt = F.col("pinned") | (F.col("place") == F.col("_first"))
     as_of = F.lit(as_of).cast("timestamp_ntz")
     return dated.withColumn("parsed_date", previous_year_if_future("_read", as_of, exempt)).drop("_first", "_read")
@@ -37,7 +44,7 @@ def until_stop_date(entries, stop_date):
     """
     old = F.col("parsed_date") < F.lit(stop_date).cast("timestamp_ntz")
     stops = entries.where(old).groupBy("board").agg(F.min("place").alias("_stop"))
-    kept = entries.join(stops, "board", "left")
+    kept = entries.join(_per_board(stops), "board", "left")
     return kept.where(F.col("_stop").isNull() | (F.col("place") < F.col("_stop"))).drop("_stop")
 
 
@@ -51,7 +58,7 @@ def first_pinned(entries):
     """Pinned posts of the first page that has any, per board: later pages repeat them."""
     pinned = entries.where("pinned")
     page = pinned.groupBy("board").agg(F.min("page_seq").alias("page_seq"))
-    return pinned.join(page, ["board", "page_seq"], "left_semi")
+    return pinned.join(_per_board(page), ["board", "page_seq"], "left_semi")
 
 
 def append_pinned(normal, pinned):
@@ -61,7 +68,7 @@ def append_pinned(normal, pinned):
     """
     sizes = normal.groupBy("board").agg(F.count(F.lit(1)).alias("_size"))
     order = Window.partitionBy("board").orderBy("pos")
-    tail = pinned.withColumn("_n", F.row_number().over(order)).join(sizes, "board", "left")
+    tail = pinned.withColumn("_n", F.row_number().over(order)).join(_per_board(sizes), "board", "left")
     seq = F.coalesce("_size", F.lit(0)) + F.col("_n") - 1
     return normal.unionByName(tail.withColumn("seq", seq).select(normal.columns))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hubbub.functions.text import sentences
 from hubbub.operators.joins import fits_broadcast, lookup_join
+from hubbub.session import durable, kept_in_worker
 
 # Two plain arrays cross from Python faster than an array of structs.
 _CUT = "struct<word:array<string>,pos:array<string>>"
@@ -88,43 +89,66 @@ def _loose_parts(text):
             yield from (p for p in _RUN.split(part) if p)
 
 
+def one_per_word(lexicon):
+    """One row per word, before any way of using the dictionary: the largest weight, and its last tag in order."""
+    weight = F.greatest(F.coalesce(F.col("weight").cast("double"), F.lit(1.0)), F.lit(1.0))
+    rows = lexicon.where(F.col("word") != "").groupBy("word").agg(F.max(F.struct(weight.alias("weight"), "tag")).alias("e"))
+    return rows.select("word", "e.weight", "e.tag")
+
+
 def segment(units, lexicon=None, keys=("article_url",), default_tag="x", small=None):
     """Add ``tagged``: the (word, pos) pairs of each text unit, sentence by sentence.
 
     A dictionary measured as small is sent to every worker once. A larger one never leaves the
     executors: all parts of the sentences up to the longest word are joined to it, and each
-    unit's matches (bounded by its own text) feed the same path search.
+    unit's matches (bounded by its own text) feed the same path search. Either way gives the same rows.
     """
     if lexicon is None:
-        return _by_broadcast(units, Dictionary([]), default_tag)
-    lexicon = lexicon.select("word", "weight", "tag")
+        return _by_broadcast(units, [], default_tag)
+    lexicon = one_per_word(lexicon)
     if small is None:
         small = fits_broadcast(lexicon)
     if small:
-        rows = [tuple(r) for r in lexicon.collect()]  # measured above
-        return _by_broadcast(units, Dictionary(rows), default_tag)
-    return _by_join(units, lexicon, list(keys) + ["unit_ix"], default_tag)
+        return _by_broadcast(units, collected(lexicon), default_tag)
+    # Rows are told apart by a number of their own: keys may repeat or be missing.
+    numbered = durable(units.withColumn("_row", F.monotonically_increasing_id()))
+    return by_join(numbered, lexicon, ["_row"], default_tag).drop("_row")
+
+
+def collected(lexicon):
+    return [tuple(r) for r in lexicon.collect()]  # measured before
 
 
-def _by_broadcast(units, dictionary, default_tag):
-    shared = units.sparkSession.sparkContext.broadcast(dictionary)
+def known_words(shared):
+    """The dictionary of broadcast rows, built once per worker process. Plain rows travel, so workers need no package."""
+    return kept_in_worker(("dictionary", id(shared.value)), lambda: (shared.value, Dictionary(shared.value)))[1]
+
+
+def _by_broadcast(units, rows, default_tag):
+    shared = units.sparkSession.sparkContext.broadcast(rows)
 
     @F.pandas_udf(_CUT)
     def run(column: pd.Series) -> pd.DataFrame:
-        known = shared.value
+        known = known_words(shared)
         words_of = known.cutter()
         found = [[w for part in parts for w in words_of(part)] for parts in column]
         return pd.DataFrame({"word": found, "pos": [[known.tag(w, default_tag) for w in ws] for ws in found]})
 
-    return units.withColumn("_cut", run(sentences("text"))).withColumn("tagged", _zipped("_cut")).drop("_cut")
+    return units.withColumn("_cut", run(_parts())).withColumn("tagged", _zipped("_cut")).drop("_cut")
+
+
+def _parts():
+    """Sentences of a unit; a missing text has none."""
+    return F.coalesce(sentences("text"), F.array().cast("array<string>"))
 
 
 def _zipped(cut_column):
     return F.arrays_zip(F.col(f"{cut_column}.word").alias("word"), F.col(f"{cut_column}.pos").alias("pos"))
 
 
-def _by_join(units, lexicon, row_key, default_tag):
-    longest, total = lexicon.agg(F.max(F.char_length("word")), F.sum(F.greatest(F.coalesce("weight", F.lit(1.0)), F.lit(1.0)))).first()
+def by_join(units, lexicon, row_key, default_tag):
+    """As ``segment``, for a stored table of units whose ``row_key`` tells every row from every other."""
+    longest, total = lexicon.agg(F.max(F.char_length("word")), F.sum("weight")).first()
     log_total = log(total or 1.0)
     parts = units.select(*row_key, F.explode(sentences("text")).alias("sentence"))
     starts = parts.select("*", F.explode(F.sequence(F.lit(1), F.char_length("sentence"))).alias("start"))
@@ -139,7 +163,7 @@ def _by_join(units, lexicon, row_key, default_tag):
     def run(column: pd.Series, found: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([_cut_found(parts, hits, log_total, default_tag) for parts, hits in zip(column, found)])
 
-    joined = units.join(matches, row_key, "left").withColumn("_cut", run(sentences("text"), F.col("_found")))
+    joined = units.join(matches, row_key, "left").withColumn("_cut", run(_parts(), F.col("_found")))
     return joined.withColumn("tagged", _zipped("_cut")).drop("_cut", "_found")
 
 

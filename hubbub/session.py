@@ -1,6 +1,8 @@
 """Session settings and durable intermediate results."""
 
+import sys
 import tempfile
+import types
 
 # Runtime settings the jobs are designed for. Partition counts are left to the cluster:
 # adaptive execution coalesces small shuffles and splits skewed join partitions.
@@ -47,3 +49,12 @@ def durable(df):
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
+
+
+def kept_in_worker(name, make):
+    """The object last made under ``name`` in this Python worker process, kept for later tasks."""
+    store = sys.modules.setdefault("hubbub_kept", types.ModuleType("hubbub_kept"))
+    kind, key = name
+    if getattr(store, kind, (None, None))[0] != key:
+        setattr(store, kind, (key, make()))  # one object of a kind, so memory stays bounded
+    return getattr(store, kind)[1]
