@@ -22,21 +22,45 @@ def _with_terms(df):
     ])
 
 
-def _reader(spark, mode, schema, lines):
+# Files of either form: one object over many lines, or one object per line. Batch and stream look for the same ones.
+GLOBS = {False: "*.json", True: "*.{json,jsonl,txt}"}
+
+
+def _lines(spark, path, mode, schema):
     return (
-        spark.read.schema(schema).option("multiLine", not lines).option("pathGlobFilter", "*.txt" if lines else "*.json")
-        .option("recursiveFileLookup", False).option("mode", mode)
-        .option("columnNameOfCorruptRecord", CORRUPT)
+        spark.read.schema(schema).option("pathGlobFilter", GLOBS[True]).option("mode", mode)
+        .option("columnNameOfCorruptRecord", CORRUPT).json(path).withColumn("source_filename", F.col("_metadata.file_name"))
     )
 
 
+def _wholes(spark, path, schema):
+    """Whole files as ``article``, NULL where a file is not exactly one object.
+
+    The text is read as the only element of a list, so whatever follows the object makes the file malformed
+    instead of being left out."""
+    texts = spark.read.option("pathGlobFilter", GLOBS[False]).text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("source_filename"))
+    asked = T.ArrayType(T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())]))
+    found = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), asked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    read = texts.withColumn("_found", found)
+    fine = (F.size("_found") == 1) & F.get("_found", F.lit(0)).isNotNull() & F.get("_found", F.lit(0))[CORRUPT].isNull()
+    return read.select("value", "source_filename", F.when(fine, F.get("_found", F.lit(0))).alias("article"))
+
+
+def _articles(wholes):
+    return _with_terms(wholes.select(*[F.col(f"article.{f.name}") for f in ARTICLE_JSON.fields], "source_filename"))
+
+
 def read_articles(spark, path, lines=False):
     """Scan a folder of article files, one JSON object each; any malformed file ends the run.
 
-    ``lines`` reads the bulk form with one article per line, which splits and compacts well.
+    ``lines`` reads the bulk form with one article per line, which splits and compacts well and is what
+    ``write_articles(form="json")`` writes.
     """
-    df = _reader(spark, "FAILFAST", ARTICLE_JSON, lines).json(path)
-    return _with_terms(df.withColumn("source_filename", F.col("_metadata.file_name")))
+    if lines:
+        return _with_terms(_lines(spark, path, "FAILFAST", ARTICLE_JSON))
+    wholes = _wholes(spark, path, ARTICLE_JSON)
+    message = F.concat(F.lit("not one article object: "), "source_filename")
+    return _articles(wholes.withColumn("article", F.when(F.col("article").isNull(), F.raise_error(message)).otherwise(F.col("article"))))
 
 
 def read_articles_tolerant(spark, path, lines=False):
@@ -44,8 +68,12 @@ def read_articles_tolerant(spark, path, lines=False):
 
     Returns (articles, rejected); ``rejected`` holds file name and text.
     """
+    if not lines:
+        wholes = _wholes(spark, path, ARTICLE_JSON)
+        rejected = wholes.where("article is null").select("source_filename", F.col("value").alias("content"))
+        return _articles(wholes.where("article is not null")), rejected
     schema = T.StructType(ARTICLE_JSON.fields + [T.StructField(CORRUPT, T.StringType())])
-    df = _reader(spark, "PERMISSIVE", schema, lines).json(path).withColumn("source_filename", F.col("_metadata.file_name"))
+    df = _lines(spark, path, "PERMISSIVE", schema)
     good = _with_terms(df.where(F.col(CORRUPT).isNull()).drop(CORRUPT))
     # A scan may not ask for the text of bad records alone, so the filter also looks at a field.
     looked_at = F.coalesce(F.char_length("article_url"), F.lit(0)) >= 0

@@ -4,13 +4,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hubbub.schemas import ARTICLE_JSON
+from hubbub.sources.articles import GLOBS
 
 
 def article_stream(spark, path, lines=False):
     """New article files of a folder as a stream; ``lines`` for many articles per file."""
     return (
         spark.readStream.schema(ARTICLE_JSON).option("multiLine", not lines)
-        .option("pathGlobFilter", "*.json").json(path)
+        .option("pathGlobFilter", GLOBS[lines]).json(path)
     )
 
 

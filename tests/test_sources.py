@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from hubbub.sources import articles, lexicon, tasks
 
@@ -85,3 +86,15 @@ def test_shared_folder_comes_from_the_session(spark, tmp_path):
 
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert durable(spark.range(3)).count() == 3
+
+
+def test_many_rows_in_the_json_form(spark, tmp_path):
+    rows = spark.range(10).select(F.concat(F.lit("u"), "id").alias("article_url"), F.lit("c").alias("article_category"), F.lit(1).alias("seq"))
+    articles.write_articles(rows.repartition(1), str(tmp_path / "out"), form="json")
+    read = articles.read_articles(spark, str(tmp_path / "out"), lines=True)
+    assert sorted(r.article_url for r in read.collect()) == [f"u{i}" for i in range(10)]
+    # The same folder as one object per file is refused, not cut short.
+    good, rejected = articles.read_articles_tolerant(spark, str(tmp_path / "out"))
+    assert good.count() == 0 and rejected.count() == 1
+    with pytest.raises(Exception, match="not one article object"):
+        articles.read_articles(spark, str(tmp_path / "out")).collect()

@@ -29,7 +29,7 @@ def nested_documents(spark, sf_dir):
     comments = F.transform(F.slice(lines, F.lit(2), F.size(lines)), comment)
     values = {
         "article_source": F.lit("documents"), "article_url": F.concat(F.lit("doc/"), F.col("doc_id")),
-        "article_title": F.left("text", F.lit(20)), "article_category": F.col("lang"), "article_author": F.col("source"),
+        "article_title": F.get(lines, F.lit(0)), "article_category": F.col("lang"), "article_author": F.col("source"),
         "publish_time": F.left(start.cast("string"), F.lit(19)), "date_year": F.year(start), "date_month": F.month(start),
         "date_day": F.dayofmonth(start), "reaction_count": F.size(comments).cast("bigint"), "comment_count": F.size(comments).cast("bigint"),
         "content_raw": F.get(lines, F.lit(0)), "comments": comments,
@@ -120,7 +120,28 @@ def article_io_roundtrip(spark, sf_dir):
     return read.unionByName(aside)
 
 
-@query("""select lang as article_category, max(doc_id)::bigint as doc_id, left(text, 20) as article_title from documents group by lang, left(text, 20)""")
+@query("""with d as (select doc_id, lang, source, string_split(text, chr(10)) as lines from documents)
+select 'doc/' || doc_id as article_url, unnest(['file', 'line']) as form, lang as article_category, lines[1] as content_raw,
+  len(lines)::bigint - 1 as comment_count, array_to_string(lines[2:], '|') as said, true as named, true as alone from d""")
+def article_files_both_forms(spark, sf_dir):
+    """Articles written as one object per file and as lines, both read strictly, with the name of their file."""
+    path = f"{shared_dir(spark)}/forms-{uuid.uuid4().hex}"
+    rows = article_files.article_json(nested_documents(spark, sf_dir))
+    rows.write.option("maxRecordsPerFile", 1).json(f"{path}/file")
+    rows.write.json(f"{path}/line")
+    out = []
+    for form in ("file", "line"):
+        read = article_files.read_articles(spark, f"{path}/{form}", lines=form == "line")
+        sizes = read.groupBy(F.col("source_filename").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+        named = read.join(sizes, F.col("source_filename") == F.col("file"))
+        out.append(named.select(
+            "article_url", F.lit(form).alias("form"), "article_category", "content_raw", "comment_count",
+            F.array_join(F.transform("comments", lambda c: c["comment_content"]), "|").alias("said"),
+            F.col("source_filename").endswith(".json").alias("named"), (F.lit(form == "line") | (F.col("n") == 1)).alias("alone")))
+    return out[0].unionByName(out[1])
+
+
+@query("""select lang as article_category, max(doc_id)::bigint as doc_id, string_split(text, chr(10))[1] as article_title from documents group by lang, string_split(text, chr(10))[1]""")
 def article_write_last_wins(spark, sf_dir):
     """Written once per title and category, the last document winning, and read back by partition."""
     path = f"{shared_dir(spark)}/upsert-{uuid.uuid4().hex}"
