@@ -108,3 +108,31 @@ lexicon as (
     case when word < 'h' then 'NAMES' when word < 'p' then 'PLACES' end as section
   from lexicon_words where {sql_is_term('word')} group by word)
 """
+
+
+def sql_segments(texts):
+    """CTEs that cut every different block of the column ``text`` of ``texts`` along its most probable path: ``cut`` holds
+    (block, i, word, tag) with i rising, tag being the dictionary's or 'x'. Needs ``lexicon`` and WITH RECURSIVE."""
+    return f"""
+blocks as (select distinct unnest(regexp_extract_all(text, '[一-鿕a-zA-Z0-9+#&._%-]+')) as block from {texts}),
+scale as (select ln(sum(greatest(weight, 1))) as total, max(length(word)) as longest from lexicon),
+starts as (select block, unnest(range(length(block))) as s from blocks),
+parts as (select block, s, unnest(range(s + 1, least(length(block), s + longest) + 1)) as e from starts, scale),
+found as (select block, s, e, ln(greatest(weight, 1)) - total as score
+  from parts join lexicon on word = substring(block, s + 1, e - s), scale),
+words_of as (select block, list({{'s': s, 'e': e, 'score': score}}) as hits from found group by block),
+path as (
+  select b.block, length(b.block) as k, [0.0::double] as best, []::bigint[] as ends, coalesce(hits, []) as hits
+  from blocks b left join words_of w on w.block = b.block
+  union all
+  select block, k - 1, list_prepend(top[1], best), list_prepend(top[2]::bigint, ends), hits from (
+    select block, k, best, ends, hits, list_max(list_prepend([best[1] - total, k], list_transform(
+      list_filter(hits, lambda h: h.s = k - 1), lambda h: [h.score + best[h.e - k + 1], h.e]))) as top
+    from path, scale where k > 0)),
+steps as (
+  select block, ends, 0::bigint as s, ends[1] as e from path where k = 0
+  union all
+  select block, ends, e, ends[e + 1] from steps where e < length(block)),
+cut as (select block, s as i, substring(block, s + 1, e - s) as word, coalesce(tag, 'x') as tag
+  from steps left join lexicon on word = substring(block, s + 1, e - s))
+"""

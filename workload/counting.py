@@ -6,7 +6,7 @@ from hubbub.functions.text import is_term, sentences
 from hubbub.operators import counts, filters, segment, units
 from hubbub.operators.ranking import first_match
 from workload.base import (
-    SQL_LEXICON, SQL_STOP, STOP, benchmark_lexicon, query, sql_is_term, sql_sentences, sql_tokens, table,
+    SQL_LEXICON, SQL_STOP, STOP, benchmark_lexicon, query, sql_is_term, sql_segments, sql_sentences, sql_tokens, table,
     talk_units, texts,
 )
 
@@ -137,15 +137,33 @@ def segmented_terms(spark, sf_dir):
     return tokens.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
-def segmented_terms_lexicon(spark, sf_dir):
-    """Segmentation with a weighted dictionary, nouns and verbs kept. A shortest-path search: no SQL."""
+SQL_SEGMENTED = f"""with recursive {SQL_LEXICON}, {sql_segments('documents')},
+said as (select doc_id, unnest(b) as block, unnest(range(len(b))) as place
+  from (select doc_id, regexp_extract_all(text, '[一-鿕a-zA-Z0-9+#&._%-]+') as b from documents)),
+kept as (select doc_id, word, row_number() over (partition by doc_id order by place, i) - 1 as pos
+  from said join cut using (block) where length(word) > 1 and (tag like 'N%' or tag like 'V%'))
+select doc_id, word, count(*) as n, min(pos)::bigint as first_pos from kept group by 1, 2"""
+
+
+def _segmented_terms(spark, sf_dir, small):
     docs = texts(spark, sf_dir, "documents", "doc_id").select("doc_id", F.lit(0).alias("unit_ix"), "text")
-    cut = segment.segment(docs, benchmark_lexicon(spark, sf_dir), ["doc_id"])
+    cut = segment.segment(docs, benchmark_lexicon(spark, sf_dir), ["doc_id"], small=small)
     tokens = units.token_rows(cut, filters.content_words(F.col("tagged")))
     return counts.term_counts(tokens, ["doc_id"])
 
 
+@query(SQL_SEGMENTED)
+def segmented_terms_lexicon(spark, sf_dir):
+    """Segmentation with a weighted dictionary, nouns and verbs kept."""
+    return _segmented_terms(spark, sf_dir, None)
+
+
+@query(SQL_SEGMENTED)
+def segmented_terms_by_join(spark, sf_dir):
+    """The same by join, the way of dictionaries too large to send."""
+    return _segmented_terms(spark, sf_dir, False)
+
+
 @query(f"""with t as (select conv_id, turn, text, list_filter({sql_sentences('text')}, lambda x: {sql_is_term('x')}) as words from conversations),
 z as (select conv_id, turn, words[1:len(string_split(text, chr(10)))] as words, string_split(text, chr(10)) as lines from t)
 select conv_id, turn, len(words)::bigint as zipped, coalesce(array_to_string(words, ' '), '') as paired,
