@@ -103,12 +103,13 @@ def iso_utc_wall(c, hours=HOME_OFFSET_HOURS):
 
 
 def iso_offset_wall(c, hours=HOME_OFFSET_HOURS):
-    """ISO time with 'Z' or '+hh:mm' moved to a fixed offset, else NULL."""
+    """ISO time with 'Z', '+hh:mm', '+hhmm' or '+hh' moved to a fixed offset, else NULL."""
     c = _col(c)
-    shape = r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)(Z|[+-]\d{2}:\d{2})$"
+    shape = r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)(Z|[+-]\d{2}(?::?\d{2})?)$"
     wall = F.concat_ws(" ", F.regexp_extract(c, shape, 1), F.regexp_extract(c, shape, 2)).try_cast("timestamp_ntz")
     zone = F.regexp_extract(c, shape, 3)
-    minutes = F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, 5, 2).try_cast("int")
+    own = F.rpad(F.translate(F.substring(zone, 2, 5), ":", ""), 4, "0")
+    minutes = F.substring(own, 1, 2).try_cast("int") * 60 + F.substring(own, 3, 2).try_cast("int")
     signed = F.when(zone == "Z", F.lit(0)).when(zone.startswith("-"), -minutes).otherwise(minutes)
     return wall + F.make_dt_interval(F.lit(0), F.lit(int(hours)), -signed, F.lit(0))
 

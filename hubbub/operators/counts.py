@@ -117,17 +117,15 @@ def _top(found, n):
 def pooled_words(articles, start, end):
     """All keywords of bodies and of comments, each filtered by its own time, as rows.
 
-    Comments are filtered inside the array before they become rows.
+    One pass: each text stays with its own time until the rows outside the range are gone. The outer form
+    keeps the optimiser from computing the words a second time to test them for emptiness.
     """
-    body = (
-        articles.where(in_range(parse_wall("publish_time"), start, end))
-        .select(F.explode("content_keywords").alias("word"))
-    )
-    inside = F.filter("comments", lambda c: in_range(parse_wall(c["comment_date_format"]), start, end))
-    comment = articles.select(
-        F.explode(F.flatten(F.transform(inside, lambda c: F.coalesce(c["comment_keywords"], F.array().cast("array<string>"))))).alias("word")
-    )
-    return body.unionByName(comment)
+    body = F.struct(parse_wall("publish_time").alias("at"), F.col("content_keywords").alias("words"))
+    said = F.transform("comments", lambda c: F.struct(parse_wall(c["comment_date_format"]).alias("at"), c["comment_keywords"].alias("words")))
+    none = F.array().cast("array<struct<at:timestamp_ntz,words:array<string>>>")
+    texts = articles.select(F.explode_outer(F.concat(F.array(body), F.coalesce(said, none))).alias("t"))
+    words = texts.where(in_range(F.col("t.at"), start, end)).select(F.explode_outer("t.words").alias("word"))
+    return words.where(F.col("word").isNotNull())
 
 
 def pooled_frequencies(words, n=CLOUD_WORDS):

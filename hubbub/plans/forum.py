@@ -7,7 +7,7 @@ from hubbub.functions.times import comment_time, date_parts, epoch_wall, last_tw
 from hubbub.functions.urls import absolute_url
 from hubbub.operators.audit import NO_AUTHOR, NO_TITLE
 from hubbub.operators.joins import skewed_join
-from hubbub.sources.html import extract_pages
+from hubbub.sources.html import extract_pages, landed
 from hubbub.sources.readers import ARTICLE_FIELDS, INDEX_FIELDS, read_article, read_index
 
 # Header names, the paging label and the source name of this forum.
@@ -37,11 +37,11 @@ def parse_articles(pages, source=SOURCE):
     Every page gives one row. ``status`` is ok, http_error, bad_url, no_container or parse_error;
     only ok rows have an article.
     """
-    found = extract_pages(pages, read_article, ARTICLE_FIELDS)
     code = F.col("status_code") if "status_code" in pages.columns else F.lit(200)
     published = epoch_wall(url_epoch("url"))
+    found = extract_pages(landed(pages, published.isNotNull()), read_article, ARTICLE_FIELDS)
     status = (
-        F.when(published.isNull(), "bad_url").when(code != 200, "http_error")
+        F.when(published.isNull(), "bad_url").when(F.col("_refused"), "http_error")
         .when(F.col("page_error").isNotNull(), "parse_error")
         .when(~F.col("has_container"), "no_container").otherwise("ok")
     )

@@ -10,7 +10,7 @@ from hubbub.operators.audit import NO_TITLE
 from hubbub.operators.joins import hot_keys, skewed_join
 from hubbub.operators.ranking import first_match
 from hubbub.schemas import COMMENT, COMMENT_PAYLOAD, POST_PAYLOAD
-from hubbub.sources.html import extract_pages
+from hubbub.sources.html import extract_pages, landed
 from hubbub.sources.readers import HEAD_FIELDS, read_head
 from pyspark.sql import types as T
 
@@ -123,7 +123,7 @@ def _before(text, mark):
 
 def threads_articles(pages):
     """Pages with JSON-LD: the first block that is an article, otherwise Open Graph tags."""
-    found = extract_pages(pages, read_head, HEAD_FIELDS)
+    found = extract_pages(landed(pages), read_head, HEAD_FIELDS)
     keep = [c for c in pages.columns if c not in ("url", "html")]
     # An article block is a JSON object with one of the two keys; unreadable blocks have no keys.
     block = first_match(F.col("ld_blocks"), lambda b: F.coalesce(
@@ -144,7 +144,7 @@ def threads_articles(pages):
         time=iso_offset_wall(ld["datePublished"]),
         reactions=interaction_count(stats, "LikeAction"), replies=interaction_count(stats, "CommentAction", "LikeAction"),
         content=F.when(has_ld, F.coalesce(ld["articleBody"], F.lit(""))).otherwise(F.coalesce("og_description", F.lit(""))),
-        status=F.when(F.col("page_error").isNotNull(), "parse_error").otherwise("ok"),
+        status=F.when(F.col("_refused"), "http_error").when(F.col("page_error").isNotNull(), "parse_error").otherwise("ok"),
     )
 
 
@@ -161,7 +161,7 @@ def interaction_count(stats, kind, unless=None):
 def instagram_articles(pages):
     """Pages with Open Graph tags only; a login page gives status ``login_wall``."""
     walled = pages.withColumn("_wall", reduce(lambda a, b: a | b, [F.col("html").contains(w) for w in LOGIN_WALLS]))
-    found = extract_pages(walled, read_head, HEAD_FIELDS)
+    found = extract_pages(landed(walled), read_head, HEAD_FIELDS)
     keep = [c for c in pages.columns if c not in ("url", "html")]
     title, text = F.coalesce("og_title", F.lit("Instagram Post")), F.coalesce("og_description", F.lit(""))
     quoted = F.instr(text, ': "') > 0
@@ -171,14 +171,14 @@ def instagram_articles(pages):
         found, keep, source="Instagram", url=canonical_url("url"),
         title=F.concat(F.lit("IG Post by "), author), category=F.lit("Post"), author=author,
         time=F.lit(None).cast("timestamp_ntz"), content=F.when(quoted, body).otherwise(text),
-        status=F.when(F.col("_wall"), "login_wall").when(F.col("page_error").isNotNull(), "parse_error").otherwise("ok"),
+        status=F.when(F.col("_refused"), "http_error").when(F.col("_wall"), "login_wall").when(F.col("page_error").isNotNull(), "parse_error").otherwise("ok"),
     )
 
 
 def news_articles(pages, source="Yahoo", zone="Asia/Taipei"):
     """News pages with a ``messages`` JSON array: heading, body paragraphs, time and comments."""
     messages = F.from_json("messages", "array<struct<user:string,content:string,time:bigint,likes:bigint>>")
-    found = extract_pages(pages, read_head, HEAD_FIELDS)
+    found = extract_pages(landed(pages), read_head, HEAD_FIELDS)
     keep = [c for c in pages.columns if c not in ("url", "html", "messages")]
 
     def comment(m, time):
@@ -196,7 +196,7 @@ def news_articles(pages, source="Yahoo", zone="Asia/Taipei"):
         found, keep, source=source, url=F.col("url"), title=F.coalesce("h1", F.lit(NO_HEADING)),
         time=time, content=F.coalesce(F.array_join("paragraphs", "\n"), F.lit("")),
         replies=F.size(comments), comments=comments,
-        status=F.when(F.col("page_error").isNotNull(), "parse_error").otherwise("ok"),
+        status=F.when(F.col("_refused"), "http_error").when(F.col("page_error").isNotNull(), "parse_error").otherwise("ok"),
     )
 
 

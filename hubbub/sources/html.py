@@ -7,6 +7,7 @@ routing are column expressions on the rows it yields.
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 # Elements without content, and elements whose content is not page text.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -127,6 +128,15 @@ def parse_page(html):
     return builder.root
 
 
+def landed(pages, also=None, html="html"):
+    """Pages with ``_refused``: the status code, where there is one, is not 200. Their html is NULL from here on, and that
+    of rows for which ``also`` is false, so that no page is parsed whose outcome is already decided."""
+    code = F.col("status_code") if "status_code" in pages.columns else F.lit(200)
+    refused = F.coalesce(code != 200, F.lit(False))
+    kept = ~refused if also is None else ~refused & also
+    return pages.withColumn("_refused", refused).withColumn(html, F.when(kept, F.col(html)))
+
+
 def extract_pages(pages, reader, schema, html="html"):
     """Run ``reader(root) -> dict`` on every page and append its fields as columns.
 

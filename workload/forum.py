@@ -102,13 +102,13 @@ def forum_comments(spark, sf_dir):
 
 @query(f"""with {_SQL_DOCS} select article_url, case when lang <> 'de' then lang end as board, case when lang in ('en', 'fr') then source end as author,
   case when lang <> 'de' then trim(lines[1]) end as title,
-  trim(lines[1]) as content, (select arg_min(trim(line), i) from c where c.doc_id = a.doc_id) as first_comment from a where status = 'ok'""")
+  trim(lines[1]) as content, coalesce((select string_agg(trim(line), '|' order by i) from c where c.doc_id = a.doc_id), '') as comments from a where status = 'ok'""")
 def forum_legacy_articles(spark, sf_dir):
     good, _ = forum.good_and_bad(forum.parse_articles(article_pages(spark, sf_dir)))
     plain = forum.legacy_article(good)
     return plain.select("article_url", F.col("meta")["看板"].alias("board"), F.col("meta")["作者"].alias("author"),
                         F.col("meta")["標題"].alias("title"), "content",
-                        F.get("comment", F.lit(0))["content"].alias("first_comment"))
+                        F.array_join(F.transform("comment", lambda c: c["content"]), "|").alias("comments"))
 
 
 @query(f"""with {_SQL_DOCS}, rows_ as (

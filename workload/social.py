@@ -248,6 +248,30 @@ def html_titles(spark, sf_dir):
     return social.news_articles(pages).select("page_id", "article_title", "article_url", "content_raw", "status")
 
 
+@query("""with p as (select *, case when page_id % 3 = 0 then 404 end as code from pages)
+select page_id, source, case when code = 404 then 'http_error' when source = 'Instagram' and (contains(html, 'Login • Instagram') or contains(html, '登入 • Instagram'))
+  then 'login_wall' else 'ok' end as status, code = 404 as refused from p, (select unnest(['Threads', 'Instagram', 'Yahoo']) as source)""")
+def refused_pages(spark, sf_dir):
+    """A third of the pages landed with status 404: no source makes an article of them."""
+    pages = texts(spark, sf_dir, "pages", "page_id").withColumn("status_code", F.when(F.col("page_id") % 3 == 0, 404))
+    news = pages.withColumn("messages", F.lit(None).cast("string"))
+    found = [social.threads_articles(pages), social.instagram_articles(pages), social.news_articles(news)]
+    rows = [f.select("page_id", F.col("article_source").alias("source"), "status", (F.col("status_code") == 404).alias("refused")) for f in found]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@query("""select event_id, k, strftime(ts + interval 8 hour - interval 1 hour * k, '%Y-%m-%d %H:%M:%S') as moved from (
+  select event_id, ts, (event_id % 4)::int as k from events)""")
+def iso_offsets(spark, sf_dir):
+    """ISO times in UTC and with offsets in all their forms."""
+    from hubbub.functions.times import iso_offset_wall, wall_text
+
+    k = (F.col("event_id") % 4).cast("int")
+    zone = F.when(k == 0, "Z").when(k == 1, "+01:00").when(k == 2, "+0200").otherwise("+03")
+    stamp = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), zone)
+    return table(spark, sf_dir, "events").select("event_id", k.alias("k"), wall_text(iso_offset_wall(stamp)).alias("moved"))
+
+
 @query("""select 'talk' as article_source, 'talk/' || conv_id as article_url, role as article_author, null::varchar as publish_time, length(text)::bigint as chars from conversations where turn = 0
 union all select 'document', 'document/' || doc_id, null, null, length(text) from documents
 union all select 'event', 'event/' || event_id, user_id::varchar, strftime(ts, '%Y-%m-%d %H:%M:%S'), length(event_type) from events""")
