@@ -1,4 +1,4 @@
 """Registered queries over the given tables, each next to the SQL that must agree with it."""
 
-from workload import counting, forum, heatmaps, listings, pipeline, scalars, social, streams  # noqa: F401
+from workload import counting, files, forum, heatmaps, listings, pipeline, scalars, social, streams  # noqa: F401
 from workload.base import ORACLES, QUERIES  # noqa: F401
