@@ -4,7 +4,7 @@ import sys
 import types
 
 import numpy as np
-import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from hubbub.session import durable  # noqa: F401  (operators cut lineage with it)
@@ -34,7 +34,7 @@ def slices(batches, text=1, limit=SLICE_BYTES):
     """(batch part, list of its texts, null as empty) of at most ``limit`` bytes, or one row."""
     for batch in batches:
         texts = batch.column(text)
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0), dtype=np.int64)
+        sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64)
         ends, at = np.cumsum(sizes), 0
         while at < batch.num_rows:
             before = ends[at - 1] if at else 0
