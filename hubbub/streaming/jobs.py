@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from hubbub.schemas import ARTICLE_JSON
 from hubbub.sources.articles import GLOBS
+from hubbub.sources.tasks import path_exists
 
 
 def article_stream(spark, path, lines=False):
@@ -73,11 +74,26 @@ def versions_to(stream, path, checkpoint):
 
 
 def latest(spark, path, keys, value="n"):
-    """Newest version of each key among saved batches."""
+    """Newest version of each key: the newest compaction, if there is one, and the batches saved after it."""
     saved = spark.read.parquet(path)
+    folded = f"{path}-compacted"
+    if path_exists(spark, folded):
+        done = spark.read.parquet(folded)
+        upto = done.agg(F.max("batch")).first()[0]
+        # Both conditions are on folder names, so older files are not opened.
+        saved = done.where(F.col("batch") == upto).unionByName(saved.where(F.col("batch") > upto))
     return saved.groupBy(*keys).agg(F.max_by(value, "batch").alias(value))
 
 
+def compact(spark, path, keys, value="n"):
+    """Fold all batches saved so far into one, next to them; from then on ``latest`` reads that and newer ones.
+
+    Folded batches may be removed by age at any time. A compaction that runs twice overwrites itself."""
+    upto = spark.read.parquet(path).agg(F.max("batch")).first()[0]
+    if upto is not None:
+        latest(spark, path, keys, value).write.mode("overwrite").parquet(f"{path}-compacted/batch={upto}")
+
+
 def rolling_top(counts, n):
     """Top n words per window from the newest counts."""
     order = Window.partitionBy("window_start").orderBy(F.col("n").desc(), F.col("word"))

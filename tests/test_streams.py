@@ -61,3 +61,20 @@ def test_article_files_stream(spark, tmp_path):
     for _ in range(2):  # the second run finds nothing new
         jobs.append_to(jobs.article_stream(spark, str(source)), out, str(tmp_path / "state")).awaitTermination()
     assert [r.article_url for r in spark.read.parquet(out).collect()] == ["u"]
+
+
+def test_compaction_keeps_the_newest_version(spark, tmp_path):
+    path = str(tmp_path / "out")
+    def save(number, rows):
+        spark.createDataFrame(rows, "k string, n long").write.parquet(f"{path}/batch={number}")
+    def now():
+        return sorted((r.k, r.n) for r in jobs.latest(spark, path, ["k"]).collect())
+    save(0, [("a", 1), ("b", 1)]), save(1, [("a", 2)])
+    assert now() == [("a", 2), ("b", 1)]
+    jobs.compact(spark, path, ["k"])
+    jobs.compact(spark, path, ["k"])
+    assert now() == [("a", 2), ("b", 1)]
+    save(2, [("b", 5), ("c", 1)])
+    assert now() == [("a", 2), ("b", 5), ("c", 1)]
+    jobs.compact(spark, path, ["k"])
+    assert now() == [("a", 2), ("b", 5), ("c", 1)]

