@@ -158,6 +158,16 @@ def segmented_terms_lexicon(spark, sf_dir):
     return _segmented_terms(spark, sf_dir, None)
 
 
+@query(f"""with recursive {SQL_LEXICON.replace('count(*)::double as weight', '1.0::double as weight')}, {sql_segments('documents')},
+said as (select unnest(regexp_extract_all(text, '[一-鿕a-zA-Z0-9+#&._%-]+')) as block from documents),
+counted as (select word, count(*) as n from said join cut using (block) group by word)
+select l.word, tag, greatest(coalesce(n, 1), 1)::double as weight from lexicon l left join counted c on c.word = l.word""")
+def estimated_weights(spark, sf_dir):
+    """Weights of a word list without any, estimated from the documents."""
+    docs = texts(spark, sf_dir, "documents", "doc_id").select("doc_id", F.lit(0).alias("unit_ix"), "text")
+    return segment.estimated(docs, benchmark_lexicon(spark, sf_dir)).select("word", "tag", "weight")
+
+
 @query(SQL_SEGMENTED)
 def segmented_terms_by_join(spark, sf_dir):
     """The same by join, the way of dictionaries too large to send."""
