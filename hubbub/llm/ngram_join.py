@@ -36,7 +36,7 @@ PARITY_BITS = 1024
 SMALL, TASK_ROWS, BLOCK = 16, 600_000, 1024
 FACTORS = mix(np.arange(101, 101 + 64, dtype=np.uint64)) | np.uint64(1)
 SALTS = mix(np.arange(11, 11 + 16, dtype=np.uint64))
-RECORD = np.dtype([("key", "<u4"), ("id", "<i8"), ("n", "<u4"), ("pos", "<u2")])
+RECORD = np.dtype([("key", "<u4"), ("id", "<i8"), ("n", "<u4"), ("pos", "<u2"), ("salt", "<u2")])
 
 LOWERED = np.arange(256, dtype=np.uint8)
 LOWERED[65:91] += 32
@@ -85,6 +85,19 @@ def parities(tokens):
     return np.packbits((np.bincount(at, minlength=1 << bits) & 1).astype(np.uint8))
 
 
+def shortened(marks):
+    """(a, short): the parities of each set (id, data) folded to PARITY_BITS groups."""
+    def fold(batches):
+        for batch in batches:
+            short = []
+            for data in batch.column("data"):
+                bits = np.unpackbits(np.frombuffer(data.as_buffer(), np.uint8)).reshape(PARITY_BITS, -1)
+                short.append(np.packbits(np.bitwise_xor.reduce(bits, axis=1)).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(short, pa.binary())], ["a", "short"])
+
+    return marks.select("id", "data").mapInArrow(fold, "a long, short binary")
+
+
 def differing(x, y):
     """The least number of tokens that two sets with these parities differ by."""
     x, y = np.unpackbits(np.frombuffer(x, np.uint8)), np.unpackbits(np.frombuffer(y, np.uint8))
@@ -130,6 +143,11 @@ def profile(rows, words):
     return rows.mapInArrow(run, f"doc_id {name.simpleString()}, n long, id long, chunk int, data binary")
 
 
+def usual_load(total):
+    """Twice the mean of a counter: more marks a frequent shingle."""
+    return 2 * max(1.0, total / COUNTERS)
+
+
 def token_classes(profiled, total):
     """Class of each counter: 0 up to twice the mean load, one more with each doubling."""
     def add(batches):
@@ -143,7 +161,7 @@ def token_classes(profiled, total):
             kind = np.clip(np.floor(np.log2(np.maximum(counts, 1) / usual)), 0, 255).astype(np.uint8)
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([kind.tobytes()])], ["chunk", "data"])
 
-    usual = 2 * max(1.0, total / COUNTERS)
+    usual = usual_load(total)
     parts = profiled.where("chunk is not null").select("chunk", "data").repartition("chunk").mapInArrow(add, "chunk int, data binary")
     classes = np.zeros(COUNTERS, np.uint8)
     for row in small(parts, COUNTERS // CHUNK):
@@ -157,8 +175,11 @@ def similar(inter, a, b, percent):
     return 100 * inter >= percent * (a + b - inter)
 
 
-def meetings(rows, classes, buckets, words, percent):
-    """Pairs (kind 0: a, b) and members of large meetings (kind 1: key, a, n, pos) under the first order."""
+def meetings(rows, classes, usual, buckets, words, percent):
+    """Pairs (kind 0: a, b) and members of large meetings (kind 1: key, a, n, pos) under the first order.
+
+    A token that the sketch expects to bring more than TASK_ROWS sets together is dealt over several tasks by the sets' ids;
+    its meeting then counts as large wherever a part of it lands."""
     def send(batches):
         powers, seen = Powers(), set()
         for _, texts in slices(batches):
@@ -175,10 +196,15 @@ def meetings(rows, classes, buckets, words, percent):
                 owner.append(np.full(len(own), who)), size.append(np.full(len(own), len(tokens)))
             if not keys:
                 continue
-            keys = mix(np.concatenate(keys))
-            bucket = (keys >> np.uint64(32)).astype(np.int64) % buckets
+            keys, owner = np.concatenate(keys), np.concatenate(owner)
+            kind = (keys >> np.uint64(56)).astype(np.int64)
+            tasks = np.where(kind > 0, np.minimum(np.ceil(usual * 2.0 ** (kind + 1) / TASK_ROWS), 60_000), 1).astype(np.int64)
+            salt = np.where(tasks > 1, 1 + (owner & 0x7FFFFFFF) % tasks, 0)
+            keys = mix(keys)
+            bucket = ((keys >> np.uint64(32)).astype(np.int64) + salt) % buckets
             records = np.empty(len(keys), RECORD)
-            records["key"], records["id"], records["n"], records["pos"] = keys & np.uint64(0xFFFFFFFF), np.concatenate(owner), np.concatenate(size), np.concatenate(place)
+            records["key"], records["id"], records["n"], records["pos"] = keys & np.uint64(0xFFFFFFFF), owner, np.concatenate(size), np.concatenate(place)
+            records["salt"] = salt
             order = np.argsort(bucket, kind="stable")
             records, bucket = records[order], bucket[order]
             at = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
@@ -193,7 +219,7 @@ def meetings(rows, classes, buckets, words, percent):
         if not got:
             return
         records = np.concatenate(got)
-        keys = (np.concatenate(own).astype(np.uint64) << np.uint64(32)) | records["key"]
+        keys = (((np.concatenate(own) - records["salt"]) % buckets).astype(np.uint64) << np.uint64(32)) | records["key"]
         del got, own
         order = np.lexsort((records["id"], keys))
         records, keys = records[order], keys[order]
@@ -201,7 +227,7 @@ def meetings(rows, classes, buckets, words, percent):
         records, keys = records[new], keys[new]
         bounds = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
         size = np.repeat(np.diff(bounds), np.diff(bounds))
-        large = size > SMALL
+        large = (size > SMALL) | (records["salt"] > 0)
         records_, keys_ = records[(size > 1) & ~large], keys[(size > 1) & ~large]
         pairs = []
         for lag in range(1, SMALL):
@@ -357,8 +383,10 @@ def components(links):
             return labels
 
 
-def left_over(members, labels, percent):
-    """Pairs of members of one large meeting that lie in different components."""
+def left_over(members, labels, marks, percent):
+    """Pairs of members of one large meeting that lie in different components and may be similar enough.
+
+    ``marks`` has id and data, the parities of each set; their short form is looked at before a pair leaves its block."""
     named = members.join(labels.withColumnRenamed("id", "a"), "a", "left").select("key", "a", "n", "pos", F.coalesce("label", "a").alias("label"))
     named = durable(named)
     mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("many")).where("low <> high")
@@ -366,6 +394,7 @@ def left_over(members, labels, percent):
     # Each block of members meets each other block once; a member goes to as many places as there are blocks.
     rest = rest.withColumn("own", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rest = rest.select("key", "a", "n", "pos", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    rest = rest.join(shortened(marks), "a")
 
     def across(batches):
         held = None
@@ -373,6 +402,7 @@ def left_over(members, labels, percent):
             if not batch.num_rows:
                 continue
             columns = [batch.column(c).to_numpy() for c in ("key", "i", "j", "own", "a", "n", "pos", "label")]
+            columns.append(np.frombuffer(b"".join(batch.column("short").to_pylist()), np.uint64).reshape(batch.num_rows, -1))
             if held is not None:
                 columns = [np.concatenate(c) for c in zip(held, columns)]
             key, i, j = columns[:3]
@@ -388,16 +418,20 @@ def left_over(members, labels, percent):
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     def meeting(columns):
-        _, i, j, own, a, n, pos, label = columns
+        _, i, j, own, a, n, pos, label, short = columns
         left, right = (slice(None), slice(None)) if i[0] == j[0] else (own == i[0], own == j[0])
         ok = label[left][:, None] != label[right][None, :]
         ok &= possible(n[left][:, None], pos[left][:, None], n[right][None, :], pos[right][None, :], percent)
         x, y = np.nonzero(ok)
-        x, y = a[left][x], a[right][y]
+        x, y, near = np.arange(len(a))[left][x], np.arange(len(a))[right][y], np.zeros(len(x), bool)
+        for s in range(0, len(x), 100_000):
+            e, f = x[s:s + 100_000], y[s:s + 100_000]
+            near[s:s + 100_000] = np.bitwise_count(short[e] ^ short[f]).sum(axis=1, dtype=np.int64) * (100 + percent) <= (n[e] + n[f]) * (100 - percent)
+        x, y = a[x[near]], a[y[near]]
         return np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)
 
     # Blocks lie in tasks as their number asks for; rows of one block follow each other.
-    dealt = rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").select("key", "i", "j", "own", "a", "n", "pos", "label")
+    dealt = rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").select("key", "i", "j", "own", "a", "n", "pos", "label", "short")
     return dealt.mapInArrow(across, "a long, b long").distinct()
 
 
@@ -413,7 +447,7 @@ def join(docs, id_col="doc_id", text_col="text", words=WORDS, percent=PERCENT):
     if not total:
         return slim.select("doc_id", F.col("n").alias("n_shingles"), alone)
     classes = token_classes(profiled, total)
-    met = durable(meetings(rows, classes, max(1, -(-int(leads) // TASK_ROWS)), words, percent))
+    met = durable(meetings(rows, classes, usual_load(total), max(1, -(-int(leads) // TASK_ROWS)), words, percent))
     members = met.where("kind = 1").select("key", "a", "n", "pos")
     pairs = met.where("kind = 0").select("a", "b")
     often = members.groupBy("a").agg(F.count("*").alias("often"))
@@ -423,7 +457,7 @@ def join(docs, id_col="doc_id", text_col="text", words=WORDS, percent=PERCENT):
     pairs = durable(close_enough(pairs, marks, percent))
     links = verified(rows, pairs, classes, words, percent)
     labels = components(links)
-    rest = left_over(members, labels, percent).join(pairs, ["a", "b"], "left_anti")
+    rest = left_over(members, labels, marks, percent).join(pairs, ["a", "b"], "left_anti")
     rest = durable(close_enough(rest, marks, percent))
     if not rest.isEmpty():
         links = links.union(verified(rows, rest, classes, words, percent))
@@ -439,3 +473,19 @@ def keep_one(docs, id_col="doc_id", text_col="text", words=WORDS, percent=PERCEN
     found = join(docs, id_col, text_col, words, percent)
     stay = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("__id")).distinct()
     return docs.join(stay, column(docs, id_col).eqNullSafe(stay["__id"]), "left_semi")
+
+
+# The same by comparing every two documents that share a shingle.
+SQL = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x20\x09-\x0D]+') as words from documents),
+s as (select distinct doc_id, case when len(words) < 5 then words else words[i:i + 4] end as shingle
+  from (select doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) as i from w where len(words) > 0)),
+n as (select doc_id, count(*) as size from s group by doc_id),
+shared as (select a.doc_id as a, b.doc_id as b, count(*) as inter from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id group by 1, 2),
+links as (select a, b from shared join n x on x.doc_id = a join n y on y.doc_id = b where 100 * inter >= 80 * (x.size + y.size - inter)),
+both_ways as (select a, b from links union all select b, a from links),
+reach as (select doc_id as a, doc_id as b from documents union select r.a, e.b from reach r join both_ways e on r.b = e.a)
+select doc_id, coalesce(size, 0)::bigint as n_shingles, least_id as component_id
+from (select a as doc_id, min(b) as least_id from reach group by 1) left join n using (doc_id)
+"""

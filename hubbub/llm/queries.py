@@ -36,7 +36,7 @@ def op7_quality_classifier(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query()
+@query(ngram_join.SQL)
 def op10_ngram_jaccard_join(spark, sf_dir):
     """Groups of documents linked by Jaccard similarity of five-word shingles."""
     return ngram_join.join(table(spark, sf_dir, "documents"))

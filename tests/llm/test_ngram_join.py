@@ -60,8 +60,9 @@ def test_dirty_rows(frame, dirty):
     assert joined(frame, dirty) == plain_join(dirty)
 
 
-@pytest.mark.parametrize("small, block", [(16, 1024), (2, 1024), (2, 7)])
-def test_large_meetings_lose_no_link(frame, monkeypatch, small, block):
+@pytest.mark.parametrize("small, block, task_rows", [(16, 1024, 600_000), (2, 1024, 5), (2, 7, 600_000)])
+def test_large_meetings_lose_no_link(frame, monkeypatch, small, block, task_rows):
+    monkeypatch.setattr(ngram_join, "TASK_ROWS", task_rows)
     monkeypatch.setattr(ngram_join, "SMALL", small)
     monkeypatch.setattr(ngram_join, "BLOCK", block)
     rows = crowd()
