@@ -21,6 +21,7 @@ id and text columns are read, so others cannot clash.
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -176,7 +177,8 @@ def similar(inter, a, b, percent):
 
 
 def meetings(rows, classes, usual, buckets, words, percent):
-    """Pairs (kind 0: a, b) and members of large meetings (kind 1: key, a, n, pos) under the first order.
+    """Under the first order: pairs (kind 0: a, b), members of large meetings (kind 1: key, a, n, pos), and a line for each of
+    these meetings (kind 2: key, digest of its members as a, their number as n, sum of their places as pos).
 
     A token that the sketch expects to bring more than TASK_ROWS sets together is dealt over several tasks by the sets' ids;
     its meeting then counts as large wherever a part of it lands."""
@@ -242,6 +244,17 @@ def meetings(rows, classes, usual, buckets, words, percent):
             own = pairs[s:s + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(own), np.int32)), pa.nulls(len(own), pa.int64()), pa.array(own[:, 0]), pa.array(own[:, 1]), pa.nulls(len(own), pa.int64()), pa.nulls(len(own), pa.int64())], MET)
         big, key = records[large], keys[large]
+        if len(big):
+            # Of meetings with the same members, the earliest in the token order says all: it is told by the smallest places.
+            at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            count = np.diff(np.append(at, len(key)))
+            who = mix(np.add.reduceat(mix(np.ascontiguousarray(big["id"]).view(np.uint64)), at) + count.astype(np.uint64))
+            alone = big["salt"][at] > 0  # a part of a meeting that is dealt over tasks stands for itself
+            who = np.where(alone, mix(key[at]), who)
+            places = np.add.reduceat(big["pos"].astype(np.int64), at)
+            for s in range(0, len(at), 100_000):
+                e = slice(s, s + 100_000)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at[e]), 2, np.int32)), pa.array(key[at[e]].view(np.int64)), pa.array(who[e].view(np.int64)), pa.nulls(len(at[e]), pa.int64()), pa.array(count[e].astype(np.int64)), pa.array(places[e])], MET)
         for s in range(0, len(big), 100_000):
             own = big[s:s + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(own), np.int32)), pa.array(key[s:s + 100_000].view(np.int64)), pa.array(own["id"]), pa.nulls(len(own), pa.int64()), pa.array(own["n"].astype(np.int64)), pa.array(own["pos"].astype(np.int64))], MET)
@@ -448,10 +461,11 @@ def join(docs, id_col="doc_id", text_col="text", words=WORDS, percent=PERCENT):
         return slim.select("doc_id", F.col("n").alias("n_shingles"), alone)
     classes = token_classes(profiled, total)
     met = durable(meetings(rows, classes, usual_load(total), max(1, -(-int(leads) // TASK_ROWS)), words, percent))
-    members = met.where("kind = 1").select("key", "a", "n", "pos")
+    told = met.where("kind = 2").groupBy("a", "n").agg(F.min_by("key", F.struct("pos", "key")).alias("key")).select("key")
+    members = durable(met.where("kind = 1").select("key", "a", "n", "pos").join(told, "key", "left_semi"))
     pairs = met.where("kind = 0").select("a", "b")
-    often = members.groupBy("a").agg(F.count("*").alias("often"))
-    lead_ = members.join(often, "a").groupBy("key").agg(F.max(F.struct("often", F.col("a").alias("b"), F.col("n").alias("m"), F.col("pos").alias("at"))).alias("l")).select("key", "l.*")
+    often = members.withColumn("often", F.count("*").over(Window.partitionBy("a")))
+    lead_ = often.groupBy("key").agg(F.max(F.struct("often", F.col("a").alias("b"), F.col("n").alias("m"), F.col("pos").alias("at"))).alias("l")).select("key", "l.*")
     star = members.join(lead_, "key").where("a <> b").where(possible_column(F.col("n"), F.col("pos"), F.col("m"), F.col("at"), percent))
     pairs = pairs.union(star.select(F.least("a", "b"), F.greatest("a", "b"))).distinct()
     pairs = durable(close_enough(pairs, marks, percent))
