@@ -107,10 +107,10 @@ class Template:
         for key, spots in self.keys.items():
             for p in places_of.get(key, ()):
                 for t in spots:
-                    begin = max(0, p - t - self.slack)
-                    if begin in tried:
+                    if p - t in tried:
                         continue
-                    tried.add(begin)
+                    tried.add(p - t)
+                    begin = max(0, p - t - self.slack)
                     pairs = align(self.words, words[begin:p - t + len(self.words) + self.slack])
                     if len(pairs) >= self.needed and pairs:
                         found.append((-len(pairs) / len(self.words), begin + pairs[0][1], begin + pairs[-1][1]))

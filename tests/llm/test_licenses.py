@@ -53,6 +53,19 @@ def test_every_template_is_found_where_it_stands():
     assert licenses.find(story(2000, 6) + " the license of a version under public terms", own) == []
 
 
+def test_stray_key_words_near_the_start_hide_no_notice():
+    own = {t.name: t for t in licenses.prepared(licenses.TEMPLATES, licenses.COVERAGE)}
+    notice = licenses.TEMPLATES["MIT notice"]
+    for stray in ("Documentation", "Merge", "Persons"):
+        for k in range(own["MIT notice"].slack):
+            body = f"{stray} {'foo ' * k}{notice}"
+            got = [(c, body[s:e]) for n, c, s, e in licenses.find(body, own.values()) if n == "MIT notice"]
+            assert len(got) == 1 and got[0][0] == 1.0 and got[0][1].endswith(notice[11:])
+    for lead in ("Documentation of foo. Copyright 2020 Jane Doe. ", "See http://www.apache.org for details. "):
+        for name in ("MIT notice", "Apache-2.0 notice"):
+            assert [c for n, c, *_ in licenses.find(lead + licenses.TEMPLATES[name], own.values()) if n == name] == [1.0]
+
+
 def test_dirty_rows_and_repeats(frame, dirty):
     line = "Released under the MIT License."
     rows = [*dirty, (70, (line + " ") * 3), (71, "released under mit license"), (72, "released the license"), (73, line), (73, line)]
