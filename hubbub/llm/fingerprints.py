@@ -3,19 +3,25 @@
 Terms are runs of three words (fewer at a text's end), each occurrence weighing 1. A term's 128 hash bits vote on the
 bits of the fingerprint; a bit is set when more than half of the weight is for it. Votes for two bits travel in one
 long, so a text's 128 counters are 64 sums. ``near`` finds all pairs of fingerprints within a radius through tables
-that each put another block of bits in front: of radius + 1 blocks, one is equal in any such pair.
+that each put other blocks of bits in front: of radius + 2 blocks, two are equal in any such pair.
 
 Defined results: null text counts as empty; an empty or blank text has no votes and the zero fingerprint; equal texts
 have equal fingerprints; repeated rows are kept, ordered by id and then text; null ids come after all others. Only
 the id and text columns are read, so others cannot clash.
 """
 
+import functools
+import itertools
+import math
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hubbub.llm.shared import durable, with_nulls_as_text
 
-TERM_WORDS, BITS, RADIUS = 3, 128, 3
+TERM_WORDS, BITS, RADIUS = 3, 128, 10
+# The most tables that a search keeps each fingerprint in.
+MAX_TABLES = 66
 # Rows that follow each other in one task, and how many exact quantile steps place them.
 BLOCK_ROWS, STEPS = 256, 256
 BLANK = "[ \\t\\n\\x0B\\f\\r]+"
@@ -126,16 +132,43 @@ def fingerprint_edited(docs, id_col="doc_id", text_col="text", radius=RADIUS):
     )
 
 
+def masks(radius):
+    """Blocks of neighbouring bits as masks of the two halves, and how many of them stand together in a front.
+
+    A pair within the radius differs in at most ``radius`` blocks, so with radius + c blocks at least c are equal: each c of
+    them make a table. c is the largest that needs no more than MAX_TABLES tables, for the longest fronts."""
+    together = max([1] + [c for c in range(1, BITS - radius + 1) if math.comb(radius + c, c) <= MAX_TABLES])
+    cuts = [round(k * BITS / (radius + together)) for k in range(radius + together + 1)]
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    whole = [((1 << b) - (1 << a)) for a, b in zip(cuts, cuts[1:])]
+    return [(signed(m >> 64), signed(m & (1 << 64) - 1)) for m in whole], together
+
+
 def near(prints, radius=RADIUS):
     """Pairs (a, b, distance) of different fingerprints, a < b, at most ``radius`` bits apart.
 
     ``prints`` holds a column ``fingerprint``; equal ones are one fingerprint, so copies make no pairs. Any two within
-    the radius agree on one whole block of bits, and meet in the table that puts that block in front."""
+    the radius agree on enough whole blocks of bits to meet in a table that puts these in front; of the tables where they
+    meet, the one of their first equal blocks gives the pair."""
     values = prints.select("fingerprint").where("fingerprint is not null").distinct()
-    digits = BITS // 4
-    cuts = [round(k * digits / (radius + 1)) for k in range(radius + 2)]
-    halves = lambda p: (F.conv(F.substring("fingerprint", 1, 16), 16, -10).cast("long").alias(f"{p}h"), F.conv(F.substring("fingerprint", 17, 16), 16, -10).cast("long").alias(f"{p}l"))
-    tables = F.array(*[F.struct(F.lit(k).alias("block"), F.substring("fingerprint", a + 1, b - a).alias("front")) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))])
-    side = lambda p: values.select(F.col("fingerprint").alias(p), *halves(p), F.explode(tables).alias("t")).select(p, f"{p}h", f"{p}l", "t.block", "t.front")
-    met = side("a").join(side("b"), ["block", "front"]).where("a < b").withColumn("distance", distance("ah", "al", "bh", "bl"))
-    return met.where(F.col("distance") <= radius).select("a", "b", "distance").distinct()
+    values = values.select(*[F.conv(F.substring("fingerprint", at, 16), 16, -10).cast("long").alias(c) for c, at in (("h", 1), ("l", 17))])
+    blocks, together = masks(radius)
+    whole = lambda chosen, half: sum(blocks[k][half] for k in chosen)
+    marked = len(blocks) < 63  # a table's number is then its blocks as bits of a long
+    tables = F.array(*[
+        F.struct(F.lit(sum(1 << k for k in chosen) if marked else at).cast("long").alias("block"), F.xxhash64(F.col("h").bitwiseAND(F.lit(whole(chosen, 0))), F.col("l").bitwiseAND(F.lit(whole(chosen, 1)))).alias("front"))
+        for at, chosen in enumerate(itertools.combinations(range(len(blocks)), together))
+    ])
+    side = lambda p: values.select("h", "l", F.explode(tables).alias("t")).select(F.col("h").alias(f"{p}h"), F.col("l").alias(f"{p}l"), "t.block", "t.front")
+    met = side("a").join(side("b"), ["block", "front"]).where("ah < bh or ah = bh and al < bl").where(distance("ah", "al", "bh", "bl") <= radius)
+    if marked:
+        differs = lambda k: F.col("ah").bitwiseXOR(F.col("bh")).bitwiseAND(F.lit(blocks[k][0])).bitwiseOR(F.col("al").bitwiseXOR(F.col("bl")).bitwiseAND(F.lit(blocks[k][1])))
+        equal = functools.reduce(lambda x, y: x + y, [F.when(differs(k) == 0, F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")) for k in range(len(blocks))])
+        # The lowest bits of ``equal``, as many as stand together, are those that taking the lowest away so often removes.
+        rest = equal
+        for _ in range(together):
+            rest = rest.bitwiseAND(rest - 1)
+        met = met.where(F.col("block") == equal.bitwiseXOR(rest))
+    names = [text_of("ah", "al"), text_of("bh", "bl")]
+    pairs = met.select(F.least(*names).alias("a"), F.greatest(*names).alias("b"), distance("ah", "al", "bh", "bl").alias("distance"))
+    return pairs if marked else pairs.distinct()

@@ -73,6 +73,32 @@ def test_near_finds_all_pairs(spark, radius):
     assert sorted(tuple(r) for r in fingerprints.near(frame, radius).collect()) == sorted(w for w in want if w[2] <= radius)
 
 
+@pytest.mark.parametrize("radius", [1, 10, 12, 70])
+def test_near_gives_each_pair_once(spark, radius):
+    import random
+
+    pick = random.Random(radius)
+    values = [pick.getrandbits(128) for _ in range(12)]
+    for v in list(values):
+        for d in range(1, 14):
+            w = v
+            for k in pick.sample(range(128), d):
+                w ^= 1 << k
+            values.append(w)
+    names = sorted({f"{v:032x}" for v in values})
+    frame = spark.createDataFrame([(n,) for n in names], "fingerprint string")
+    want = [(a, b, d) for a in names for b in names if a < b and (d := (int(a, 16) ^ int(b, 16)).bit_count()) <= radius]
+    assert sorted(tuple(r) for r in fingerprints.near(frame, radius).collect()) == sorted(want)
+
+
+def test_one_changed_word_is_near(frame):
+    words = story(300, 3).split()
+    texts = [" ".join(words)] + [" ".join([*words[:k], "changed", *words[k + 1:]]) for k in range(5, len(words), 12)]
+    got = fingerprints.fingerprint_edited(frame(list(enumerate(texts)))).collect()
+    first = next(r for r in got if r["doc_id"] == 0)
+    assert first["n_near"] >= 0.9 * (len({r["fingerprint"] for r in got}) - 1)
+
+
 def test_copies_are_not_counted_as_neighbours(frame):
     text = story(400, 8)
     rows = [(1, text), (2, text), (3, text + " more"), (4, story(300, 9))]
