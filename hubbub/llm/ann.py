@@ -166,7 +166,8 @@ def search(rows, is_query, k=20, id_col="vec_id", vector_col="embedding", recall
     column."""
     spark = rows.sparkSession
     rows, size = taking_part(rows, id_col, vector_col)
-    rows = durable(rows)
+    # A repeated row is one row, so that a query takes up one place for each vector of its id.
+    rows = durable(rows.dropDuplicates(["id", "vec"]))
     total, norm = rows.agg(F.count("*"), F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x)))).first()
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -198,9 +199,10 @@ def search(rows, is_query, k=20, id_col="vec_id", vector_col="embedding", recall
     counts = np.zeros(tree.leaves, np.int64)
     for r in placed.groupBy("leaf").count().collect():  # one row per leaf of the bounded tree
         counts[r["leaf"]] = r["count"]
-    n_asked = asked.count()
+    n_asked, own_rows = asked.groupBy("id").count().agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(1))).first()
+    places = k + own_rows
     trial = numpy_rows(some(asked, CALIBRATION, n_asked, 2))
-    visits = calibrated(tree, placed, trial, k + 1, recall) if len(trial) else 1
+    visits = calibrated(tree, placed, trial, places, recall) if len(trial) else 1
     # Shards: leaves in a row up to SHARD_ROWS; a shard beyond that is cut in blocks.
     shard = np.cumsum(counts) // SHARD_ROWS
     shard = np.unique(shard, return_inverse=True)[1]
@@ -221,7 +223,7 @@ def search(rows, is_query, k=20, id_col="vec_id", vector_col="embedding", recall
             for i, query in enumerate(x):
                 own, seen = {}, 0
                 for at, leaf in enumerate(tree.walk(query)):
-                    if at >= visits and seen > k:
+                    if at >= visits and seen >= places:
                         break
                     seen += counts[leaf]
                     if counts[leaf]:
@@ -270,7 +272,7 @@ def search(rows, is_query, k=20, id_col="vec_id", vector_col="embedding", recall
         for q, pieces in enumerate(got):
             if pieces:
                 rows_ = np.concatenate([np.arange(lo, lo + len(s)) for lo, s in pieces])
-                score, near = best(np.concatenate([s for _, s in pieces]), ids[rows_], x[rows_], queries[q], k + 1)
+                score, near = best(np.concatenate([s for _, s in pieces]), ids[rows_], x[rows_], queries[q], places)
                 one += [who[q]] * len(near)
                 two.append(near), three.append(score)
         if one:
@@ -278,7 +280,7 @@ def search(rows, is_query, k=20, id_col="vec_id", vector_col="embedding", recall
 
     met = here.union(going).repartition(max(1, int(begin[-1])), "place").sortWithinPartitions("place", "kind").mapInArrow(meet, "one long, vec_id long, score double")
     order = Window.partitionBy("one").orderBy(F.desc("score"), "vec_id")
-    top = met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k + 1).drop("rank")
+    top = met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= places).drop("rank")
     own = twin_queries.select(F.col("id").alias("query_id"), "one").distinct().join(top, "one").where("vec_id <> query_id")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return own.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -66,6 +66,20 @@ def test_rows_that_take_no_part(spark):
     assert found(spark, [*good, good[0]]) == {20: [(1, 0.5), (2, 0.5), (3, -1.0)]}
 
 
+def test_repeated_rows_take_no_places(spark, cloud):
+    rows = [(i, v.tolist()) for i, v in enumerate(cloud[:60] / np.linalg.norm(cloud[:60], axis=1, keepdims=True))]
+    want = plain(rows, 20)
+    # Repeats of a query, of another row, and of a row with the same vector as a third one.
+    twins = [*rows, (61, rows[7][1])]
+    want_twins = plain(twins, 20)
+    ids = lambda got: {q: [i for i, _ in near] for q, near in got.items()}
+    assert ids(found(spark, rows + [rows[20]] * 15 + [rows[7]] * 30)) == ids(want)
+    assert ids(found(spark, twins + [rows[7]] * 30)) == ids(want_twins)
+    # Other vectors of the query's id are no candidates either, and leave room for 20.
+    more = [(40, (np.array(rows[40][1]) * (1 + k / 100)).tolist()) for k in range(1, 6)]
+    assert len({i for i, _ in found(spark, rows + more)[40]} - {40}) == 20
+
+
 def test_empty_single_and_no_queries(spark):
     assert found(spark, []) == {} and found(spark, [(20, [1.0, 2.0])]) == {} and found(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.0])]) == {}
 
