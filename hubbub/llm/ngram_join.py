@@ -483,10 +483,24 @@ def join(docs, id_col="doc_id", text_col="text", words=WORDS, percent=PERCENT):
 
 
 def keep_one(docs, id_col="doc_id", text_col="text", words=WORDS, percent=PERCENT):
-    """One document of each group stays: the one with the smallest id; of repeated rows of that id, one."""
-    found = join(docs, id_col, text_col, words, percent)
-    stay = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(stay, column(docs, id_col).eqNullSafe(stay["__id"]), "left_semi")
+    """One document of each group stays: the one with the smallest id, null ids last; of repeated rows of that id and text, one.
+
+    Documents are told apart by id and text, so a row does not stay because another row of its id does. Texts without words
+    are linked with nothing: one row for each id and text stays, and all those without an id."""
+    key = lambda frame: (column(frame, id_col), F.xxhash64(F.coalesce(column(frame, text_col), F.lit(""))))
+    id_, text = key(docs)
+    rows = docs.select(F.struct(id_.isNull().alias("no"), id_.alias("id"), text.alias("text")).alias("doc_id"), column(docs, text_col).alias("text"))
+    found = join(rows, "doc_id", "text", words, percent).where("doc_id = component_id")
+    stay = found.groupBy("doc_id").agg(F.max("n_shingles").alias("n"), F.count("*").alias("many"))
+    stay = durable(stay.select(F.col("doc_id.id").alias("__id"), F.col("doc_id.text").alias("__text"), F.expr("many > 1 and not (n = 0 and doc_id.no)").alias("__again")))
+    chosen = lambda part: docs.join(part, id_.eqNullSafe(part["__id"]) & (text == part["__text"]), "left_semi")
+    again = stay.where("__again")
+    if again.isEmpty():
+        return chosen(stay)
+    free = max(len(c) for c in docs.columns) * "_"  # longer than any column's name once a letter is added
+    keyed = chosen(again).withColumns({f"i{free}": id_, f"t{free}": text})
+    once = keyed.dropDuplicates([f"i{free}", f"t{free}"]).drop(f"i{free}", f"t{free}")
+    return chosen(stay.where("not __again")).union(once)
 
 
 # The same by comparing every two documents that share a shingle.

@@ -121,5 +121,24 @@ def test_keep_one(frame):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want)
 
 
+def test_keep_one_decides_by_row(frame):
+    a, b, c = story(60, 41), story(60, 42), story(60, 43)
+    rows = [
+        (1, a), (1, a), (1, a), (2, a + " more"),  # repeated rows of the kept document
+        (3, b), (1, b + " more"), (1, b + " more"),  # another text under an id that stays elsewhere, of a group that 1 leads
+        (None, ""), (None, None), (None, a), (None, a + " x"),  # no id: a wordless row brings no copy of a kept document back
+        (None, c), (None, c), (4, c + " y"), (5, c + " y"),
+        (6, ""), (6, ""),
+    ]
+    got = sorted(((r["doc_id"], r["text"]) for r in ngram_join.keep_one(frame(rows)).collect()), key=str)
+    assert got == sorted([(1, a), (1, b + " more"), (4, c + " y"), (6, ""), (None, ""), (None, None)], key=str)
+
+
+def test_keep_one_of_rows_without_ids(frame):
+    a = story(60, 44)
+    got = [r["text"] for r in ngram_join.keep_one(frame([(None, a), (None, a), (None, a + " more"), (7, ""), (7, story(40, 45))])).collect()]
+    assert len(got) == 3 and sum(t.startswith(a) for t in got) == 1
+
+
 def test_empty_table(frame):
     assert joined(frame, []) == [] and ngram_join.keep_one(frame([])).collect() == []
