@@ -9,7 +9,7 @@ cannot reach the wished coverage, so nothing is missed by looking there; how far
 bounds how many foreign words may stand in between.
 
 Defined results: null and empty texts match nothing; each match of a template in a text is a row, overlapping matches of one
-template give the best one, the first of equals; repeated rows give repeated matches; null ids are kept. Only
+template give the best one, the first of equals; a match must hold the words that name the license and its version; repeated rows give repeated matches; null ids are kept. Only
 the id and text columns are read, so others cannot clash.
 """
 
@@ -37,6 +37,29 @@ TEMPLATES = {
     "CC-BY-4.0 reference": "Licensed under CC BY 4.0.",
     "CC-BY-SA-4.0 reference": "Licensed under CC BY-SA 4.0.",
     "CC-BY-NC-4.0 reference": "Licensed under CC BY-NC 4.0.",
+    "GPL-2.0 notice": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "LGPL-2.1 notice": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "LGPL-3.0 notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "AGPL-3.0 notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "ISC notice": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+}
+
+# What names a license: runs of words that a match must hold, word by word and with nothing in between.
+IDENTIFYING = {
+    "Apache-2.0 reference": ["apache license", "2.0"],
+    "Apache-2.0 notice": ["apache license", "2.0"],
+    "MIT reference": ["mit"],
+    "GPL-3.0 reference": ["gnu general public license", "version 3"],
+    "GPL-3.0 notice": ["gnu general public license", "version 3"],
+    "GPL-2.0 notice": ["gnu general public license", "version 2"],
+    "LGPL-2.1 notice": ["gnu lesser general public license", "version 2.1"],
+    "LGPL-3.0 notice": ["gnu lesser general public license", "version 3"],
+    "AGPL-3.0 notice": ["gnu affero general public license", "version 3"],
+    "MPL-2.0 notice": ["mozilla public license", "2.0"],
+    "CC-BY-4.0 reference": ["cc by 4.0"],
+    "CC-BY-SA-4.0 reference": ["cc by-sa 4.0"],
+    "CC-BY-NC-4.0 reference": ["cc by-nc 4.0"],
 }
 
 
@@ -93,6 +116,12 @@ class Template:
         self.name, (self.words, _) = name, words_of(text)
         self.slack = max(2, len(self.words) // 5)
         self.needed = coverage * len(self.words)
+        # Places of the words that must match; those of one run follow each other.
+        self.must = []
+        for run in IDENTIFYING.get(name, ()):
+            run = run.split()
+            at = next(i for i in range(len(self.words)) if self.words[i:i + len(run)] == run)
+            self.must.append(range(at, at + len(run)))
         # The rarest and longest words, until leaving all of them out leaves too little.
         self.keys, left, own = {}, len(self.words), Counter(self.words)
         for w in sorted(own, key=lambda w: (common[w], -len(w), w)):
@@ -101,6 +130,11 @@ class Template:
             self.keys[w] = [i for i, x in enumerate(self.words) if x == w]
             left -= own[w]
 
+    def named(self, pairs):
+        """Whether all identifying words have partners, which follow each other within a run."""
+        place = dict(pairs) if self.must else {}
+        return all(all(i in place and place[i] - i == place.get(run[0], 0) - run[0] for i in run) for run in self.must)
+
     def matches(self, words, places_of):
         """(coverage, first word, last word) of non-overlapping matches, the best first among overlapping ones."""
         tried, found = set(), []
@@ -112,7 +146,7 @@ class Template:
                     tried.add(p - t)
                     begin = max(0, p - t - self.slack)
                     pairs = align(self.words, words[begin:p - t + len(self.words) + self.slack])
-                    if len(pairs) >= self.needed and pairs:
+                    if len(pairs) >= self.needed and pairs and self.named(pairs):
                         found.append((-len(pairs) / len(self.words), begin + pairs[0][1], begin + pairs[-1][1]))
         kept = []
         for share, first, last in sorted(found):

@@ -66,6 +66,19 @@ def test_stray_key_words_near_the_start_hide_no_notice():
             assert [c for n, c, *_ in licenses.find(lead + licenses.TEMPLATES[name], own.values()) if n == name] == [1.0]
 
 
+def test_the_name_and_version_must_match():
+    own = licenses.prepared(licenses.TEMPLATES, licenses.COVERAGE)
+    names = lambda text: sorted(n for n, *_ in licenses.find(text, own))
+    for kind in ("BY", "BY-SA", "BY-NC"):
+        assert names(f"Licensed under CC {kind} 4.0.") == [f"CC-{kind}-4.0 reference"]
+    assert names("Released under the BSD License.") == [] and names("Licensed under CC BY 3.0.") == []
+    assert names("This work is licensed under the GNU General Public License, version 2.") == []
+    assert names("This work is licensed under the GNU Lesser General Public License, version 3.") == []
+    for name, text in licenses.TEMPLATES.items():
+        if "GPL" in name or name in ("ISC notice", "Unlicense"):
+            assert names(text) == [name]
+
+
 def test_dirty_rows_and_repeats(frame, dirty):
     line = "Released under the MIT License."
     rows = [*dirty, (70, (line + " ") * 3), (71, "released under mit license"), (72, "released the license"), (73, line), (73, line)]
