@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from hubbub.llm import ann, chat, fingerprints, licenses, ngram_join, packing, pieces, pii, quality, token_counts
+from hubbub.llm import ann, chat, fingerprints, languages, licenses, ngram_join, packing, pieces, pii, quality, token_counts
 from hubbub.llm.shared import table
 
 QUERIES, ORACLES = {}, {}
@@ -86,3 +86,9 @@ def edited(docs):
 def op9_token_counts(spark, sf_dir):
     """Token counts of every document before and after edits."""
     return token_counts.count(edited(table(spark, sf_dir, "documents")), "edits")
+
+
+@query()
+def op11_language_id(spark, sf_dir):
+    """The language of every document."""
+    return languages.identify(table(spark, sf_dir, "documents"))
