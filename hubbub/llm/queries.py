@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from hubbub.llm import ann, chat, fingerprints, languages, licenses, ngram_join, packing, pieces, pii, quality, token_counts
+from hubbub.llm import ann, chat, fingerprints, languages, licenses, negatives, ngram_join, packing, pieces, pii, quality, token_counts
 from hubbub.llm.shared import table
 
 QUERIES, ORACLES = {}, {}
@@ -92,3 +92,12 @@ def op9_token_counts(spark, sf_dir):
 def op11_language_id(spark, sf_dir):
     """The language of every document."""
     return languages.identify(table(spark, sf_dir, "documents"))
+
+
+@query(negatives.SQL)
+def op12_hard_negatives(spark, sf_dir):
+    """Hard negatives of every vector whose id is divisible by 50, labels of every seventh vector being wrong."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.col("label").cast("long")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return negatives.mine(rows, lambda i: i % 50 == 0)
