@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from hubbub.llm import ann, chat, fingerprints, languages, licenses, negatives, ngram_join, packing, pieces, pii, quality, token_counts
+from hubbub.llm import ann, chat, fingerprints, languages, licenses, negatives, ngram_join, packing, pieces, pii, quality, structure, token_counts
 from hubbub.llm.shared import table
 
 QUERIES, ORACLES = {}, {}
@@ -101,3 +101,10 @@ def op12_hard_negatives(spark, sf_dir):
     label = F.col("label").cast("long")
     rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
     return negatives.mine(rows, lambda i: i % 50 == 0)
+
+
+@query(structure.SQL)
+def op13_conversation_repair(spark, sf_dir):
+    """Faults of every damaged conversation, the cheapest edits that mend it, and the hash of the result."""
+    rows = table(spark, sf_dir, "conversations")
+    return structure.repair(rows, structure.damage(rows))
