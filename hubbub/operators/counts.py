@@ -2,7 +2,10 @@
 
 from collections import Counter
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -54,14 +57,11 @@ def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WO
     if segmented and not joined:
         shared = spark.sparkContext.broadcast([] if lexicon is None else collected(lexicon))
 
-    @F.pandas_udf("struct<word:array<array<string>>,pos:array<array<string>>>")
-    def cut_units(column: pd.Series) -> pd.DataFrame:
-        known = known_words(shared)
-        words_of = known.cutter()
-        found = [[[w for s in unit for w in words_of(s)] for unit in units] for units in column]
-        return pd.DataFrame({
-            "word": found, "pos": [[[known.tag(w, "x") for w in unit] for unit in units] for units in found],
-        })
+    @F.arrow_udf("struct<word:array<array<string>>,pos:array<array<string>>>")
+    def cut_units(texts: pa.Array) -> pa.Array:
+        units = known_words(shared).tagged(texts.flatten().to_pylist(), "x")
+        offsets = pa.array(np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(texts), 0))]), pa.int32())
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, units.field(k)) for k in ("word", "pos")], ["word", "pos"])
 
     @F.pandas_udf(_DONE)
     def finish(column: pd.Series) -> pd.DataFrame:
@@ -76,15 +76,14 @@ def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WO
         F.array(F.coalesce("content_raw", F.lit(""))),
         F.transform(F.coalesce("comments", no_comments), lambda c: F.coalesce(c["comment_content"], F.lit(""))),
     )
-    pieces = F.transform(texts, lambda text: sentences(text))
     if segmented:
-        tagged = _cut_by_join(articles, lexicon) if joined else articles.withColumn("_tagged", cut_units(pieces))
+        tagged = _cut_by_join(articles, lexicon) if joined else articles.withColumn("_tagged", cut_units(texts))
         if method == "ckip":
             units = F.zip_with("_tagged.word", "_tagged.pos", lambda w, p: content_words(zip_tags(w, p)))
         else:
             units = F.transform("_tagged.word", lambda unit: term_array(unit, stop))
     else:
-        tagged, units = articles, F.transform(pieces, lambda unit: term_array(unit, stop))
+        tagged, units = articles, F.transform(texts, lambda text: term_array(sentences(text), stop))
     done = tagged.withColumn("_units", units)
     done = done.withColumn("_done", finish("_units"))
     comments = F.transform("comments", lambda c, i: c.withField("comment_keywords", F.get(F.col("_units"), i + 1)))

@@ -1,41 +1,46 @@
 """Dictionary word segmentation: the most probable path through the dictionary words of a sentence."""
 
 import re
-from functools import lru_cache
+from itertools import chain
 from math import log
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from hubbub.functions.text import sentences
+from hubbub.functions.text import SENTENCE_MARKS, WS_CHARS
 from hubbub.operators.joins import fits_broadcast, lookup_join
+from hubbub.operators.trie import Trie, code_points
 from hubbub.session import durable, kept_in_worker
 
 # Two plain arrays cross from Python faster than an array of structs.
 _CUT = "struct<word:array<string>,pos:array<string>>"
 
 # Characters that can form one word, Han characters, and Latin or digit runs.
-_BLOCK = re.compile(r"([一-鿕a-zA-Z0-9+#&\._%\-]+)")
+_BLOCK_SET = r"一-鿕a-zA-Z0-9+#&\._%\-"
 _HAN = re.compile(r"([一-鿕]+)")
-_SHORT = 64
 _RUN = re.compile(r"([a-zA-Z0-9]+(?:\.\d+)?%?)")
+# Blocks of such characters, and every other character alone.
+_TOKEN = re.compile(f"[{_BLOCK_SET}]+|[\\s\\S]")
+# Blocks and cut words remembered by a worker; longer blocks are cut each time.
+_REMEMBERED, _SHORT = 1 << 18, 64
+# The join way looks words up by their first characters, and those longer than ``_LONG`` apart.
+_HEAD, _LONG = 2, 64
 
 
 class Dictionary:
-    """Word weights and tags with a prefix set, so lookups stop as soon as no word can follow."""
+    """Word weights and tags over a trie. Each different block of a text is cut once and remembered."""
 
     def __init__(self, rows, log_total=None):
-        weights = {word: max(weight or 1.0, 1.0) for word, weight, _ in rows}
-        self.tags = {word: tag for word, _, tag in rows if tag}
-        self.prefixes = {word[:i] for word in weights for i in range(1, len(word) + 1)}
-        log_total = log(sum(weights.values()) or 1.0) if log_total is None else log_total
-        self.scores = {word: log(weight) - log_total for word, weight in weights.items()}
-        self.loose = -log_total
-
-    def cutter(self):
-        """Sentence cutter that remembers the short sentences it met last."""
-        remembered = lru_cache(maxsize=1 << 16)(self.cut)
-        return lambda sentence: remembered(sentence) if len(sentence) <= _SHORT else self.cut(sentence)
+        own = {word: (max(weight or 1.0, 1.0), tag) for word, weight, tag in rows}
+        log_total = log(sum(weight for weight, _ in own.values()) or 1.0) if log_total is None else log_total
+        self.trie, self.loose = Trie(list(own)), -log_total
+        self.scores = np.array([log(weight) - log_total for weight, _ in own.values()])
+        self.tags = {word: tag for word, (_, tag) in own.items() if tag}
+        self.forget()
+
+    def forget(self):
+        self.numbers, self.words, self.cuts = {}, [], {}
 
     def cut(self, sentence):
         """Words of a sentence: dictionary words on the most probable path.
@@ -43,43 +48,93 @@ class Dictionary:
         Characters in no dictionary word stay single, but Latin and digit runs are kept whole;
         characters that cannot be part of a word stand alone.
         """
+        return [self.words[n] for n in chain.from_iterable(self.numbered(_TOKEN.findall(sentence)))]
+
+    def numbered(self, tokens):
+        """The numbers, in ``words``, of the words of each token."""
+        if len(self.cuts) + len(self.words) > _REMEMBERED:
+            self.forget()
+        new = [t for t in set(tokens) if t not in self.cuts]
+        long = {}
+        for token, words in zip(new, self.cut_blocks(new)):
+            (self.cuts if len(token) <= _SHORT else long)[token] = [self.number(w) for w in words]
+        return [self.cuts[t] if t in self.cuts else long[t] for t in tokens] if long else [self.cuts[t] for t in tokens]
+
+    def number(self, word):
+        n = self.numbers.setdefault(word, len(self.words))
+        if n == len(self.words):
+            self.words.append(word)
+        return n
+
+    def cut_blocks(self, blocks):
+        """The words of each block."""
         out = []
-        for place, block in enumerate(_BLOCK.split(sentence)):
-            if place % 2 == 0:  # between the blocks
-                out.extend(block)
-                continue
-            ends, at, loose = self.best_ends(block), 0, 0
+        for block, ends in zip(blocks, self.best_ends(blocks)):
+            words, at, loose = [], 0, 0
             while at < len(block):
                 end = ends[at]
                 if end - at > 1:
-                    out.extend(_loose_parts(block[loose:at]))
-                    out.append(block[at:end])
+                    words.extend(_loose_parts(block[loose:at]))
+                    words.append(block[at:end])
                     loose = end
                 at = end
-            out.extend(_loose_parts(block[loose:]))
+            words.extend(_loose_parts(block[loose:]))
+            out.append(words)
         return out
 
-    def best_ends(self, block):
-        """For each start, the end of the first word on the best path to the block's end."""
-        n, scores, prefixes = len(block), self.scores, self.prefixes
-        path, ends = [0.0] * (n + 1), [0] * n
-        for at in range(n - 1, -1, -1):
-            best, best_end, end = self.loose + path[at + 1], at + 1, at + 1
-            part = block[at]
-            while part in prefixes:
-                word = scores.get(part)
-                if word is not None and word + path[end] >= best:
-                    best, best_end = word + path[end], end
-                if end == n:
-                    break
-                end += 1
-                part = block[at:end]
-            path[at], ends[at] = best, best_end
-        return ends
+    def best_ends(self, blocks):
+        """For each block and start, the end of the first word on the best path to the block's end.
+
+        Paths are found from the ends backwards, one place of all blocks at a time. Of equal paths the longest word wins."""
+        sizes = np.fromiter(map(len, blocks), np.int64, len(blocks))
+        if not sizes.sum():
+            return [[] for _ in blocks]
+        codes, stop = code_points("".join(blocks)), np.cumsum(sizes)
+        start, end, word = self.trie.matches(codes, np.repeat(stop, sizes))
+        # Each block has one more place, behind its last character.
+        shift = np.repeat(np.arange(len(blocks)), sizes)
+        path, best = np.zeros(len(codes) + len(blocks)), np.arange(1, len(codes) + 1)
+        left = np.repeat(stop, sizes)[start] - start
+        order = np.lexsort((end, start, left))
+        start, end, score, left = start[order], end[order], self.scores[word[order]], left[order]
+        by_size = np.argsort(-sizes, kind="stable")
+        longest = sizes[by_size]
+        for k in range(1, int(longest[0]) + 1):
+            at = stop[by_size[:np.searchsorted(-longest, -k, side="right")]] - k
+            path[at + shift[at]] = self.loose + path[at + shift[at] + 1]
+            a, b = np.searchsorted(left, [k, k + 1])
+            if a < b:
+                own, to = start[a:b], end[a:b]
+                ways = score[a:b] + path[to + shift[own]]
+                first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+                most = np.maximum.reduceat(ways, first)
+                group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(own))))
+                last = np.zeros(len(first), np.int64)
+                top = np.flatnonzero(ways == most[group])
+                last[group[top]] = top  # ends rise, so the longest is kept
+                at, better = own[first], most >= path[own[first] + shift[own[first]]]
+                path[at[better] + shift[at[better]]], best[at[better]] = most[better], to[last[better]]
+        begin = stop - sizes
+        best -= np.repeat(begin, sizes)
+        return [best[a:b].tolist() for a, b in zip(begin.tolist(), stop.tolist())]
 
     def tag(self, word, default):
         return self.tags.get(word, default)
 
+    def tagged(self, texts, default):
+        """Words and tags of each text's sentences, as Arrow lists."""
+        tokens = [self.numbered(_SPOKEN.findall(t)) if t else [] for t in texts]
+        flat = np.fromiter(chain.from_iterable(chain.from_iterable(tokens)), np.int64)
+        offsets = np.cumsum([0, *(sum(map(len, own)) for own in tokens)])
+        used, place = np.unique(flat, return_inverse=True)
+        words = [self.words[n] for n in used.tolist()]
+        lists = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(own, pa.string()).take(pa.array(place))) for own in (words, [self.tag(w, default) for w in words])]
+        return pa.StructArray.from_arrays(lists, ["word", "pos"])
+
+
+# The same tokens without the characters that end sentences.
+_SPOKEN = re.compile(f"[{_BLOCK_SET}]+|[^{SENTENCE_MARKS}{WS_CHARS}]")
+
 
 def _loose_parts(text):
     for part in _HAN.split(text):
@@ -100,8 +155,8 @@ def segment(units, lexicon=None, keys=("article_url",), default_tag="x", small=N
     """Add ``tagged``: the (word, pos) pairs of each text unit, sentence by sentence.
 
     A dictionary measured as small is sent to every worker once. A larger one never leaves the
-    executors: all parts of the sentences up to the longest word are joined to it, and each
-    unit's matches (bounded by its own text) feed the same path search. Either way gives the same rows.
+    executors: parts of the text that begin like a word and are as long as one are joined to it, and the
+    matches of a batch of units feed the same path search. Either way gives the same rows.
     """
     if lexicon is None:
         return _by_broadcast(units, [], default_tag)
@@ -127,53 +182,59 @@ def known_words(shared):
 def _by_broadcast(units, rows, default_tag):
     shared = units.sparkSession.sparkContext.broadcast(rows)
 
-    @F.pandas_udf(_CUT)
-    def run(column: pd.Series) -> pd.DataFrame:
-        known = known_words(shared)
-        words_of = known.cutter()
-        found = [[w for part in parts for w in words_of(part)] for parts in column]
-        return pd.DataFrame({"word": found, "pos": [[known.tag(w, default_tag) for w in ws] for ws in found]})
+    @F.arrow_udf(_CUT)
+    def run(texts: pa.Array) -> pa.Array:
+        return known_words(shared).tagged(texts.to_pylist(), default_tag)
 
-    return units.withColumn("_cut", run(_parts())).withColumn("tagged", _zipped("_cut")).drop("_cut")
-
-
-def _parts():
-    """Sentences of a unit; a missing text has none."""
-    return F.coalesce(sentences("text"), F.array().cast("array<string>"))
+    return units.withColumn("_cut", run("text")).withColumn("tagged", _zipped("_cut")).drop("_cut")
 
 
 def _zipped(cut_column):
     return F.arrays_zip(F.col(f"{cut_column}.word").alias("word"), F.col(f"{cut_column}.pos").alias("pos"))
 
 
+def parts_like(rows, words, row_key):
+    """(row key, word): the different parts of the texts in ``_blocks`` that have the first characters of some word and its length.
+
+    A long word only costs parts where a text begins like it."""
+    size = F.char_length("word")
+    blocks = rows.select(*row_key, F.explode("_blocks").alias("_block"))
+    spots = blocks.select(*row_key, "_block", F.explode(F.sequence(F.lit(1), F.char_length("_block"))).alias("_at")).where("_block <> ''")
+    letters = blocks.select(*row_key, F.explode(F.array_distinct(F.split("_block", ""))).alias("word"))
+
+    def starting(of_sizes, chars, reach):
+        """Parts for the words of a range of lengths, told by their first ``chars`` characters."""
+        heads = words.where(of_sizes).groupBy(F.substring("word", 1, chars).alias("_head")).agg(F.collect_set(size).alias("_sizes"))
+        begun = spots.select(*row_key, F.substring("_block", F.col("_at"), F.lit(chars)).alias("_head"), F.substring("_block", F.col("_at"), F.lit(reach)).alias("_rest"))
+        begun = lookup_join(begun, heads, ["_head"], "inner")
+        fitting = F.filter("_sizes", lambda n: n <= F.char_length("_rest"))
+        return begun.select(*row_key, "_rest", F.explode(fitting).alias("_size")).select(*row_key, F.substring("_rest", F.lit(1), F.col("_size")).alias("word"))
+
+    longest = words.agg(F.max(size)).first()[0] or 0
+    found = letters.union(starting(size.between(_HEAD, _LONG), _HEAD, min(longest, _LONG)))
+    if longest > _LONG:
+        found = found.union(starting(size > _LONG, _LONG, longest))
+    return found.distinct()
+
+
 def by_join(units, lexicon, row_key, default_tag):
     """As ``segment``, for a stored table of units whose ``row_key`` tells every row from every other."""
-    longest, total = lexicon.agg(F.max(F.char_length("word")), F.sum("weight")).first()
-    log_total = log(total or 1.0)
-    parts = units.select(*row_key, F.explode(sentences("text")).alias("sentence"))
-    starts = parts.select("*", F.explode(F.sequence(F.lit(1), F.char_length("sentence"))).alias("start"))
-    reach = F.least(F.lit(longest), F.char_length("sentence") - F.col("start") + 1)
-    found = starts.select("*", F.explode(F.sequence(F.lit(1), reach)).alias("size")).select(
-        *row_key, F.substring("sentence", F.col("start"), F.col("size")).alias("word")
-    ).distinct()
-    found = lookup_join(found, lexicon, ["word"], "inner", small=False)
+    log_total = log(lexicon.agg(F.sum("weight")).first()[0] or 1.0)
+    blocks = F.array_distinct(F.regexp_extract_all("text", F.lit(f"[{_BLOCK_SET}]+"), F.lit(0)))
+    found = lookup_join(parts_like(units.select(*row_key, blocks.alias("_blocks")), lexicon, row_key), lexicon, ["word"], "inner", small=False)
     matches = found.groupBy(*row_key).agg(F.collect_set(F.struct("word", "weight", "tag")).alias("_found"))
 
-    @F.pandas_udf(_CUT)
-    def run(column: pd.Series, found: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_cut_found(parts, hits, log_total, default_tag) for parts, hits in zip(column, found)])
+    @F.arrow_udf(_CUT)
+    def run(texts: pa.Array, found: pa.Array) -> pa.Array:
+        # What any text of the batch holds is a dictionary for all of them.
+        hits = found.flatten()
+        rows = dict.fromkeys(zip(*(hits.field(k).to_pylist() for k in range(3))))
+        return Dictionary(rows, log_total).tagged(texts.to_pylist(), default_tag)
 
-    joined = units.join(matches, row_key, "left").withColumn("_cut", run(_parts(), F.col("_found")))
+    joined = units.join(matches, row_key, "left").withColumn("_cut", run("text", "_found"))
     return joined.withColumn("tagged", _zipped("_cut")).drop("_cut", "_found")
 
 
-def _cut_found(parts, hits, log_total, default_tag):
-    hits = [] if hits is None else hits
-    known = Dictionary([(h["word"], h["weight"], h["tag"]) for h in hits], log_total)
-    found = [w for part in parts for w in known.cut(part)]
-    return {"word": found, "pos": [known.tag(w, default_tag) for w in found]}
-
-
 def estimated(units, lexicon, small=None):
     """The dictionary with weights from a corpus: how often each word stands on the best path while all weigh the same.
 

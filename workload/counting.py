@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from hubbub.functions.text import is_term, sentences
-from hubbub.operators import counts, filters, segment, units
+from hubbub.operators import counts, entities, filters, segment, units
 from hubbub.operators.ranking import first_match
 from workload.base import (
     SQL_LEXICON, SQL_STOP, STOP, benchmark_lexicon, query, sql_is_term, sql_segments, sql_sentences, sql_tokens, table,
@@ -127,6 +127,50 @@ def gazetteer_hits(spark, sf_dir):
     return filters.gazetteer_hits(pairs, benchmark_lexicon(spark, sf_dir), ["NAMES"])
 
 
+def benchmark_names(spark, sf_dir):
+    """Names of two words that follow each other in a benchmark text, each with a section from its first letter."""
+    words = F.filter(F.split("text", "[ \\t\\n\\r]+"), lambda w: w != "")
+    pairs = F.transform(F.slice("words", F.lit(2), F.greatest(F.size("words") - 1, F.lit(0))), lambda w, i: F.concat(F.get("words", i), F.lit(" "), w))
+    names = table(spark, sf_dir, "benchmark").select(words.alias("words")).select(F.explode(pairs).alias("word"))
+    names = names.where(F.col("word").rlike("^[A-Za-z0-9]+ [A-Za-z0-9]+$")).distinct()
+    return names.withColumn("section", F.when(F.col("word") < "h", "PEOPLE").when(F.col("word") < "p", "PLACES").otherwise("BRANDS"))
+
+
+# A name is a run of ASCII letters and digits, a blank and another such run, so it is three runs of a text.
+SQL_ENTITIES = r"""
+with recursive raw as (select list_filter(regexp_split_to_array(text, '[ \t\n\r]+'), lambda x: x <> '') as words from benchmark),
+names as (select distinct unnest(list_transform(range(2, len(words) + 1), lambda i: words[i - 1] || ' ' || words[i])) as name from raw),
+known as (
+  select name, case when name < 'h' then 'PEOPLE' when name < 'p' then 'PLACES' else 'BRANDS' end as section
+  from names where regexp_matches(name, '^[A-Za-z0-9]+ [A-Za-z0-9]+$')),
+d as (select row_number() over () as row_, doc_id, regexp_extract_all(text, '[A-Za-z0-9]+|[^A-Za-z0-9]+') as runs from documents),
+r as (select row_, unnest(range(1, len(runs) + 1)) as i, unnest(runs) as run from d),
+o as (
+  select row_, run || lead(run, 1) over w || lead(run, 2) over w as name,
+    coalesce(sum(length(run)) over (partition by row_ order by i rows between unbounded preceding and 1 preceding), 0)::integer as spot
+  from r window w as (partition by row_ order by i)),
+ranked as (
+  select row_, spot, spot + length(name) as past, section, name, row_number() over (partition by row_ order by spot) as k,
+    lag(spot, 1, -1) over (partition by row_ order by spot) as before from o join known using (name)),
+kept as (
+  select row_, spot, past, section, name from ranked where k = 1
+  union all
+  select n.row_, n.spot, n.past, n.section, n.name from kept join ranked n on n.row_ = kept.row_ and n.spot >= kept.past and n.before < kept.past)
+select doc_id, spot::integer as "start", past::integer as "end", section, name from kept join d using (row_)"""
+
+
+@query(SQL_ENTITIES)
+def entity_spans(spark, sf_dir):
+    """Where names of two words stand in every document."""
+    return entities.entity_spans(texts(spark, sf_dir, "documents", "doc_id"), benchmark_names(spark, sf_dir), ["doc_id"])
+
+
+@query(SQL_ENTITIES)
+def entity_spans_by_join(spark, sf_dir):
+    """The same by join, the way of lists too large to send."""
+    return entities.entity_spans(texts(spark, sf_dir, "documents", "doc_id"), benchmark_names(spark, sf_dir), ["doc_id"], small=False)
+
+
 @query(r"""with s as (select doc_id, unnest(""" + sql_sentences("text") + r""") as sentence from documents),
 w as (select doc_id, unnest(regexp_extract_all(sentence, '[a-zA-Z0-9]+(?:\.[0-9]+)?%?|[+#&._%-]+|[^a-zA-Z0-9+#&._%-]')) as word from s)
 select doc_id, word, count(*) as n from w group by 1, 2""")
