@@ -6,7 +6,7 @@ from hubbub.functions.text import strip_ws
 from hubbub.functions.times import comment_time, date_parts, epoch_wall, last_two_tokens, url_epoch, wall_text
 from hubbub.functions.urls import absolute_url
 from hubbub.operators.audit import NO_AUTHOR, NO_TITLE
-from hubbub.operators.joins import skewed_join
+from hubbub.operators.joins import fits_broadcast
 from hubbub.sources.html import extract_pages, landed
 from hubbub.sources.readers import ARTICLE_FIELDS, INDEX_FIELDS, read_article, read_index
 
@@ -105,11 +105,13 @@ def push_text(content):
 def task_articles(tasks, pages):
     """The article of each task; a task whose page never landed gives an ``http_error`` row.
 
-    ``pages`` must hold one page per url and is parsed once, however many tasks name it. The
-    article of a url that very many tasks name reaches them by broadcast.
+    ``pages`` must hold one page per url. Pages that no task names are dropped by their address before any page is
+    parsed, and each of the others is parsed once, however many tasks name it.
     """
-    parsed = parse_articles(pages).withColumnRenamed("article_url", "url")
-    found = skewed_join(tasks, parsed, "url").withColumnRenamed("url", "article_url")
+    wanted = tasks.select("url").where(F.col("url").isNotNull()).distinct()
+    named = pages.join(F.broadcast(wanted) if fits_broadcast(wanted) else wanted, "url", "left_semi")
+    parsed = parse_articles(named).withColumnRenamed("article_url", "url")
+    found = tasks.join(parsed, "url", "left").withColumnRenamed("url", "article_url")
     missing = F.col("status").isNull()
     return found.withColumn("error", F.when(missing, "no page").otherwise(F.col("error"))).withColumn(
         "status", F.when(missing, "http_error").otherwise(F.col("status")))

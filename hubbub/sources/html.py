@@ -6,8 +6,10 @@ routing are column expressions on the rows it yields.
 
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 # Elements without content, and elements whose content is not page text.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -140,37 +142,24 @@ def landed(pages, also=None, html="html"):
 def extract_pages(pages, reader, schema, html="html"):
     """Run ``reader(root) -> dict`` on every page and append its fields as columns.
 
-    All other columns of ``pages`` pass through. ``schema`` is the DDL of the added fields. A
-    page its reader cannot handle gives NULL fields and the reason in ``page_error``.
+    Only the page text goes to Python; all other columns stay where they are, so filters and column choices
+    pass below. ``schema`` is the DDL of the added fields. A page its reader cannot handle gives NULL fields and the
+    reason in ``page_error``.
     """
-    kept = [f for f in pages.schema.fields if f.name != html]
-    names = [f.name for f in kept]
-    added = [part.split()[0] for part in _split_ddl(schema)]
-    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [schema, "page_error string"])
-
-    def run(batches):
-        for batch in batches:
-            rows = []
-            for page in batch[html]:
-                try:
-                    rows.append({**reader(parse_page(page)), "page_error": None})
-                except Exception as problem:  # a bad page must not end the run
-                    rows.append({"page_error": f"{type(problem).__name__}: {problem}"})
-            fields = {
-                name: pd.Series([row.get(name) for row in rows], index=batch.index, dtype=object)
-                for name in added + ["page_error"]
-            }
-            yield batch[names].assign(**fields)
-
-    return pages.mapInPandas(run, ddl)
-
-
-def _split_ddl(ddl):
-    """Top-level fields of a DDL text."""
-    depth, start, out = 0, 0, []
-    for i, ch in enumerate(ddl):
-        depth += (ch in "<(") - (ch in ">)")
-        if ch == "," and depth == 0:
-            out.append(ddl[start:i].strip())
-            start = i + 1
-    return out + [ddl[start:].strip()]
+    fields = T.StructType.fromDDL(f"{schema}, page_error string")
+    empty, kind = dict.fromkeys(fields.names), to_arrow_type(fields)
+    maps = [f.name for f in fields if isinstance(f.dataType, T.MapType)]
+
+    @F.arrow_udf(fields)
+    def run(texts: pa.Array) -> pa.Array:
+        rows = []
+        for text in texts:
+            try:
+                found = reader(parse_page(text.as_py()))
+                rows.append({**empty, **found, **{m: list(found[m].items()) for m in maps if found.get(m) is not None}})
+            except Exception as problem:  # a bad page must not end the run
+                rows.append({**empty, "page_error": f"{type(problem).__name__}: {problem}"})
+        return pa.array(rows, kind)
+
+    kept = [F.col(f"`{c}`") for c in pages.columns if c != html]
+    return pages.select(*kept, run(html).alias("_page")).select(*kept, "_page.*")

@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from hubbub.operators.audit import row_audit
 from hubbub.plans import forum, listings, social
-from hubbub.sources.html import parse_page
+from hubbub.sources.html import extract_pages, parse_page
+from hubbub.sources.readers import ARTICLE_FIELDS, read_article
 
 URL = "https://f/bbs/Coffee/M.1766998030.A.8C2.html"
 
@@ -178,3 +179,28 @@ def test_one_schema(spark):
     b = spark.createDataFrame([("B", 3)], "article_source string, reaction_count long")
     rows = sorted((r.article_source, r.article_title, r.reaction_count) for r in social.one_schema(a, b).collect())
     assert rows == [("A", "t", None), ("B", None, 3)]
+
+
+def test_pages_are_dropped_before_they_are_parsed(spark, tmp_path):
+    """One Python node, only the page text goes into it, and the choice of pages lies below."""
+    html = "<div id='main-content'>text</div>"
+    address = "https://forum.example/bbs/Board/M.17670000{:02d}.A.{:03d}.html".format
+    spark.createDataFrame([(address(i, i), html, f"extra {i}", "unused") for i in range(20)], "url string, html string, note string, other string").write.parquet(str(tmp_path / "pages"))
+    pages = spark.read.parquet(str(tmp_path / "pages"))
+    tasks = spark.createDataFrame([(k, address(k % 3, k % 3)) for k in range(50)] + [(50, "nowhere"), (51, None)], "seq long, url string")
+    found = forum.task_articles(tasks, pages.where("note <> 'extra 1'")).select("seq", "article_url", "status", "note")
+    lines = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    python = [k for k, line in enumerate(lines) if "EvalPython" in line]
+    below = "\n".join(lines[python[0]:])
+    assert len(python) == 1 and "LeftSemi" in below and "extra 1" in below
+    assert "other:string" not in found._jdf.queryExecution().executedPlan().toString()  # in no scan's schema
+    rows = {r["seq"]: (r["status"], r["note"]) for r in found.collect()}
+    assert rows[0] == ("ok", "extra 0") and rows[1] == ("http_error", None) and rows[2] == ("ok", "extra 2")
+    assert rows[50][0] == rows[51][0] == "http_error" and len(rows) == 52
+
+
+def test_filters_on_other_columns_pass_the_reader(spark, tmp_path):
+    spark.createDataFrame([(i, "<div id='main-content'>x</div>", "a") for i in range(5)], "id long, html string, kind string").write.parquet(str(tmp_path / "p"))
+    found = extract_pages(spark.read.parquet(str(tmp_path / "p")), read_article, ARTICLE_FIELDS).where("id = 3").select("id", "body")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(id,3)" in plan and "kind" not in plan and [r["id"] for r in found.collect()] == [3]
