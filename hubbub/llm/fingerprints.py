@@ -2,12 +2,18 @@
 
 Terms are runs of three words (fewer at a text's end), each occurrence weighing 1. A term's 128 hash bits vote on the
 bits of the fingerprint; a bit is set when more than half of the weight is for it. Votes for two bits travel in one
-long, so a text's 128 counters are 64 sums. ``near`` finds all pairs of fingerprints within a radius through tables
-that each put other blocks of bits in front: of radius + 2 blocks, two are equal in any such pair.
+long, so a text's 128 counters are 64 sums.
+
+``classes`` finds all fingerprints within a radius of each other through tables that each put other blocks of bits in front: of
+radius + 2 blocks, two are equal in any such pair, so the two meet in a table that puts these in front. A meeting of at most ``SMALL``
+fingerprints gives its pairs. In a larger one each member is held against the leader (the member of most large meetings);
+then only members that are still in another class than most of their meeting are held against the rest of it. So a group of n near copies
+gives rows in proportion to n, and no link between two classes is lost.
 
 Defined results: null text counts as empty; an empty or blank text has no votes and the zero fingerprint; equal texts
-have equal fingerprints; repeated rows are kept, ordered by id and then text; null ids come after all others. Only
-the id and text columns are read, so others cannot clash.
+have equal fingerprints; repeated rows are kept, ordered by id and then text; null ids come after all others and are
+passed over where a class takes its smallest id. All empty texts are one class. Only the id and text columns are read, so
+others cannot clash.
 """
 
 import functools
@@ -17,13 +23,15 @@ import math
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from hubbub.llm.ngram_join import components
 from hubbub.llm.shared import durable, with_nulls_as_text
+from hubbub.operators.joins import lookup_join
 
 TERM_WORDS, BITS, RADIUS = 3, 128, 10
 # The most tables that a search keeps each fingerprint in.
 MAX_TABLES = 66
-# Rows that follow each other in one task, and how many exact quantile steps place them.
-BLOCK_ROWS, STEPS = 256, 256
+# Rows that follow each other in one task, as far as STEPS x STEPS quantiles place them; members of a meeting that gives its pairs.
+BLOCK_ROWS, STEPS, SMALL = 256, 256, 16
 BLANK = "[ \\t\\n\\x0B\\f\\r]+"
 LANES = 0x0000000100000001
 
@@ -65,24 +73,34 @@ def distance(a, b, c, d):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(c))) + F.bit_count(F.col(b).bitwiseXOR(F.col(d)))
 
 
+def quantiles(parts):
+    """The ends of ``parts`` equal shares of doc_id."""
+    return F.percentile_approx("doc_id", [k / parts for k in range(1, parts + 1)], 10000).alias("cuts")
+
+
+def below(cuts):
+    """How many of the ends lie below doc_id."""
+    return F.size(F.filter(cuts, lambda c: c < F.col("doc_id")))
+
+
 def blocked(rows):
     """``rows`` with ``block``: ranges of doc_id of about BLOCK_ROWS rows each, rising with the id; nulls lie below all.
 
-    Quantiles cut the ids into steps, equal widths cut each step, so no block grows with the table."""
-    n, low = rows.agg(F.count("doc_id"), F.min("doc_id")).first()
+    Quantiles cut the ids into steps and quantiles of each step cut these, so ranges hold about equally many rows however
+    the ids lie. The cuts are at most STEPS x STEPS numbers; beyond as many blocks, blocks grow."""
+    n = rows.agg(F.count("doc_id")).first()[0]
     if not n:
         return rows.withColumn("block", F.lit(-1).cast("long"))
     steps = max(1, min(STEPS, n // BLOCK_ROWS))
-    cuts = rows.agg(F.percentile_approx("doc_id", [k / steps for k in range(1, steps + 1)], 10000)).first()[0]
-    cuts = [low, *cuts]
-    parts = max(1, n // steps // BLOCK_ROWS)
-    bounds = F.array(*[F.lit(c) for c in cuts])
-    step = F.size(F.filter(bounds, lambda c: c < F.col("doc_id")))
-    start, end = F.get(bounds, F.col("step") - 1), F.get(bounds, F.col("step"))
-    part = F.when(end > start, F.floor((F.col("doc_id") - start) * parts / (end - start))).otherwise(0)
-    rows = rows.withColumn("step", F.least(F.greatest(step, F.lit(1)), F.lit(steps)))
-    inside = F.least(F.greatest(part, F.lit(0)), F.lit(parts - 1))
-    return rows.withColumn("block", F.coalesce((F.col("step") * parts + inside).cast("long"), F.lit(-1).cast("long"))).drop("step")
+    first = F.array(*[F.lit(c) for c in rows.agg(quantiles(steps)).first()[0]])
+    rows = rows.withColumn("step", F.least(below(first), F.lit(steps - 1)))
+    parts = max(1, min(STEPS, n // steps // BLOCK_ROWS))
+    if parts == 1:
+        return rows.withColumn("block", F.when(F.col("doc_id").isNull(), -1).otherwise(F.col("step")).cast("long")).drop("step")
+    inner = rows.where("doc_id is not null").groupBy("step").agg(quantiles(parts))
+    rows = rows.join(F.broadcast(inner), "step", "left")
+    block = F.col("step") * parts + F.least(below("cuts"), F.lit(parts - 1))
+    return rows.withColumn("block", F.when(F.col("doc_id").isNull(), -1).otherwise(block).cast("long")).drop("step", "cuts")
 
 
 def next_blocks(firsts):
@@ -94,8 +112,8 @@ def next_blocks(firsts):
 
 def fingerprint_edited(docs, id_col="doc_id", text_col="text", radius=RADIUS):
     """Each document's fingerprint, that of its edited text (the last third replaced by the beginning of the next
-    document, ids descending), the likeness of both and of the next document's fingerprint, and how many other
-    fingerprints lie within the radius.
+    document, ids descending), the likeness of both and of the next document's fingerprint, and the smallest doc_id of its class:
+    the documents that links between fingerprints within the radius connect.
 
     Texts move once, to their block; everything up to the votes stays there."""
     rows = blocked(with_nulls_as_text(docs, id_col, text_col))
@@ -121,14 +139,17 @@ def fingerprint_edited(docs, id_col="doc_id", text_col="text", radius=RADIUS):
     heads = firsts.join(next_blocks(firsts.select(F.col("after").alias("block"))), "after").drop("after")
     ahead = ahead.join(heads, "block", "left").withColumn("high_n", F.coalesce("high_n", "high_f")).withColumn("low_n", F.coalesce("low_n", "low_f"))
     ahead = ahead.withColumn("fingerprint", text_of("high", "low"))
-    pairs = near(ahead, radius)
-    found = pairs.select(F.explode(F.array("a", "b")).alias("fingerprint")).groupBy("fingerprint").agg(F.count("*").alias("n_near"))
-    return ahead.join(found, "fingerprint", "left").select(
+    ids = ahead.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
+    ids = ids.join(classes(ahead, radius), "fingerprint", "left").withColumn("class", F.coalesce("class", "fingerprint"))
+    least = ids.groupBy("class").agg(F.min("least").alias("class_id"))
+    # A frequent fingerprint's documents are spread over tasks.
+    whole = lookup_join(ahead, ids.join(least, "class").select("fingerprint", "class_id"), ["fingerprint"], small=False)
+    return whole.select(
         "doc_id", F.col("n").cast("long").alias("n_chars"), F.col("sha").alias("edited_sha256"),
         "fingerprint", text_of("high_e", "low_e").alias("edited_fingerprint"),
         (1 - distance("high", "low", "high_e", "low_e") / BITS).alias("near_edited"),
         (1 - distance("high", "low", "high_n", "low_n") / BITS).alias("near_next"),
-        F.coalesce("n_near", F.lit(0)).alias("n_near"),
+        "class_id",
     )
 
 
@@ -144,31 +165,55 @@ def masks(radius):
     return [(signed(m >> 64), signed(m & (1 << 64) - 1)) for m in whole], together
 
 
-def near(prints, radius=RADIUS):
-    """Pairs (a, b, distance) of different fingerprints, a < b, at most ``radius`` bits apart.
+def classes(prints, radius=RADIUS):
+    """(fingerprint, class): the smallest fingerprint that links of at most ``radius`` bits reach, for every linked fingerprint.
 
-    ``prints`` holds a column ``fingerprint``; equal ones are one fingerprint, so copies make no pairs. Any two within
-    the radius agree on enough whole blocks of bits to meet in a table that puts these in front; of the tables where they
-    meet, the one of their first equal blocks gives the pair."""
+    ``prints`` holds a column ``fingerprint``; equal ones are one fingerprint."""
     values = prints.select("fingerprint").where("fingerprint is not null").distinct()
-    values = values.select(*[F.conv(F.substring("fingerprint", at, 16), 16, -10).cast("long").alias(c) for c, at in (("h", 1), ("l", 17))])
+    values = durable(values.select(*[F.conv(F.substring("fingerprint", at, 16), 16, -10).cast("long").alias(c) for c, at in (("h", 1), ("l", 17))]))
     blocks, together = masks(radius)
     whole = lambda chosen, half: sum(blocks[k][half] for k in chosen)
     marked = len(blocks) < 63  # a table's number is then its blocks as bits of a long
     tables = F.array(*[
-        F.struct(F.lit(sum(1 << k for k in chosen) if marked else at).cast("long").alias("block"), F.xxhash64(F.col("h").bitwiseAND(F.lit(whole(chosen, 0))), F.col("l").bitwiseAND(F.lit(whole(chosen, 1)))).alias("front"))
+        F.struct(F.lit(sum(1 << k for k in chosen) if marked else at).cast("long").alias("block"), F.xxhash64(F.lit(at), F.col("h").bitwiseAND(F.lit(whole(chosen, 0))), F.col("l").bitwiseAND(F.lit(whole(chosen, 1)))).alias("front"))
         for at, chosen in enumerate(itertools.combinations(range(len(blocks)), together))
     ])
-    side = lambda p: values.select("h", "l", F.explode(tables).alias("t")).select(F.col("h").alias(f"{p}h"), F.col("l").alias(f"{p}l"), "t.block", "t.front")
-    met = side("a").join(side("b"), ["block", "front"]).where("ah < bh or ah = bh and al < bl").where(distance("ah", "al", "bh", "bl") <= radius)
+    places = values.select("h", "l", F.explode(tables).alias("t")).select("h", "l", "t.block", "t.front")
+    large = durable(places.groupBy("front").agg(F.count("*").alias("many")).where(F.col("many") > SMALL).select("front"))
+    side = lambda rows, p: rows.select("front", *[F.col(c).alias(p + c) for c in rows.columns if c != "front"])
+    near = distance("ah", "al", "bh", "bl") <= radius
+
+    few = places.join(large, "front", "left_anti")
+    met = side(few, "a").join(side(few.drop("block"), "b"), "front").where("ah < bh or ah = bh and al < bl").where(near)
     if marked:
         differs = lambda k: F.col("ah").bitwiseXOR(F.col("bh")).bitwiseAND(F.lit(blocks[k][0])).bitwiseOR(F.col("al").bitwiseXOR(F.col("bl")).bitwiseAND(F.lit(blocks[k][1])))
         equal = functools.reduce(lambda x, y: x + y, [F.when(differs(k) == 0, F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")) for k in range(len(blocks))])
-        # The lowest bits of ``equal``, as many as stand together, are those that taking the lowest away so often removes.
-        rest = equal
-        for _ in range(together):
-            rest = rest.bitwiseAND(rest - 1)
-        met = met.where(F.col("block") == equal.bitwiseXOR(rest))
-    names = [text_of("ah", "al"), text_of("bh", "bl")]
-    pairs = met.select(F.least(*names).alias("a"), F.greatest(*names).alias("b"), distance("ah", "al", "bh", "bl").alias("distance"))
-    return pairs if marked else pairs.distinct()
+        # The lowest bits of ``equal``, as many as stand together, are those that taking the lowest away so often removes: of
+        # the tables where two meet, the one of their first equal blocks gives the pair.
+        rest = F.aggregate(F.array(*[F.lit(k) for k in range(together)]), equal, lambda left, _: left.bitwiseAND(left - 1))
+        met = met.where(F.col("ablock") == equal.bitwiseXOR(rest))
+    named = lambda rows: rows.select(F.struct(F.col("ah").alias("h"), F.col("al").alias("l")).alias("a"), F.struct(F.col("bh").alias("h"), F.col("bl").alias("l")).alias("b"))
+    links = named(met)
+    if not large.isEmpty():
+        links = durable(links.union(named(in_large_meetings(places, large, side, near, links, named))))
+    found = components(links)
+    return found.select(text_of("id.h", "id.l").alias("fingerprint"), text_of("label.h", "label.l").alias("class"))
+
+
+def in_large_meetings(places, large, side, near, links, named):
+    """Links (ah, al, bh, bl) that connect, with ``links``, all members of large meetings that are within the radius."""
+    members = durable(places.drop("block").join(large, "front"))
+    often = members.groupBy("h", "l").agg(F.count("*").alias("often"))
+    leaders = members.join(often, ["h", "l"]).groupBy("front").agg(F.max(F.struct("often", "h", "l")).alias("b"))
+    leaders = leaders.select("front", F.col("b.h").alias("bh"), F.col("b.l").alias("bl"))
+    stars = durable(side(members, "a").join(leaders, "front").where("ah <> bh or al <> bl").where(near).drop("front").distinct())
+    labels = components(links.union(named(stars))).select("id.h", "id.l", "label")
+    classed = members.join(labels, ["h", "l"], "left")
+    classed = durable(classed.withColumn("label", F.coalesce("label", F.struct("h", "l"))))
+    shares = classed.groupBy("front", "label").agg(F.count("*").alias("many")).groupBy("front")
+    mixed = shares.agg(F.max_by("label", F.struct("many", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1").select("front", "main")
+    mixed = durable(classed.join(mixed, "front"))
+    # Of two members with different labels, at least one is not of the meeting's main class.
+    minor = side(mixed.where("label <> main").drop("main"), "a")
+    rest = minor.join(side(mixed.drop("main"), "b"), "front").where("alabel <> blabel").where(near)
+    return stars.union(rest.select("ah", "al", "bh", "bl").distinct())
