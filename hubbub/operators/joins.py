@@ -4,7 +4,10 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from hubbub.session import durable
+
 BROADCAST_ROWS = 500_000
+SUMMARY_ROWS = 10_000
 BROADCAST_BYTES = 32 << 20
 HOT_KEYS = 200
 HOT_SHARE = 0.02
@@ -17,6 +20,15 @@ def fits_broadcast(df, max_rows=BROADCAST_ROWS, max_bytes=BROADCAST_BYTES):
     return rows <= max_rows and size <= max_bytes
 
 
+def computed_once(summary, most=SUMMARY_ROWS):
+    """A summary of one short row per group, computed here and not again with each join. Up to ``most`` rows are sent to the
+    other side, so that it stays in place; more are stored and joined."""
+    rows = summary.limit(most + 1).collect()
+    if len(rows) > most:
+        return durable(summary)
+    return F.broadcast(summary.sparkSession.createDataFrame(rows, summary.schema))
+
+
 def row_hash(columns, schema):
     """Hash of a row's columns; maps, which have no hash, are hashed as JSON text."""
     return F.xxhash64(*[F.to_json(F.struct(f"`{c}`")) if "map<" in schema[c].dataType.simpleString() else F.col(f"`{c}`") for c in columns])

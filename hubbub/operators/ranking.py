@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from hubbub.operators.joins import fits_broadcast, row_hash
+from hubbub.operators.joins import computed_once, row_hash
 from hubbub.session import durable
 
 _GROUP_LIMIT = 1000  # up to this n, Spark prunes ranked rows before the shuffle on its own
@@ -68,8 +68,8 @@ def grouped_median(df, keys, value, name="median", tolerance=10_000):
     rows = df.where(v.isNotNull())
     sketch = F.percentile_approx(v, [max(0.0, 0.5 - edge), min(1.0, 0.5 + edge)], tolerance)
     ends = rows.groupBy(*keys).agg(sketch.alias("_ends"), F.count(F.lit(1)).alias("_n"))
-    # One row per group: where that is measured as small, no value moves before it is counted.
-    placed = rows.select(*keys, v.alias("_v")).join(F.broadcast(ends) if fits_broadcast(ends) else ends, keys)
+    # One row per group: where these are few, no value moves before it is counted.
+    placed = rows.select(*keys, v.alias("_v")).join(computed_once(ends), keys)
     low, high = F.get("_ends", F.lit(0)), F.get("_ends", F.lit(1))
     # Below the bracket everything collapses to one value per group; above it is not needed.
     # The sketch is only off by 1/tolerance of the rows, but small groups are kept whole.

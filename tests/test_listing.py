@@ -62,3 +62,20 @@ def test_observed_counts_rows(spark):
 def test_flags(spark):
     df = spark.createDataFrame([("unknown", "t"), ("", "t"), ("a", "無標題"), ("a", "t"), ("a", "標題讀取失敗")], "article_author string, article_title string")
     assert df.where(audit.missing_meta()).count() == 4 and df.where(audit.missing_meta_compat()).count() == 2
+
+
+def test_summaries_are_computed_once(spark, monkeypatch):
+    """Few jobs while the plan is built, and the same rows where summaries are stored instead of sent."""
+    from hubbub.operators import joins
+
+    rows = [(f"b{k % 3}", k // 9, k % 9, f"t{k}", f"/u{k}", f"{1 + k % 12:2d}/{1 + k % 28:02d}", k % 7 == 0) for k in range(200)]
+    board = spark.createDataFrame(rows, "board string, page_seq long, pos long, title string, url string, date string, pinned boolean")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    sent = listing.task_list(board, 2025, "2025-06-15", "2024-09-01", 20)
+    jobs = len(tracker.getJobIdsForGroup("building"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    want = sorted(map(str, sent.collect()))
+    assert jobs <= 6 and len(want) > 10
+    monkeypatch.setattr(joins.computed_once, "__defaults__", (0,))
+    assert sorted(map(str, listing.task_list(board, 2025, "2025-06-15", "2024-09-01", 20).collect())) == want

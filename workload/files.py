@@ -4,10 +4,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from hubbub.functions.text import output_name
 from hubbub.operators import audit
 from hubbub.session import shared_dir
 from hubbub.sources import articles as article_files
-from hubbub.sources import lexicon, tasks
+from hubbub.sources import lexicon, store, tasks
 from workload.base import SQL_LEXICON, benchmark_lexicon, query, table
 from workload.pipeline import nested_documents
 
@@ -86,3 +87,23 @@ def stage_counts(spark, sf_dir):
     kept.write.format("noop").mode("overwrite").save()
     rows = [("read", read.get["rows"], 0), ("kept", after.get["rows"], after.get["errors"])]
     return spark.createDataFrame(rows, "stage string, rows bigint, errors bigint")
+
+
+_NAME = r"""lang || '_' || regexp_replace(string_split(text, chr(10))[1], '[\\/:*?"<>|]', '_', 'g')"""
+
+
+@query(f"""with said as (select doc_id, {_NAME} as output_name, source, k from documents, (values (1), (2), (3)) as r(k) where doc_id % 3 <> k % 3)
+select output_name, max(k)::bigint as run, arg_max(doc_id, (k, doc_id)) as doc_id, arg_max(source, (k, doc_id)) as source from said group by 1""")
+def article_store_runs(spark, sf_dir):
+    """Three runs with two thirds of the documents each, so that names overlap. The second run's first try was wrong and is
+    repeated; a fourth one stopped before it counted."""
+    path = _folder(spark, "store")
+    name = output_name("lang", F.get(F.split("text", "\n"), F.lit(0)))
+    docs = table(spark, sf_dir, "documents").select(name.alias("output_name"), F.col("doc_id").alias("seq"), "source")
+    taken = lambda k: docs.where(F.col("seq") % 3 != k % 3).withColumn("run", F.lit(k).cast("long"))
+    store.upsert(taken(1), path, "first", buckets=8)
+    store.upsert(docs.withColumn("run", F.lit(-1).cast("long")), path, "second")
+    store.upsert(taken(3), path, "third")
+    store.upsert(taken(2), path, "second")
+    store.stage(docs.withColumn("run", F.lit(4).cast("long")), path, "stopped")
+    return store.read_store(spark, path).select("output_name", "run", F.col("seq").alias("doc_id"), "source")
