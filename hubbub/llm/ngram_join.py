@@ -8,8 +8,8 @@
    everybody is paired with the set that meets most often; once links are known, only pairs between different
    components are left to look at, in blocks of bounded size.
 4. Parities of token groups, two to four groups for each token, bound the difference of two sets from below and drop
-   candidates that differ too much. What is left must also share leading tokens under the other orders; then the
-   whole sets are compared.
+   candidates that differ too much. The leading tokens of what is left, under the other orders and as 32-bit hashes, are joined
+   to the pairs: a pair stays that shares one under every order. Only then whole sets travel, and are compared.
 
 Components come from minimum labels with pointer jumping. No step gathers a group, links or components in one place;
 the driver holds the sketch and a Bloom filter, both of fixed size.
@@ -124,19 +124,20 @@ def prefix(tokens, order, classes, percent=PERCENT):
 def profile(rows, words):
     """Rows (doc_id, n, id, parities as data) of all documents, and counter chunks of each task."""
     def run(batches):
-        powers, count = Powers(), np.zeros(COUNTERS, np.uint8)
+        powers, count = Powers(), np.zeros(COUNTERS, np.uint16)
         for part, texts in slices(batches):
             sets = shingle_sets(texts, powers, words)
             tokens = np.concatenate(sets)
             if len(tokens):
                 at, many = np.unique(bucket_of(tokens), return_counts=True)
-                count[at] = np.minimum(count[at].astype(np.int64) + many, 255)
+                count[at] = np.minimum(count[at].astype(np.int64) + many, 65535)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s) for s in sets], pa.int64()), pa.nulls(len(sets), pa.int32()), pa.array([parities(s).tobytes() for s in sets])],
                 ["doc_id", "n", "id", "chunk", "data"])
         for c in range(COUNTERS // CHUNK):
             own = count[c * CHUNK:(c + 1) * CHUNK]
             if own.any():
+                own = own.astype(np.uint8) if own.max() < 256 else own
                 yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([c], pa.int32()), pa.array([own.tobytes()])], ["doc_id", "n", "id", "chunk", "data"])
 
     name = rows.schema["doc_id"].dataType
@@ -155,7 +156,7 @@ def token_classes(profiled, total):
         sums = {}
         for batch in batches:
             for c, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = np.frombuffer(data.as_buffer(), np.uint8)
+                own = np.frombuffer(data.as_buffer(), np.uint8 if len(data.as_buffer()) == CHUNK else np.uint16)
                 sums.setdefault(c, np.zeros(CHUNK, np.int64))
                 sums[c] += own
         for c, counts in sums.items():
@@ -336,12 +337,11 @@ def marked(bits, ids):
     return np.logical_and.reduce([(bits[at >> 3] >> (at & 7)) & 1 == 1 for at in bit_places(ids)])
 
 
-def verified(rows, pairs, classes, words, percent):
-    """The pairs (a, b) of set digests that are similar enough. ``pairs`` is a stored table."""
-    ends = pairs.select(F.col("a").alias("id"), "a", "b").union(pairs.select(F.col("b").alias("id"), "a", "b"))
+def wanted_sets(rows, pairs, words, make):
+    """(id, data): ``make(tokens)`` as bytes, once for each set that the pairs name and each task that meets it."""
     wanted = bloom(pairs.select("a").union(pairs.select("b")).distinct())
 
-    def sets(batches):
+    def run(batches):
         powers, seen = Powers(), set()
         for _, texts in slices(batches):
             found = shingle_sets(texts, powers, words)
@@ -351,33 +351,59 @@ def verified(rows, pairs, classes, words, percent):
             if len(seen) > 1_000_000:
                 seen.clear()
             keep = list({ids[i]: i for i in keep}.values())
-            yield pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.array([found[i].tobytes() for i in keep], pa.binary())], ["id", "tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.array([make(found[i]) for i in keep], pa.binary())], ["id", "data"])
+
+    return rows.select(F.lit(0).alias("id"), "text").mapInArrow(run, "id long, data binary")
+
+
+def leads_of(tokens, classes, percent):
+    """The leading tokens under the orders behind the first one, equally many of each, as sorted 32-bit hashes."""
+    return b"".join(np.sort((mix(prefix(tokens, order, classes, percent)) >> np.uint64(32)).astype(np.uint32)).tobytes() for order in range(1, ORDERS))
+
+
+def share_leads(x, y):
+    """Whether two sets share a leading token under each of these orders; two tokens with one hash only let a pair pass."""
+    x, y = (np.frombuffer(v, np.uint32).reshape(ORDERS - 1, -1) for v in (x, y))
+    return all(len(np.intersect1d(a, b)) for a, b in zip(x, y))
+
+
+def sharing_leads(rows, pairs, classes, words, percent):
+    """The pairs (a, b) that share leading tokens under every order behind the first. ``pairs`` is a stored table."""
+    leads = wanted_sets(rows, pairs, words, lambda tokens: leads_of(tokens, classes, percent)).dropDuplicates(["id"])
+    leads = durable(leads)
+    side = lambda p: leads.select(F.col("id").alias(p), F.col("data").alias(f"d{p}"))
+
+    def check(batches):
+        for batch in batches:
+            ok = [share_leads(x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column("da"), batch.column("db"))]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "da", "db").mapInArrow(check, "a long, b long")
+
+
+def verified(rows, pairs, classes, words, percent):
+    """The pairs (a, b) of set digests that are similar enough. ``pairs`` is a stored table."""
+    pairs = durable(sharing_leads(rows, pairs, classes, words, percent))
+    ends = pairs.select(F.col("a").alias("id"), "a", "b").union(pairs.select(F.col("b").alias("id"), "a", "b"))
 
     def compare(batches):
-        waiting = {}
+        pair = first = None  # the pair at hand, and its set that came first until the other one comes
         for batch in batches:
             good = []
-            for who, a, b, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if (a, b) not in waiting:
-                    waiting[a, b] = who, data
-                elif waiting[a, b] and waiting[a, b][0] != who:
-                    if linked(np.frombuffer(waiting[a, b][1], np.uint64), np.frombuffer(data, np.uint64)):
-                        good.append((a, b))
-                    waiting[a, b] = None  # decided; more copies of either set may still come
+            for who, a, b, data in zip(*(batch.column(c) for c in ("id", "a", "b", "data"))):
+                who, here = who.as_py(), (a.as_py(), b.as_py())
+                if here != pair:
+                    pair, first = here, (who, np.frombuffer(data.as_py(), np.uint64))
+                elif first and first[0] != who:
+                    tokens = np.frombuffer(data.as_buffer(), np.uint64)
+                    if similar(len(np.intersect1d(first[1], tokens, assume_unique=True)), len(first[1]), len(tokens), percent):
+                        good.append(here)
+                    first = None  # decided; more copies of either set may still come
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in good], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    def linked(x, y):
-        for order in range(1, ORDERS):
-            if not len(np.intersect1d(prefix(x, order, classes, percent), prefix(y, order, classes, percent), assume_unique=True)):
-                return False
-        return similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent)
-
     count = pairs.count()
-    found = rows.select(F.lit(0).alias("id"), "text").mapInArrow(sets, "id long, tokens binary")
-    both = ends.join(found.hint("merge"), "id").select("id", "a", "b", "tokens")
-    links = both.repartition(max(1, count // 2000), "a", "b").mapInArrow(compare, "a long, b long")
-    # A pair of which several copies of a set arrived is told once.
-    return durable(links.distinct())
+    both = ends.join(wanted_sets(rows, pairs, words, lambda tokens: tokens.tobytes()).hint("merge"), "id").select("id", "a", "b", "data")
+    return durable(both.repartition(max(1, count // 2000), "a", "b").sortWithinPartitions("a", "b").mapInArrow(compare, "a long, b long"))
 
 
 def components(links):

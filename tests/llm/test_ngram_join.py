@@ -142,3 +142,32 @@ def test_keep_one_of_rows_without_ids(frame):
 
 def test_empty_table(frame):
     assert joined(frame, []) == [] and ngram_join.keep_one(frame([])).collect() == []
+
+
+def test_orders_are_intersected_before_sets_travel(spark):
+    """Pairs without a shared leading token under some order are dropped from slim rows; similar pairs never are."""
+    base = [story(200, k).split() for k in range(4)]
+    texts = [" ".join(w) for w in base] + [" ".join(w[:-3]) for w in base] + [" ".join(w[:100]) for w in base]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    powers, classes = Powers(), np.zeros(ngram_join.COUNTERS, np.uint8)
+    sets = ngram_join.shingle_sets(texts, powers)
+    ids = [ngram_join.digest(s) for s in sets]
+    pairs = spark.createDataFrame([(ids[i], ids[j]) for i in range(12) for j in range(12) if i < j], "a long, b long")
+    kept = {(r["a"], r["b"]) for r in ngram_join.sharing_leads(rows, pairs, classes, 5, 80).collect()}
+    for i in range(12):
+        for j in range(i + 1, 12):
+            x, y = sets[i], sets[j]
+            if ngram_join.similar(len(np.intersect1d(x, y)), len(x), len(y), 80):
+                assert (ids[i], ids[j]) in kept
+    assert 4 <= len(kept) < 40
+    links = {(r["a"], r["b"]) for r in ngram_join.verified(rows, ngram_join.durable(pairs), classes, 5, 80).collect()}
+    assert links == {(ids[k], ids[k + 4]) for k in range(4)}
+
+
+def test_counters_beyond_a_byte(spark):
+    """A shingle in more than 255 sets of one task is counted on."""
+    rows = spark.createDataFrame([(k, f"one two three four five {k}") for k in range(700)], "doc_id long, text string").coalesce(1)
+    profiled = ngram_join.durable(ngram_join.profile(rows, 5))
+    classes = ngram_join.token_classes(profiled, 1400)
+    # Twice the mean load is 2; 700 = 2 x 350 lies in the ninth class.
+    assert classes.max() == 8
