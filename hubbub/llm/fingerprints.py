@@ -175,16 +175,18 @@ def classes(prints, radius=RADIUS):
     whole = lambda chosen, half: sum(blocks[k][half] for k in chosen)
     marked = len(blocks) < 63  # a table's number is then its blocks as bits of a long
     tables = F.array(*[
-        F.struct(F.lit(sum(1 << k for k in chosen) if marked else at).cast("long").alias("block"), F.xxhash64(F.lit(at), F.col("h").bitwiseAND(F.lit(whole(chosen, 0))), F.col("l").bitwiseAND(F.lit(whole(chosen, 1)))).alias("front"))
+        F.struct(F.lit(sum(1 << k for k in chosen) if marked else at).cast("long").alias("block"), F.hash(F.lit(at), F.col("h").bitwiseAND(F.lit(whole(chosen, 0))), F.col("l").bitwiseAND(F.lit(whole(chosen, 1)))).alias("front"))
         for at, chosen in enumerate(itertools.combinations(range(len(blocks)), together))
     ])
+    # Fronts are 32-bit hashes: two under one hash only meet in vain. Both sides of the join have the same columns, so they
+    # are one shuffle.
     places = values.select("h", "l", F.explode(tables).alias("t")).select("h", "l", "t.block", "t.front")
     large = durable(places.groupBy("front").agg(F.count("*").alias("many")).where(F.col("many") > SMALL).select("front"))
     side = lambda rows, p: rows.select("front", *[F.col(c).alias(p + c) for c in rows.columns if c != "front"])
     near = distance("ah", "al", "bh", "bl") <= radius
 
     few = places.join(large, "front", "left_anti")
-    met = side(few, "a").join(side(few.drop("block"), "b"), "front").where("ah < bh or ah = bh and al < bl").where(near)
+    met = side(few, "a").join(side(few, "b"), "front").where("ah < bh or ah = bh and al < bl").where(near)
     if marked:
         differs = lambda k: F.col("ah").bitwiseXOR(F.col("bh")).bitwiseAND(F.lit(blocks[k][0])).bitwiseOR(F.col("al").bitwiseXOR(F.col("bl")).bitwiseAND(F.lit(blocks[k][1])))
         equal = functools.reduce(lambda x, y: x + y, [F.when(differs(k) == 0, F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")) for k in range(len(blocks))])
@@ -193,9 +195,9 @@ def classes(prints, radius=RADIUS):
         rest = F.aggregate(F.array(*[F.lit(k) for k in range(together)]), equal, lambda left, _: left.bitwiseAND(left - 1))
         met = met.where(F.col("ablock") == equal.bitwiseXOR(rest))
     named = lambda rows: rows.select(F.struct(F.col("ah").alias("h"), F.col("al").alias("l")).alias("a"), F.struct(F.col("bh").alias("h"), F.col("bl").alias("l")).alias("b"))
-    links = named(met)
+    links = durable(named(met))
     if not large.isEmpty():
-        links = durable(links.union(named(in_large_meetings(places, large, side, near, links, named))))
+        links = links.union(named(in_large_meetings(places, large, side, near, links, named)))
     found = components(links)
     return found.select(text_of("id.h", "id.l").alias("fingerprint"), text_of("label.h", "label.l").alias("class"))
 
