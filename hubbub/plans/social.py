@@ -121,12 +121,25 @@ def _before(text, mark):
     return F.split_part(text, F.lit(mark), F.lit(1))
 
 
+def linked_objects(blocks):
+    """JSON-LD blocks as single objects, in order: lists give their elements, an object is followed by those of its graph."""
+    def objects(block):
+        parsed = F.try_parse_json(block)
+        listed = F.try_variant_get(parsed, "$", "array<variant>")
+        graph = F.coalesce(F.try_variant_get(parsed, "$['@graph']", "array<variant>"), F.array().cast("array<variant>"))
+        return F.when(listed.isNotNull(), F.transform(listed, lambda o: F.to_json(o))).otherwise(F.concat(F.array(block), F.transform(graph, lambda o: F.to_json(o))))
+
+    # Few blocks are lists or graphs: only these are parsed as such.
+    wrapped = lambda b: F.ltrim(b).startswith("[") | b.contains('"@graph"')
+    return F.flatten(F.transform(blocks, lambda b: F.when(wrapped(b), objects(b)).otherwise(F.array(b))))
+
+
 def threads_articles(pages):
-    """Pages with JSON-LD: the first block that is an article, otherwise Open Graph tags."""
+    """Pages with JSON-LD: the first object that is an article, otherwise Open Graph tags."""
     found = extract_pages(landed(pages), read_head, HEAD_FIELDS)
     keep = [c for c in pages.columns if c not in ("url", "html")]
     # An article block is a JSON object with one of the two keys; unreadable blocks have no keys.
-    block = first_match(F.col("ld_blocks"), lambda b: F.coalesce(
+    block = first_match(linked_objects(F.col("ld_blocks")), lambda b: F.coalesce(
         F.arrays_overlap(F.json_object_keys(b), F.array(F.lit("articleBody"), F.lit("headline"))), F.lit(False)))
     df = found.withColumn("_ld", F.from_json(block, _LD)).withColumn("_has_ld", block.isNotNull())
     ld, has_ld = F.col("_ld"), F.col("_has_ld")

@@ -204,3 +204,10 @@ def test_filters_on_other_columns_pass_the_reader(spark, tmp_path):
     found = extract_pages(spark.read.parquet(str(tmp_path / "p")), read_article, ARTICLE_FIELDS).where("id = 3").select("id", "body")
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(id,3)" in plan and "kind" not in plan and [r["id"] for r in found.collect()] == [3]
+
+
+def test_linked_objects(spark):
+    blocks = ['[{"a": 1}, {"headline": "h"}]', '{"@graph": [{"headline": "g"}], "q": 2}', '{"headline": "p"}', " not json [", '[1, "x", null]', '{"@graph": 3}', '["a"', "[]"]
+    rows = spark.createDataFrame([(blocks,), ([],), (None,)], "b array<string>").select(social.linked_objects(F.col("b")).alias("o")).collect()
+    assert rows[0]["o"] == ['{"a":1}', '{"headline":"h"}', blocks[1], '{"headline":"g"}', blocks[2], blocks[3], "1", '"x"', "null", blocks[5], blocks[6]]
+    assert rows[1]["o"] == [] and rows[2]["o"] is None

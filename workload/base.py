@@ -23,14 +23,15 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(spark, sf_dir, name, key):
-    """A table of long texts, spread over all cores when its files give fewer splits than that.
+def texts(spark, sf_dir, name, key=None):
+    """A table of long texts, dealt to all cores when its files give fewer splits than that.
 
-    Large inputs have many splits and are read as they are, without a shuffle.
+    Large inputs have many splits and are read as they are, without a shuffle. Rows are dealt in turn, so no
+    key's rows meet in one task.
     """
     rows = table(spark, sf_dir, name)
     cores = spark.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
 
 
 # --- SQL pieces ---------------------------------------------------------------------------

@@ -63,6 +63,25 @@ def threads_articles(spark, sf_dir):
         "article_url", "article_title", "article_author", "publish_time", "content_raw", "reaction_count", "comment_count")
 
 
+@query(f"""select 'https://www.threads.net/p/' || doc_id as article_url, case when lang = 'es' then 'Threads Post by Unknown' else 'T' || doc_id end as article_title,
+  case when lang = 'es' then 'Unknown' else source end as article_author, case when lang = 'es' then '' else text end as content_raw,
+  case when lang = 'es' then 0 else n_chars end as reaction_count from documents""")
+def linked_data_shapes(spark, sf_dir):
+    """The article is one of a list (English), part of a graph (German) or an object of its own (French)."""
+    docs = texts(spark, sf_dir, "documents", "doc_id")
+    stats = F.array(F.struct(F.lit("https://schema.org/LikeAction").alias("interactionType"), F.col("n_chars").alias("userInteractionCount")))
+    person = F.struct(F.col("source").alias("name"))
+    article = lambda author: F.to_json(F.struct(F.concat(F.lit("T"), "doc_id").alias("headline"), F.col("text").alias("articleBody"), author.alias("author"), stats.alias("interactionStatistic")))
+    block = (
+        F.when(F.col("lang") == "en", F.concat(F.lit('[{"@type": "WebSite"}, 7, '), article(F.array(person)), F.lit("]")))
+        .when(F.col("lang") == "de", F.concat(F.lit('{"@context": "x", "@graph": [{"@type": "Person"}, '), article(person), F.lit("]}")))
+        .when(F.col("lang") == "fr", article(person)).otherwise("[]"))
+    script = '<script type="application/ld+json">'
+    html = F.concat(F.lit("<html><head>" + script + "[broken</script>" + script), block, F.lit("</script></head></html>"))
+    pages = docs.select("doc_id", F.concat(F.lit("https://www.threads.com/p/"), F.col("doc_id")).alias("url"), html.alias("html"))
+    return social.threads_articles(pages).select("article_url", "article_title", "article_author", "content_raw", "reaction_count")
+
+
 def instagram_pages(spark, sf_dir):
     """Spanish pages are login walls, German ones have a plain description."""
     docs = texts(spark, sf_dir, "documents", "doc_id")
