@@ -54,20 +54,21 @@ def keyword_hits(articles, comments, keywords, start, end, literal=False):
 
 
 def _aggregated(df, keys, names):
-    """Aggregates of ``comment_count`` per group; ``names`` maps output columns to aggregates.
+    """Aggregates of ``comment_count`` per group; ``names`` maps output columns to aggregates: names of built-in ones, or
+    functions of a column that give an aggregate.
 
-    All built-in ones share one pass over the data.
+    All but the median share one pass over the data.
     """
-    built_in = [AGGREGATES[how]("comment_count").alias(name) for name, how in names.items() if how != "median"]
+    built_in = [(how if callable(how) else AGGREGATES[how])(F.col("comment_count")).alias(name) for name, how in names.items() if how != "median"]
     medians = [grouped_median(df, keys, "comment_count", name) for name, how in names.items() if how == "median"]
     parts = ([df.groupBy(*keys).agg(*built_in)] if built_in else []) + medians
     return reduce(lambda a, b: a.join(b, keys, "left"), parts).select(*keys, *names)
 
 
 def volume_by_day(df, how="sum"):
-    """Volume by day of month; a list of aggregates gives one column each, named after them."""
+    """Volume by day of month; a list of aggregates gives one column each, named after them, a map one for each entry."""
     days = df.withColumn("day", F.dayofmonth("publish_time"))
-    names = {"comment_count": how} if isinstance(how, str) else {h: h for h in how}
+    names = {"comment_count": how} if isinstance(how, str) or callable(how) else how if isinstance(how, dict) else {h: h for h in how}
     return _aggregated(days, ["day"], names).orderBy("day")
 
 

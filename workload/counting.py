@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from hubbub.functions.text import is_term, sentences
 from hubbub.operators import counts, entities, filters, segment, units
 from hubbub.operators.ranking import first_match
+from hubbub.sources.lexicon import weighted_dictionary
 from workload.base import (
     SQL_LEXICON, SQL_STOP, STOP, benchmark_lexicon, query, sql_is_term, sql_segments, sql_sentences, sql_tokens, table,
     talk_units, texts,
@@ -212,6 +213,24 @@ def estimated_weights(spark, sf_dir):
     return segment.estimated(docs, benchmark_lexicon(spark, sf_dir)).select("word", "tag", "weight")
 
 
+# Words with weights and tags as a caller writes them: what is empty or no number falls out.
+WEIGHTS = {"the": 8, "er": 2.5, "ing": 3, "th": 1, "re": 4, "": 9, "and": "many", "of": True, "on": None}
+TAGS = {"the": "P", "ing": "VA", "re": "Na"}
+WEIGHED = ("the", "er", "ing", "th", "re")
+_KEPT = ", ".join(f"('{w}', {float(WEIGHTS[w])}::double, {repr(TAGS[w]) if w in TAGS else 'null'})" for w in WEIGHED)
+
+
+@query(f"""with recursive lexicon as (select * from (values {_KEPT}) as t(word, weight, tag)), {sql_segments('conversations')},
+said as (select unnest(regexp_extract_all(text, '[一-鿕a-zA-Z0-9+#&._%-]+')) as block from conversations)
+select word, tag, count(*) as n from said join cut using (block) where length(word) > 1 group by 1, 2""")
+def weighted_words(spark, sf_dir):
+    """How often each word of a dictionary given as a map is cut out."""
+    talks = talk_units(spark, sf_dir)
+    cut = segment.segment(talks, weighted_dictionary(spark, WEIGHTS, TAGS), ["conv_id"])
+    rows = cut.select(F.explode("tagged").alias("t")).select("t.word", F.col("t.pos").alias("tag")).where(F.col("word").isin(*WEIGHED))
+    return rows.groupBy("word", "tag").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(SQL_SEGMENTED)
 def segmented_terms_by_join(spark, sf_dir):
     """The same by join, the way of dictionaries too large to send."""

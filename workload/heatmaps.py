@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from hubbub.functions.times import in_range, time_range
-from hubbub.operators import volume
+from hubbub.operators import rollup, volume
 from workload.base import END, KEYWORDS, SQL_THREADS, START, query, table, thread_parts
 
 _PATTERN = "|".join(KEYWORDS)
@@ -77,6 +77,38 @@ def volume_aggs(spark, sf_dir):
     return daily.select(F.col("day").cast("bigint").alias("day"), "len", *[F.round(c, n).alias(c) for c, n in digits.items()])
 
 
+@query("""select day(ts)::bigint as day, round(sum(value * value), 2) as squares, count(*) filter (where value > 50) as large, round(median(value), 4) as middle
+from events group by 1""")
+def volume_by_caller(spark, sf_dir):
+    """Aggregates that the caller brings, next to a built-in one."""
+    values = table(spark, sf_dir, "events").select(F.col("ts").alias("publish_time"), F.col("value").alias("comment_count"))
+    daily = volume.volume_by_day(values, {"squares": lambda c: F.sum(c * c), "large": lambda c: F.count_if(c > 50), "middle": "median"})
+    return daily.select(F.col("day").cast("bigint").alias("day"), F.round("squares", 2).alias("squares"), "large", F.round("middle", 4).alias("middle"))
+
+
+@query("""with m as (select date_trunc('month', o_orderdate)::timestamp as month, * from orders)
+select month, count(*) as n, count(distinct o_custkey) as customers, true as distinct_close, true as middle_close from m group by 1""")
+def rolled_up_months(spark, sf_dir):
+    """Months merged from hour cells, held against the rows: different customers within 6 %, the median's rank within 2 %."""
+    orders = table(spark, sf_dir, "orders").select("o_orderdate", "o_totalprice", "o_custkey")
+    cells = rollup.rolled_up(rollup.hour_cells(orders, "o_orderdate", "o_totalprice", "o_custkey"), "day")
+    months = rollup.estimates(rollup.rolled_up(cells, "month")).select(F.col("cell").cast("timestamp_ntz").alias("month"), "n", "distinct", "q50")
+    rows = orders.withColumn("month", F.date_trunc("month", "o_orderdate").cast("timestamp_ntz")).join(F.broadcast(months), "month")
+    exact = rows.groupBy("month").agg(
+        F.max("n").alias("n"), F.count_distinct("o_custkey").alias("customers"), F.max("distinct").alias("distinct"),
+        F.avg((F.col("o_totalprice") < F.col("q50")).cast("double")).alias("below"), F.avg((F.col("o_totalprice") <= F.col("q50")).cast("double")).alias("upto"))
+    close = F.abs(F.col("distinct") - F.col("customers")) <= 0.06 * F.col("customers") + 1
+    return exact.select("month", "n", "customers", close.alias("distinct_close"), ((F.col("below") <= 0.52) & (F.col("upto") >= 0.48)).alias("middle_close"))
+
+
+@query("select ts::date as date, hour(ts)::bigint as hour, 0::bigint as n from events where false")
+def no_hits(spark, sf_dir):
+    """Keywords that nobody said: a typed table without rows."""
+    articles, comments = thread_parts(spark, sf_dir)
+    cells = volume.volume_cells(volume.keyword_hits(articles, comments, ["nobody said this"], *time_range(START, END)))
+    return cells.select("date", F.col("hour").cast("bigint").alias("hour"), F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
+
+
 @query(f"""with {SQL_THREADS} select ts as publish_time, 1::bigint as comment_count from articles
 where ts {_BETWEEN} and regexp_matches(event_type, '{_PATTERN}')""")
 def article_hits(spark, sf_dir):
