@@ -1,5 +1,7 @@
 """Forum boards: index pages to entries and tasks, article pages to articles and comments."""
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from hubbub.functions.text import strip_ws
@@ -8,7 +10,7 @@ from hubbub.functions.urls import absolute_url
 from hubbub.operators.audit import NO_AUTHOR, NO_TITLE
 from hubbub.operators.joins import fits_broadcast
 from hubbub.sources.html import extract_pages, landed
-from hubbub.sources.readers import ARTICLE_FIELDS, INDEX_FIELDS, read_article, read_index
+from hubbub.sources.readers import ARTICLE_FIELDS, INDEX_FIELDS, PREVIOUS_FIELDS, read_article, read_index, read_previous
 
 # Header names, the paging label and the source name of this forum.
 TITLE_TAG, AUTHOR_TAG, PREVIOUS_LABEL, SOURCE = "標題", "作者", "上頁", "PTT"
@@ -24,10 +26,15 @@ def index_entries(pages, base):
     )
 
 
-def previous_pages(pages, base):
-    """The 'previous page' address of each index page, NULL where there is none."""
-    found = extract_pages(pages, read_index, INDEX_FIELDS)
-    link = F.when(F.col("prev_text").contains(PREVIOUS_LABEL), absolute_url(base, "prev_href"))
+def previous_pages(pages, base, anywhere=False):
+    """The 'previous page' address of each index page, NULL where there is none.
+
+    It is the second paging button if that says so; with ``anywhere`` the first link of the page that does, case ignored."""
+    if anywhere:
+        found = extract_pages(pages, partial(read_previous, label=PREVIOUS_LABEL), PREVIOUS_FIELDS)
+    else:
+        found = extract_pages(pages, read_index, INDEX_FIELDS)
+    link = F.when(F.col("prev_text").isNotNull() if anywhere else F.col("prev_text").contains(PREVIOUS_LABEL), absolute_url(base, "prev_href"))
     return found.select(*[c for c in pages.columns if c != "html"], link.alias("prev_url"))
 
 

@@ -34,6 +34,20 @@ def read_index(root):
     }
 
 
+PREVIOUS_FIELDS = "prev_text string, prev_href string"
+
+
+def read_previous(root, label):
+    """The first link on the page whose whole content is one text that holds ``label``, case ignored."""
+    for link in root.find_all("a"):
+        only = link
+        while not isinstance(only, str) and len(only.children) == 1:
+            only = only.children[0]
+        if isinstance(only, str) and label.lower() in only.lower():
+            return {"prev_text": only, "prev_href": link.get("href")}
+    return {"prev_text": None, "prev_href": None}
+
+
 ARTICLE_FIELDS = (
     "has_container boolean, board_text string, header map<string,string>, "
     "pushes array<struct<tag:string,author:string,content:string,stamp:string>>, body string"

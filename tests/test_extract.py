@@ -211,3 +211,14 @@ def test_linked_objects(spark):
     rows = spark.createDataFrame([(blocks,), ([],), (None,)], "b array<string>").select(social.linked_objects(F.col("b")).alias("o")).collect()
     assert rows[0]["o"] == ['{"a":1}', '{"headline":"h"}', blocks[1], '{"headline":"g"}', blocks[2], blocks[3], "1", '"x"', "null", blocks[5], blocks[6]]
     assert rows[1]["o"] == [] and rows[2]["o"] is None
+
+
+def test_previous_link_anywhere():
+    from hubbub.sources.readers import read_previous
+
+    def found(html, label="上頁"):
+        return tuple(read_previous(parse_page(html), label).values())
+
+    assert found('<a href="/a">x</a><a href="/b"><b>‹ 上頁</b></a><a href="/c">上頁</a>') == ("‹ 上頁", "/b")
+    assert found('<a href="/c">上頁 <i>y</i></a>') == found("") == found('<a href="/d"></a>') == (None, None)
+    assert found("<a>PREVious</a>", "prev") == ("PREVious", None)

@@ -175,3 +175,13 @@ def forum_index(spark, sf_dir):
   case when doc_id // {PER_PAGE} > 0 then '{BASE}/bbs/x/index' || (doc_id // {PER_PAGE} - 1) || '.html' end as prev_url from documents""")
 def forum_previous_pages(spark, sf_dir):
     return forum.previous_pages(index_pages(spark, sf_dir), BASE)
+
+
+@query(f"""select doc_id, case lang when 'en' then '{BASE}/p/' || doc_id when 'fr' then '{BASE}/bold/' || doc_id end as prev_url from documents""")
+def forum_previous_anywhere(spark, sf_dir):
+    """The older form: any link of the page that says so. French links wrap the text, German ones hold more than a text."""
+    docs = texts(spark, sf_dir, "documents", "doc_id")
+    link = lambda place, inside: F.concat(F.lit(f'<p><a href="/{place}/'), F.col("doc_id"), F.lit(f'">{inside}</a></p>'))
+    chosen = F.when(F.col("lang") == "en", link("p", "‹ 上頁 x")).when(F.col("lang") == "fr", link("bold", "<b><i>上頁</i></b>")).when(F.col("lang") == "de", link("mixed", "<b>上頁</b> more")).otherwise("")
+    html = F.concat(F.lit('<a href="/first">other</a>'), chosen, link("late", "none"))
+    return forum.previous_pages(docs.select("doc_id", html.alias("html")), BASE, anywhere=True)
