@@ -42,3 +42,30 @@ def test_stages_against_plain_versions(spark, tmp_path):
     assert len({r["sequence_id"] for r in seen[3]}) == len(packing.best_fit_decreasing([p[2] for p in pieces], 2048))
     final = corpus_pipeline.run(spark, SF).collect()
     assert sorted((r["doc_id"], r["piece"], r["length"]) for r in final) == sorted((r["doc_id"], r["piece"], r["length"]) for r in seen[3])
+
+
+def test_dirty_rows(spark, frame, dirty, tmp_path):
+    """Nulls, empty and very long texts, repeated rows, rows without id and clashing column names go through every stage."""
+    frame([*dirty, *dirty]).write.parquet(f"{tmp_path}/documents.parquet")
+    # All texts count as good, so that the later stages see them; labels hold nulls and repeats.
+    labels = [(i, 1, 0) for i, _ in dirty if i is not None] * 2 + [(None, 1, 1), (3, None, None)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    final = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    worded = {" ".join((t or "").lower().split()) for _, t in dirty} - {""}
+    kept = {(r["doc_id"], r["start"]) for r in final}
+    assert len(kept) >= len({i for i, t in dirty if i is not None and (t or "").split()}) - 3 and len(worded) > 5
+    # Of the rows with one id and text only one was packed.
+    named = [(r["doc_id"], r["start"]) for r in final if r["doc_id"] is not None]
+    assert len(named) == len(set(named))
+    place = {}
+    for r in final:
+        place.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for own in place.values():
+        own.sort()
+        assert own[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(own, own[1:])) and sum(n for _, n in own) <= 2048
+
+
+def test_empty_tables(spark, frame, tmp_path):
+    frame([]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

@@ -61,3 +61,36 @@ def test_held_out_accuracy_on_the_given_tables(spark):
     got = quality.classify(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
     held = got.where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
     assert sum(r["predicted"] == r["quality"] for r in held) >= 0.95 * len(held) > 30
+
+
+def test_keep_good_of_dirty_rows(spark, frame, corpus, dirty):
+    """Every row is decided by its text alone: repeated rows, null texts and rows without id are kept or dropped alike."""
+    rows = [(i, t) for i, t, _ in corpus] + [(i + 1000 if i is not None else None, t) for i, t in [*dirty, *dirty]]
+    labels = spark.createDataFrame([(i, q, "x") for i, _, q in corpus], "doc_id long, quality int, text string")
+    docs = frame(rows)
+    kept = quality.keep_good(docs, labels)
+    assert kept.columns == docs.columns
+    score = {}
+    for r in quality.classify(docs, labels).join(docs.select("doc_id", "text").distinct(), "doc_id").collect():
+        score[r["text"]] = r["predicted"]
+    none = [t for _, t in dirty if t not in score]  # only rows without id have these
+    want = sorted(str((i, t)) for i, t in rows if t not in none and score[t])
+    assert sorted(str((r["doc_id"], r["text"])) for r in kept.collect() if r["text"] not in none) == want
+    assert quality.keep_good(frame([]), labels).collect() == [] and len(want) > 200
+
+
+def test_features_approach_the_kernel(spark):
+    """Ridge regression on the features scores as kernel ridge regression with the Gaussian kernel itself does."""
+    random_ = np.random.default_rng(4)
+    stats = random_.normal(size=(160, quality.STATISTICS))
+    label = (np.sin(stats[:, 0]) + stats[:, 1] > 0).astype(float)
+    model = quality.Model(mean=np.zeros(quality.STATISTICS), scale=np.ones(quality.STATISTICS), features=8192)
+    scale = model.width / np.sqrt(quality.STATISTICS) * 2  # of the frequencies
+    far = ((stats[:, None] - stats[None]) ** 2).sum(axis=2)
+    kernel = np.exp(-far * scale * scale / 2)
+    waves = model.expand(stats)[:, 1:]
+    assert np.abs(waves @ waves.T - kernel).max() < 0.08
+    ridge, train, test = 0.1, slice(0, 120), slice(120, 160)
+    plain = kernel[test, train] @ np.linalg.solve(kernel[train, train] + ridge * np.eye(120), label[train])
+    weights = np.linalg.solve(waves[train].T @ waves[train] + ridge * np.eye(8192), waves[train].T @ label[train])
+    assert np.abs(waves[test] @ weights - plain).max() < 0.1
