@@ -2,6 +2,7 @@
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from hubbub.schemas import ARTICLE_JSON
 from hubbub.sources.articles import GLOBS
@@ -98,3 +99,32 @@ def rolling_top(counts, n):
     """Top n words per window from the newest counts."""
     order = Window.partitionBy("window_start").orderBy(F.col("n").desc(), F.col("word"))
     return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+
+
+class LateRows(StreamingQueryListener):
+    """Turns rows that watermarks dropped into audit rows: one for each batch that lost any.
+
+    Register it with ``spark.streams.addListener`` before a query starts. A windowed count drops what a task has
+    already added up, so it reports groups of rows; deduplication reports single rows."""
+
+    def __init__(self):
+        self.found = []
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        done = event.progress
+        dropped = sum(state.numRowsDroppedByWatermark for state in done.stateOperators)
+        if dropped:
+            self.found.append((str(done.id), done.name, done.batchId, dropped))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+    def audit_rows(self, spark):
+        """(query_id, name, batch, dropped) of what was lost so far."""
+        return spark.createDataFrame(self.found, "query_id string, name string, batch long, dropped long")

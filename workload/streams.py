@@ -65,3 +65,24 @@ def stream_ingest(spark, sf_dir):
     stored = spark.read.parquet(f"{work}/out")
     return stored.groupBy("article_category").agg(
         F.count(F.lit(1)).alias("articles"), F.sum(F.size("comments")).cast("bigint").alias("comments"))
+
+
+@query("""with e as (select *, max(ts) over () - interval 3 hour as edge from events)
+select 'second' as run, count(*) as dropped from e where ts < edge""")
+def stream_late_rows(spark, sf_dir):
+    """Events that come in a second run, more than the delay behind the first one's last: each is reported as dropped."""
+    work = _work(spark, "late")
+    events = table(spark, sf_dir, "events")
+    edge = F.lit(events.agg(F.max("ts")).first()[0]) - F.expr("interval 3 hours")
+    late = jobs.LateRows()
+    spark.streams.addListener(late)
+    try:
+        for run, part in (("first", F.col("ts") >= edge), ("second", F.col("ts") < edge)):
+            events.where(part).write.mode("append").parquet(f"{work}/in")
+            seen = jobs.first_seen(spark.readStream.schema(events.schema).parquet(f"{work}/in"), "event_id", "ts", "2 hours")
+            sink = seen.writeStream.queryName(run).format("parquet").option("path", f"{work}/out").option("checkpointLocation", f"{work}/state")
+            sink.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+        spark._jsparkSession.sparkContext().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(late)
+    return late.audit_rows(spark).groupBy(F.col("name").alias("run")).agg(F.sum("dropped").alias("dropped"))
