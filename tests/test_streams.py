@@ -85,7 +85,7 @@ def test_late_rows_are_reported(spark, tmp_path):
     spark.streams.addListener(late)
     try:
         for hours in ([20, 21], [1, 2, 20]):
-            rows = [(h, datetime.datetime(2024, 1, 1, h)) for h in hours]
+            rows = [(h, dt.datetime(2024, 1, 1, h)) for h in hours]
             spark.createDataFrame(rows, "id long, ts timestamp_ntz").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
             seen = jobs.first_seen(spark.readStream.schema("id long, ts timestamp_ntz").parquet(str(tmp_path / "in")), "id", "ts", "2 hours")
             jobs.append_to(seen, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
