@@ -18,6 +18,7 @@ others cannot clash.
 
 import functools
 import itertools
+import json
 import math
 
 from pyspark.sql import Window
@@ -97,10 +98,11 @@ def blocked(rows):
     parts = max(1, min(STEPS, n // steps // BLOCK_ROWS))
     if parts == 1:
         return rows.withColumn("block", F.when(F.col("doc_id").isNull(), -1).otherwise(F.col("step")).cast("long")).drop("step")
-    inner = rows.where("doc_id is not null").groupBy("step").agg(quantiles(parts))
-    rows = rows.join(F.broadcast(inner), "step", "left")
-    block = F.col("step") * parts + F.least(below("cuts"), F.lit(parts - 1))
-    return rows.withColumn("block", F.when(F.col("doc_id").isNull(), -1).otherwise(block).cast("long")).drop("step", "cuts")
+    inner = {r["step"]: r["cuts"] for r in rows.where("doc_id is not null").groupBy("step").agg(quantiles(parts)).collect()}  # at most STEPS rows
+    # One constant, so that every use of these rows has the same plan and their texts are shuffled once.
+    cuts = F.get(F.from_json(F.lit(json.dumps([inner.get(k, []) for k in range(steps)])), "array<array<bigint>>"), F.col("step"))
+    block = F.col("step") * parts + F.least(below(cuts), F.lit(parts - 1))
+    return rows.withColumn("block", F.when(F.col("doc_id").isNull(), -1).otherwise(block).cast("long")).drop("step")
 
 
 def next_blocks(firsts):
