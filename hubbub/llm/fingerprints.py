@@ -188,7 +188,7 @@ def classes(prints, radius=RADIUS):
     near = distance("ah", "al", "bh", "bl") <= radius
 
     few = places.join(large, "front", "left_anti")
-    met = side(few, "a").join(side(few, "b"), "front").where("ah < bh or ah = bh and al < bl").where(near)
+    met = side(few, "a").join(side(few, "b"), "front").where("ablock = bblock").where("ah < bh or ah = bh and al < bl").where(near)
     if marked:
         differs = lambda k: F.col("ah").bitwiseXOR(F.col("bh")).bitwiseAND(F.lit(blocks[k][0])).bitwiseOR(F.col("al").bitwiseXOR(F.col("bl")).bitwiseAND(F.lit(blocks[k][1])))
         equal = functools.reduce(lambda x, y: x + y, [F.when(differs(k) == 0, F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")) for k in range(len(blocks))])
