@@ -40,20 +40,24 @@ class Dictionary:
         self.forget()
 
     def forget(self):
+        """Numbers given before mean nothing afterwards."""
         self.numbers, self.words, self.cuts = {}, [], {}
 
+    def full(self):
+        return len(self.cuts) + len(self.words) > _REMEMBERED
+
     def cut(self, sentence):
         """Words of a sentence: dictionary words on the most probable path.
 
         Characters in no dictionary word stay single, but Latin and digit runs are kept whole;
         characters that cannot be part of a word stand alone.
         """
+        if self.full():
+            self.forget()
         return [self.words[n] for n in chain.from_iterable(self.numbered(_TOKEN.findall(sentence)))]
 
     def numbered(self, tokens):
         """The numbers, in ``words``, of the words of each token."""
-        if len(self.cuts) + len(self.words) > _REMEMBERED:
-            self.forget()
         new = [t for t in set(tokens) if t not in self.cuts]
         long = {}
         for token, words in zip(new, self.cut_blocks(new)):
@@ -123,7 +127,18 @@ class Dictionary:
 
     def tagged(self, texts, default):
         """Words and tags of each text's sentences, as Arrow lists."""
-        tokens = [self.numbered(_SPOKEN.findall(t)) if t else [] for t in texts]
+        done, tokens = [], []
+        for text in texts:
+            if self.full():
+                # Numbers become words before they are forgotten.
+                done.append(self.lists(tokens, default))
+                tokens = []
+                self.forget()
+            tokens.append(self.numbered(_SPOKEN.findall(text)) if text else [])
+        return pa.concat_arrays([*done, self.lists(tokens, default)])
+
+    def lists(self, tokens, default):
+        """The numbered tokens of each text as Arrow lists of words and tags."""
         flat = np.fromiter(chain.from_iterable(chain.from_iterable(tokens)), np.int64)
         offsets = np.cumsum([0, *(sum(map(len, own)) for own in tokens)])
         used, place = np.unique(flat, return_inverse=True)

@@ -111,3 +111,15 @@ def test_token_rows_keep_order(spark, texts):
     rows = units.token_rows(cut, segment.words()).where("article_url = 'a'").orderBy("pos").collect()
     assert [r.word for r in rows] == list("台北市政府加密貨幣") + ["XD"]
     assert cut.select(F.size("tagged")).where("article_url = 'a' and unit_ix = 1").first()[0] == 0
+
+
+def test_more_blocks_than_are_remembered(monkeypatch):
+    """Texts of one batch with more different blocks than the table holds keep their own words."""
+    rows, texts = [("ab", 9.0, "N"), ("cd", 9.0, "V")], [f"abcd w{i} ab, {i}cd" for i in range(60)] + ["", None, "abcd w1"]
+    want = segment.Dictionary(rows).tagged(texts, "x").to_pylist()
+    for remembered in (0, 1, 7, 50):
+        monkeypatch.setattr(segment, "_REMEMBERED", remembered)
+        known = segment.Dictionary(rows)
+        assert known.tagged(texts, "x").to_pylist() == want
+        assert len(known.cuts) + len(known.words) <= remembered + 10
+        assert [known.cut(t) for t in texts if t] == [segment.Dictionary(rows).cut(t) for t in texts if t]
