@@ -10,13 +10,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from hubbub.operators.joins import fits_broadcast, lookup_join
-from hubbub.operators.segment import parts_like
+from hubbub.operators.joins import fits_broadcast
+from hubbub.operators.parts import parts_like
 from hubbub.operators.trie import Trie, code_points
 from hubbub.session import durable, kept_in_worker
 
-# Characters of a text that are looked at together when names are joined, with as many more as the longest name has.
-_PIECE = 512
 _SPANS = "struct<start:array<int>,end:array<int>,section:array<string>,name:array<string>>"
 
 
@@ -68,7 +66,7 @@ def entity_spans(units, lexicon, keys=("article_url",), text="text", sections=No
     """(keys, start, end, section, name) of every name in every text unit.
 
     Names measured as small are sent to the workers as rows and become a trie once in each. A larger list never leaves the
-    executors: parts of the texts that begin like a name and are as long as one are joined to it, and what is found in a
+    executors: parts of the texts that may be names by length and hash are joined to it, and what is found in a
     batch of texts is the list for that batch."""
     names = one_per_name(lexicon, sections)
     if small is None:
@@ -84,11 +82,8 @@ def entity_spans(units, lexicon, keys=("article_url",), text="text", sections=No
         found = units.withColumn("_found", found_in(text))
     else:
         numbered = durable(units.withColumn("_row", F.monotonically_increasing_id()))
-        longest = names.agg(F.max(F.char_length("word"))).first()[0] or 1
-        pieces = F.sequence(F.lit(0), F.floor(F.char_length(text) / _PIECE))
-        pieces = F.transform(pieces, lambda k: F.substring(text, (k * _PIECE + 1).cast("int"), F.lit(_PIECE + longest)))
-        parts = parts_like(numbered.select("_row", pieces.alias("_blocks")).where("_blocks is not null"), names, ["_row"])
-        hits = lookup_join(parts, names, ["word"], "inner", small=False).groupBy("_row").agg(F.collect_set(F.struct("word", "section")).alias("_hits"))
+        parts = parts_like(numbered, names, ["_row"], text, alone=True)
+        hits = parts.join(names, "word").groupBy("_row").agg(F.collect_list(F.struct("word", "section")).alias("_hits"))
 
         @F.arrow_udf(_SPANS)
         def found_among(texts: pa.Array, hits: pa.Array) -> pa.Array:
