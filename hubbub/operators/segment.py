@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from hubbub.functions.text import SENTENCE_MARKS, WS_CHARS
-from hubbub.operators.joins import fits_broadcast, lookup_join
+from hubbub.operators.joins import fits_broadcast
+from hubbub.operators.parts import parts_like
 from hubbub.operators.trie import Trie, code_points
 from hubbub.session import durable, kept_in_worker
 
@@ -22,10 +23,9 @@ _HAN = re.compile(r"([一-鿕]+)")
 _RUN = re.compile(r"([a-zA-Z0-9]+(?:\.\d+)?%?)")
 # Blocks of such characters, and every other character alone.
 _TOKEN = re.compile(f"[{_BLOCK_SET}]+|[\\s\\S]")
+_BLOCK = re.compile(f"[{_BLOCK_SET}]+")
 # Blocks and cut words remembered by a worker; longer blocks are cut each time.
 _REMEMBERED, _SHORT = 1 << 18, 64
-# The join way looks words up by their first characters, and those longer than ``_LONG`` apart.
-_HEAD, _LONG = 2, 64
 
 
 class Dictionary:
@@ -170,7 +170,7 @@ def segment(units, lexicon=None, keys=("article_url",), default_tag="x", small=N
     """Add ``tagged``: the (word, pos) pairs of each text unit, sentence by sentence.
 
     A dictionary measured as small is sent to every worker once. A larger one never leaves the
-    executors: parts of the text that begin like a word and are as long as one are joined to it, and the
+    executors: parts of the text that may be words by length and hash are joined to it, and the
     matches of a batch of units feed the same path search. Either way gives the same rows.
     """
     if lexicon is None:
@@ -208,36 +208,12 @@ def _zipped(cut_column):
     return F.arrays_zip(F.col(f"{cut_column}.word").alias("word"), F.col(f"{cut_column}.pos").alias("pos"))
 
 
-def parts_like(rows, words, row_key):
-    """(row key, word): the different parts of the texts in ``_blocks`` that have the first characters of some word and its length.
-
-    A long word only costs parts where a text begins like it."""
-    size = F.char_length("word")
-    blocks = rows.select(*row_key, F.explode("_blocks").alias("_block"))
-    spots = blocks.select(*row_key, "_block", F.explode(F.sequence(F.lit(1), F.char_length("_block"))).alias("_at")).where("_block <> ''")
-    letters = blocks.select(*row_key, F.explode(F.array_distinct(F.split("_block", ""))).alias("word"))
-
-    def starting(of_sizes, chars, reach):
-        """Parts for the words of a range of lengths, told by their first ``chars`` characters."""
-        heads = words.where(of_sizes).groupBy(F.substring("word", 1, chars).alias("_head")).agg(F.collect_set(size).alias("_sizes"))
-        begun = spots.select(*row_key, F.substring("_block", F.col("_at"), F.lit(chars)).alias("_head"), F.substring("_block", F.col("_at"), F.lit(reach)).alias("_rest"))
-        begun = lookup_join(begun, heads, ["_head"], "inner")
-        fitting = F.filter("_sizes", lambda n: n <= F.char_length("_rest"))
-        return begun.select(*row_key, "_rest", F.explode(fitting).alias("_size")).select(*row_key, F.substring("_rest", F.lit(1), F.col("_size")).alias("word"))
-
-    longest = words.agg(F.max(size)).first()[0] or 0
-    found = letters.union(starting(size.between(_HEAD, _LONG), _HEAD, min(longest, _LONG)))
-    if longest > _LONG:
-        found = found.union(starting(size > _LONG, _LONG, longest))
-    return found.distinct()
-
-
 def by_join(units, lexicon, row_key, default_tag):
     """As ``segment``, for a stored table of units whose ``row_key`` tells every row from every other."""
     log_total = log(lexicon.agg(F.sum("weight")).first()[0] or 1.0)
-    blocks = F.array_distinct(F.regexp_extract_all("text", F.lit(f"[{_BLOCK_SET}]+"), F.lit(0)))
-    found = lookup_join(parts_like(units.select(*row_key, blocks.alias("_blocks")), lexicon, row_key), lexicon, ["word"], "inner", small=False)
-    matches = found.groupBy(*row_key).agg(F.collect_set(F.struct("word", "weight", "tag")).alias("_found"))
+    # A word stands once among a row's parts, so its rows are no more than the units; adaptive execution splits those of a hot one.
+    found = parts_like(units, lexicon, row_key, blocks=_BLOCK).join(lexicon, "word")
+    matches = found.groupBy(*row_key).agg(F.collect_list(F.struct("word", "weight", "tag")).alias("_found"))
 
     @F.arrow_udf(_CUT)
     def run(texts: pa.Array, found: pa.Array) -> pa.Array:
