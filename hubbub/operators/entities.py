@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from hubbub.operators.joins import fits_broadcast
 from hubbub.operators.parts import parts_like
 from hubbub.operators.trie import Trie, code_points
-from hubbub.session import durable, kept_in_worker
+from hubbub.session import durable, in_slices, kept_in_worker
 
 _SPANS = "struct<start:array<int>,end:array<int>,section:array<string>,name:array<string>>"
 
@@ -77,7 +77,7 @@ def entity_spans(units, lexicon, keys=("article_url",), text="text", sections=No
         @F.arrow_udf(_SPANS)
         def found_in(texts: pa.Array) -> pa.Array:
             known = kept_in_worker(("names", id(shared.value)), lambda: (shared.value, Names(shared.value)))[1]
-            return known.spans([t or "" for t in texts.to_pylist()])
+            return in_slices(texts, lambda part: known.spans([t or "" for t in part.to_pylist()]))
 
         found = units.withColumn("_found", found_in(text))
     else:
@@ -88,7 +88,8 @@ def entity_spans(units, lexicon, keys=("article_url",), text="text", sections=No
         @F.arrow_udf(_SPANS)
         def found_among(texts: pa.Array, hits: pa.Array) -> pa.Array:
             rows = hits.flatten()
-            return Names(list(dict.fromkeys(zip(rows.field(0).to_pylist(), rows.field(1).to_pylist())))).spans([t or "" for t in texts.to_pylist()])
+            known = Names(list(dict.fromkeys(zip(rows.field(0).to_pylist(), rows.field(1).to_pylist()))))
+            return in_slices(texts, lambda part: known.spans([t or "" for t in part.to_pylist()]))
 
         found = numbered.join(hits, "_row", "left").withColumn("_found", found_among(text, "_hits"))
     spans = F.arrays_zip(*[F.col(f"_found.{c}").alias(c) for c in ("start", "end", "section", "name")])

@@ -4,6 +4,11 @@ import sys
 import tempfile
 import types
 
+import pyarrow as pa
+
+# Bytes of an Arrow batch that Python looks at together.
+SLICE_BYTES = 1 << 20
+
 # Runtime settings the jobs are designed for. Partition counts are left to the cluster:
 # adaptive execution coalesces small shuffles and splits skewed join partitions.
 SETTINGS = {
@@ -58,3 +63,10 @@ def kept_in_worker(name, make):
     if getattr(store, kind, (None, None))[0] != key:
         setattr(store, kind, (key, make()))  # one object of a kind, so memory stays bounded
     return getattr(store, kind)[1]
+
+
+def in_slices(column, run):
+    """``run`` over an Arrow column, about ``SLICE_BYTES`` at a time, so that the Python objects held at once do not grow with
+    the batch, which the session sizes by rows."""
+    each = max(1, len(column) * SLICE_BYTES // max(column.nbytes, 1))
+    return pa.concat_arrays([run(column.slice(at, each)) for at in range(0, max(len(column), 1), each)])
