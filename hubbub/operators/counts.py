@@ -1,13 +1,15 @@
 """Word counts, top lists, keyword write-back and pooled frequencies."""
 
 from collections import Counter
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from hubbub.functions.text import sentences
 from hubbub.functions.times import in_range, parse_wall
@@ -16,7 +18,7 @@ from hubbub.operators.joins import fits_broadcast
 from hubbub.operators.ranking import top_per_group
 from hubbub.operators.segment import by_join, collected, known_words, one_per_word
 from hubbub.operators.units import text_units
-from hubbub.session import durable
+from hubbub.session import durable, in_slices
 from hubbub.sources.lexicon import STOP_WORDS
 
 TOP_WORDS = 50
@@ -37,7 +39,7 @@ def top_terms(counts, keys=("article_url",), n=TOP_WORDS):
     return top_per_group(counts, list(keys), order, n)
 
 
-_DONE = "struct<body_top:array<struct<word:string,count:bigint>>,comments_top:array<struct<word:string,count:bigint>>>"
+_DONE = T.StructType.fromDDL("body_top array<struct<word:string,count:bigint>>, comments_top array<struct<word:string,count:bigint>>")
 
 
 def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WORDS, segmented=True, small=None):
@@ -59,17 +61,24 @@ def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WO
 
     @F.arrow_udf("struct<word:array<array<string>>,pos:array<array<string>>>")
     def cut_units(texts: pa.Array) -> pa.Array:
+        return in_slices(texts, cut)
+
+    def cut(texts):
         units = known_words(shared).tagged(texts.flatten().to_pylist(), "x")
         offsets = pa.array(np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(texts), 0))]), pa.int32())
         return pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, units.field(k)) for k in ("word", "pos")], ["word", "pos"])
 
-    @F.pandas_udf(_DONE)
-    def finish(column: pd.Series) -> pd.DataFrame:
-        rows = [list(map(list, units)) for units in column]
-        return pd.DataFrame({
-            "body_top": [_top(units[0], top_n) for units in rows],
-            "comments_top": [_top([w for unit in units[1:] for w in unit], top_n) for units in rows],
-        })
+    kind = to_arrow_type(_DONE)
+
+    def tops(column):
+        return pa.array([
+            {"body_top": _top(units[0], top_n), "comments_top": _top(chain.from_iterable(units[1:]), top_n)}
+            for units in column.to_pylist()
+        ], kind)
+
+    @F.arrow_udf(_DONE)
+    def finish(column: pa.Array) -> pa.Array:
+        return in_slices(column, tops)
 
     no_comments = F.array().cast(articles.schema["comments"].dataType)
     texts = F.concat(
