@@ -39,7 +39,7 @@ def top_terms(counts, keys=("article_url",), n=TOP_WORDS):
     return top_per_group(counts, list(keys), order, n)
 
 
-_DONE = T.StructType.fromDDL("body_top array<struct<word:string,count:bigint>>, comments_top array<struct<word:string,count:bigint>>")
+_DONE = "body_top array<struct<word:string,count:bigint>>, comments_top array<struct<word:string,count:bigint>>"
 
 
 def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WORDS, segmented=True, small=None):
@@ -68,7 +68,8 @@ def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WO
         offsets = pa.array(np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(texts), 0))]), pa.int32())
         return pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, units.field(k)) for k in ("word", "pos")], ["word", "pos"])
 
-    kind = to_arrow_type(_DONE)
+    fields = T.StructType.fromDDL(_DONE)
+    kind = to_arrow_type(fields)
 
     def tops(column):
         return pa.array([
@@ -76,7 +77,7 @@ def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WO
             for units in column.to_pylist()
         ], kind)
 
-    @F.arrow_udf(_DONE)
+    @F.arrow_udf(fields)
     def finish(column: pa.Array) -> pa.Array:
         return in_slices(column, tops)
 
