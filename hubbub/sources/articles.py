@@ -1,5 +1,9 @@
 """Reading and writing article documents."""
 
+import os
+import uuid
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +42,9 @@ def _wholes(spark, path, schema):
 
     The text is read as the only element of a list, so whatever follows the object makes the file malformed
     instead of being left out."""
-    texts = spark.read.option("pathGlobFilter", GLOBS[False]).text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("source_filename"))
+    # As bytes, because the reader of whole texts copies the Hadoop configuration for each file, one task at a time.
+    files = spark.read.format("binaryFile").option("pathGlobFilter", GLOBS[False]).load(path)
+    texts = files.select(F.col("content").cast("string").alias("value"), F.col("_metadata.file_name").alias("source_filename"))
     asked = T.ArrayType(T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())]))
     found = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), asked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     read = texts.withColumn("_found", found)
@@ -107,6 +113,36 @@ def write_articles(articles, path, key="article_url", order="seq", form="parquet
     out.hint("rebalance", F.col("article_category")).write.mode("overwrite").partitionBy("article_category").format(form).save(path)
 
 
+def write_article_files(articles, path):
+    """Write each article as a ``.json`` file of its own and give the folders that hold them.
+
+    On a mounted folder every task fills one folder, and only those of attempts that ended are given, so files of a failed or
+    repeated attempt are never read. Spark's writer, which other file systems get, starts two processes for each file there.
+    """
+    spark, rows = articles.sparkSession, article_json(articles)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toUri()
+    mounted = folder.getPath()
+
+    def write(batches):
+        own, n = uuid.uuid4().hex, 0
+        os.makedirs(f"{mounted}/{own}")
+        for batch in batches:
+            for value in batch.column(0):
+                with open(f"{mounted}/{own}/part-{own}-{n:09d}.json", "wb") as file:
+                    file.write(value.as_py().encode() + b"\n")
+                n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([own])], ["folder"])
+
+    if folder.getScheme() == "file":
+        texts = rows.select(F.to_json(F.struct(*rows.columns)).alias("value"))
+        done = texts.mapInArrow(write, "folder string").collect()  # one short row for each task
+        if done:
+            return [f"{path}/{r.folder}" for r in done]
+    rows.write.option("maxRecordsPerFile", 1).json(path)
+    return [path]
+
+
 def write_by_method(articles, path, form="parquet"):
     """Write enriched articles, one area per segmentation method (column ``method``)."""
     articles.write.mode("overwrite").partitionBy("method").format(form).save(path)

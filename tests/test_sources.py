@@ -98,3 +98,23 @@ def test_many_rows_in_the_json_form(spark, tmp_path):
     assert good.count() == 0 and rejected.count() == 1
     with pytest.raises(Exception, match="not one article object"):
         articles.read_articles(spark, str(tmp_path / "out")).collect()
+
+
+def test_article_files_hold_one_article_each(spark, tmp_path):
+    rows = spark.range(20).select(F.concat(F.lit("u"), "id").alias("article_url"), F.lit("日本\n").alias("content_raw"))
+    folders = articles.write_article_files(rows.repartition(3), str(tmp_path / "out"))
+    read = articles.read_articles(spark, folders)
+    assert sorted((r.article_url, r.content_raw) for r in read.collect()) == sorted((f"u{i}", "日本\n") for i in range(20))
+    assert read.select("source_filename").distinct().count() == 20
+    # What an attempt that failed left behind is not read.
+    write(tmp_path / "out" / "left" / "part.json", ARTICLE)
+    assert articles.read_articles(spark, folders).count() == 20
+    none = articles.write_article_files(rows.limit(0), str(tmp_path / "none"))
+    assert articles.read_articles(spark, none).count() == 0
+
+
+def test_files_are_read_as_bytes(spark, tmp_path):
+    write(tmp_path / "C_a.json", ARTICLE)
+    plan = articles.read_articles(spark, str(tmp_path))._jdf.queryExecution().toString()
+    assert "binaryFile" in plan
+    assert articles.read_articles(spark, str(tmp_path)).count() == 1

@@ -2,6 +2,7 @@
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hubbub.functions.times import time_range
@@ -138,18 +139,17 @@ select 'doc/' || doc_id as article_url, unnest(['file', 'line']) as form, lang a
 def article_files_both_forms(spark, sf_dir):
     """Articles written as one object per file and as lines, both read strictly, with the name of their file."""
     path = f"{shared_dir(spark)}/forms-{uuid.uuid4().hex}"
-    rows = article_files.article_json(nested_documents(spark, sf_dir))
-    rows.write.option("maxRecordsPerFile", 1).json(f"{path}/file")
-    rows.write.json(f"{path}/line")
-    out = []
-    for form in ("file", "line"):
-        read = article_files.read_articles(spark, f"{path}/{form}", lines=form == "line")
-        sizes = read.groupBy(F.col("source_filename").alias("file")).agg(F.count(F.lit(1)).alias("n"))
-        named = read.join(sizes, F.col("source_filename") == F.col("file"))
-        out.append(named.select(
-            "article_url", F.lit(form).alias("form"), "article_category", "content_raw", "comment_count",
-            F.array_join(F.transform("comments", lambda c: c["comment_content"]), "|").alias("said"),
-            F.col("source_filename").endswith(".json").alias("named"), (F.lit(form == "line") | (F.col("n") == 1)).alias("alone")))
+    docs = nested_documents(spark, sf_dir)
+    folders = article_files.write_article_files(docs, f"{path}/file")
+    article_files.article_json(docs).write.json(f"{path}/line")
+    # Files are many and a name is in one of them only, so they are opened once and counted as they meet.
+    files = article_files.read_articles(spark, folders).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("source_filename")))
+    lines = article_files.read_articles(spark, f"{path}/line", lines=True).withColumn("n", F.lit(1))
+    out = [read.select(
+        "article_url", F.lit(form).alias("form"), "article_category", "content_raw", "comment_count",
+        F.array_join(F.transform("comments", lambda c: c["comment_content"]), "|").alias("said"),
+        F.col("source_filename").endswith(".json").alias("named"), (F.col("n") == 1).alias("alone"))
+        for form, read in (("file", files), ("line", lines))]
     return out[0].unionByName(out[1])
 
 
