@@ -67,7 +67,8 @@ def parse_articles(pages, source=SOURCE):
         last_two_tokens(p["stamp"]).alias("raw_time")))
     timed = F.transform(raw, lambda p: F.struct(p.alias("p"), comment_time(p["raw_time"], F.col("_published")).alias("time")))
     comments = F.transform(timed, lambda t: push_comment(t["p"], t["time"]))
-    ok = found.withColumn("status", status).withColumn("comments", comments)
+    # Counted before they become comments, so that a query of the number alone makes none.
+    ok = found.withColumn("status", status).withColumn("_count", F.size(complete).cast("bigint")).withColumn("comments", comments)
     return ok.select(
         *[c for c in pages.columns if c not in ("url", "html", "status_code")],
         F.lit(source).alias("article_source"),
@@ -77,8 +78,8 @@ def parse_articles(pages, source=SOURCE):
         F.when(F.col("_has_header"), F.coalesce(header(AUTHOR_TAG), F.lit(NO_AUTHOR))).otherwise("").alias("article_author"),
         wall_text("_published").alias("publish_time"),
         *date_parts("_published", "date"),
-        F.size("comments").cast("bigint").alias("reaction_count"),
-        F.size("comments").cast("bigint").alias("comment_count"),
+        F.col("_count").alias("reaction_count"),
+        F.col("_count").alias("comment_count"),
         F.col("body").alias("content_raw"),
         F.array().cast("array<string>").alias("content_keywords"),
         F.array().cast("array<struct<word:string,count:bigint>>").alias("content_top_key"),

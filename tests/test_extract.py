@@ -222,3 +222,32 @@ def test_previous_link_anywhere():
     assert found('<a href="/a">x</a><a href="/b"><b>‹ 上頁</b></a><a href="/c">上頁</a>') == ("‹ 上頁", "/b")
     assert found('<a href="/c">上頁 <i>y</i></a>') == found("") == found('<a href="/d"></a>') == (None, None)
     assert found("<a>PREVious</a>", "prev") == ("PREVious", None)
+
+
+def test_conditions_on_read_fields_do_not_read_pages_twice(spark):
+    pages = spark.createDataFrame([(f"https://x/M.{i}.A.html", "<div id='main-content'>x</div>") for i in range(3)], "url string, html string").repartition(2)
+    good, _ = forum.good_and_bad(forum.parse_articles(pages))
+    counted = good.select("article_url", "content_raw", "comment_count")
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("EvalPython") == 1
+    # The number of comments needs none of their times.
+    assert "try_make_timestamp" not in plan and "make_timestamp_ntz" not in plan.replace("1970", "")
+    assert sorted(r["comment_count"] for r in counted.collect()) == [0, 0, 0]
+
+
+def test_usual_tags_are_read_as_the_library_reads_them():
+    from html.parser import HTMLParser
+
+    from hubbub.sources.html import _Builder
+
+    class Library(_Builder):
+        parse_starttag, parse_endtag, updatepos = HTMLParser.parse_starttag, HTMLParser.parse_endtag, HTMLParser.updatepos
+
+    def page(builder, html):
+        builder.feed(html)
+        builder.close()
+        builder.flush()
+        return [(e.tag, e.attrs, [c if isinstance(c, str) else c.at for c in e.children]) for e in builder.page]
+
+    for html in ('<div class="a b"  id="x"><p>1</p >2</DIV>', "<script>if (a <b) </p></script><title>a</b></title>t", '<a href="x&amp;y" b>&lt;</a><br/><a x="<b>">', '<p class="a', "<style><p></style><a x=\"1\" x=\"2\">", "<textarea><p></textarea></p>"):
+        assert page(_Builder(), html) == page(Library(), html)
