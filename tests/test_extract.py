@@ -251,3 +251,6 @@ def test_usual_tags_are_read_as_the_library_reads_them():
 
     for html in ('<div class="a b"  id="x"><p>1</p >2</DIV>', "<script>if (a <b) </p></script><title>a</b></title>t", '<a href="x&amp;y" b>&lt;</a><br/><a x="<b>">', '<p class="a', "<style><p></style><a x=\"1\" x=\"2\">", "<textarea><p></textarea></p>"):
         assert page(_Builder(), html) == page(Library(), html)
+        own = _Builder()
+        assert page(own, html[own.feed_plain(html):]) == page(Library(), html)
+    assert _Builder().feed_plain('a &lt; <p class="x">b<!-- c --></p><B>') == 35
