@@ -89,3 +89,13 @@ def test_double_array_finds_all_prefixes():
 
 def test_empty_table(frame):
     assert pieces.encode(frame([])).collect() == []
+
+
+def test_cuts_side_by_side_are_solved_as_one_by_one():
+    own = pieces.vocabulary(public_tokenizers.path(pieces.VOCABULARY))
+    r = random.Random(5)
+    cuts = ["".join(r.choice(["a", "b", "é", "日", "😀", pieces.MARKER, "\0", "tion", " the"]) for _ in range(r.randint(0, 20))).encode() for _ in range(3000)]
+    cuts += [c[:r.randint(0, len(c))] for c in cuts[:500]]  # also such that end within a character
+    assert sum(len(c) <= pieces.LONG for c in cuts) > 1000 > sum(len(c) > pieces.LONG for c in cuts) > 0
+    assert own.best_of(cuts) == [own.best(c) for c in cuts]
+    assert own.best_of(cuts[:5]) == own.best_of(cuts)[:5] and own.best_of([]) == []
