@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from hubbub.functions.text import sentences
+from hubbub.functions.text import is_term, sentences
 from hubbub.functions.times import in_range, parse_wall
 from hubbub.operators.filters import content_words, term_array, zip_tags
 from hubbub.operators.joins import fits_broadcast
@@ -39,6 +39,49 @@ def top_terms(counts, keys=("article_url",), n=TOP_WORDS):
     return top_per_group(counts, list(keys), order, n)
 
 
+def _counted(docs, key):
+    """A row's terms sorted, so that equal words stand together: ``_terms`` holds (n, first_pos, word) of each word.
+
+    Staged, because lambdas evaluate a repeated expression each time."""
+    placed = F.transform(sentences("text"), lambda w, i: F.struct(w.alias("word"), i.cast("bigint").alias("pos")))
+    rows = docs.select(key, F.sort_array(F.filter(placed, lambda t: is_term(t["word"]))).alias("_sorted"))
+    at = lambda i: F.get(F.col("_sorted"), i)
+    begins = F.transform("_sorted", lambda t, i: F.when((i == 0) | (t["word"] != at(i - 1)["word"]), i))
+    rows = rows.select(key, "_sorted", F.filter(begins, lambda i: i.isNotNull()).alias("_begin"))
+    ends = F.slice(F.concat("_begin", F.array(F.size("_sorted"))), F.lit(2), F.size("_begin"))
+    terms = F.zip_with("_begin", ends, lambda a, b: F.struct((b - a).cast("bigint").alias("n"), at(a)["pos"].alias("first_pos"), at(a)["word"].alias("word")))
+    return rows.select(key, terms.alias("_terms"))
+
+
+def _by_key(docs, key, alone, together):
+    """``alone`` of the texts whose key no other row has, and ``together`` of the tokens of all others."""
+    repeated = docs.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col(key).alias("_again"))
+    if repeated.isEmpty():
+        return alone(docs)
+    same = F.col(key).eqNullSafe(F.col("_again"))
+    words = docs.join(repeated, same, "left_semi").select(key, F.posexplode(sentences("text")).alias("pos", "word")).where(is_term("word"))
+    return alone(docs.join(repeated, same, "left_anti")).unionByName(together(words.withColumn("pos", F.col("pos").cast("bigint"))))
+
+
+def words_per_text(docs, key="doc_id"):
+    """(key, word, n): the terms of each key's ``text``, counted inside the row unless other rows have the same key."""
+    def alone(rows):
+        # The outer forms keep the optimiser from computing the words again to test them for emptiness.
+        return _counted(rows, key).select(key, F.explode_outer("_terms").alias("t")).where("t is not null").select(key, "t.word", "t.n")
+
+    return _by_key(docs, key, alone, lambda tokens: tokens.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n")))
+
+
+def top_words_per_text(docs, key="doc_id", n=TOP_WORDS):
+    """(key, word, n, rank): ``top_terms`` of each key's ``text``, found inside the row unless other rows have the same key."""
+    def alone(rows):
+        ranked = F.sort_array(F.transform("_terms", lambda t: F.struct((-t["n"]).alias("less"), t["first_pos"].alias("first_pos"), t["word"].alias("word"))))
+        top = _counted(rows, key).select(key, F.posexplode_outer(F.slice(ranked, 1, n)).alias("at", "t")).where("t is not null")
+        return top.select(key, "t.word", (-F.col("t.less")).alias("n"), (F.col("at") + 1).alias("rank"))
+
+    return _by_key(docs, key, alone, lambda tokens: top_terms(term_counts(tokens, [key]), [key], n).select(key, "word", "n", "rank"))
+
+
 _DONE = "body_top array<struct<word:string,count:bigint>>, comments_top array<struct<word:string,count:bigint>>"
 
 

@@ -98,3 +98,17 @@ def test_tags(spark, one):
     assert sorted((r.word, r.pos_tag) for r in filters.tag_words(tokens, lexicon).collect()) == [("aa", "Na"), ("zz", "x")]
     assert [(r.word, r.section) for r in filters.gazetteer_hits(tokens, lexicon).collect()] == [("aa", "NAMES")]
     assert filters.gazetteer_hits(tokens, lexicon, ["PLACES"]).count() == 0
+
+
+def test_words_of_a_text_are_counted_inside_its_row(spark):
+    rows = [(1, "be at be, at zz 12 x be"), (2, None), (3, " , "), (4, "at zz"), (4, "zz yy"), (None, "at"), (None, "at be"), (5, "é É é")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    words = counts.words_per_text(docs)
+    assert sorted(map(tuple, words.where("doc_id is not null").collect())) == [(1, "at", 2), (1, "be", 3), (1, "zz", 1), (4, "at", 1), (4, "yy", 1), (4, "zz", 2)]
+    assert sorted((r.word, r.n) for r in words.where("doc_id is null").collect()) == [("at", 2), ("be", 1)]
+    top = counts.top_words_per_text(docs, n=2).where("doc_id in (1, 4)")
+    assert sorted(map(tuple, top.collect())) == [(1, "at", 2, 2), (1, "be", 3, 1), (4, "at", 1, 2), (4, "zz", 2, 1)]
+    # Without repeated keys no word moves between tasks.
+    alone = docs.where("doc_id < 4")
+    for found in (counts.words_per_text(alone), counts.top_words_per_text(alone)):
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()

@@ -64,8 +64,7 @@ def _ranked(df, key):
 
 @query(_sql_top(SQL_DOC_TOKENS, "", "doc_id", counts.TOP_WORDS))
 def top_terms_per_article(spark, sf_dir):
-    tokens = filters.keep_terms(document_tokens(spark, sf_dir), ())
-    return _ranked(counts.top_terms(counts.term_counts(tokens, ["doc_id"]), ["doc_id"]), "doc_id")
+    return _ranked(counts.top_words_per_text(texts(spark, sf_dir, "documents", "doc_id")), "doc_id")
 
 
 @query(_sql_top(SQL_TALK_TOKENS, "where turn > 0", "conv_id", counts.TOP_WORDS))
@@ -92,17 +91,15 @@ select doc_id, word, count(*) as n from tokens t anti join stops s on t.word = s
 def stopword_filtered_terms(spark, sf_dir):
     """Stop words as a table: every word of the benchmark texts."""
     stop = table(spark, sf_dir, "benchmark").select(F.explode(sentences("text")).alias("word"))
-    kept = filters.keep_terms(document_tokens(spark, sf_dir), stop)
-    return kept.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    return filters.keep_terms(counts.words_per_text(texts(spark, sf_dir, "documents", "doc_id")), stop).select("doc_id", "word", "n")
 
 
 @query(f"""with {SQL_DOC_TOKENS}, {SQL_LEXICON}
 select coalesce(tag, 'x') as pos_tag, section, count(*) as n, count(distinct doc_id) as docs
 from tokens t left join lexicon l on t.word = l.word group by 1, 2""")
 def lexicon_tagged_terms(spark, sf_dir):
-    tokens = filters.keep_terms(document_tokens(spark, sf_dir), ())
     # Per document and word first, so the dictionary is asked once for each pair.
-    pairs = tokens.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    pairs = counts.words_per_text(texts(spark, sf_dir, "documents", "doc_id"))
     tagged = filters.tag_words(pairs, benchmark_lexicon(spark, sf_dir))
     per_doc = tagged.groupBy("pos_tag", "section", "doc_id").agg(F.sum("n").alias("n"))
     return per_doc.groupBy("pos_tag", "section").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("docs"))
@@ -113,8 +110,7 @@ select doc_id, t.word, count(*) as n from tokens t join lexicon l on t.word = l.
 where tag like 'N%' or tag like 'V%' group by 1, 2""")
 def pos_filtered_terms(spark, sf_dir):
     """Words the dictionary tags as nouns or verbs."""
-    tokens = filters.keep_terms(document_tokens(spark, sf_dir), ())
-    pairs = tokens.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    pairs = counts.words_per_text(texts(spark, sf_dir, "documents", "doc_id"))
     tagged = filters.tag_words(pairs, benchmark_lexicon(spark, sf_dir))
     return tagged.where(filters.is_content_tag(F.col("pos_tag"))).select("doc_id", "word", "n")
 
@@ -123,8 +119,7 @@ def pos_filtered_terms(spark, sf_dir):
 select t.doc_id, section, t.word, count(*) as n from tokens t join lexicon l on t.word = l.word
 where section = 'NAMES' group by all""")
 def gazetteer_hits(spark, sf_dir):
-    tokens = filters.keep_terms(document_tokens(spark, sf_dir), ())
-    pairs = tokens.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    pairs = counts.words_per_text(texts(spark, sf_dir, "documents", "doc_id"))
     return filters.gazetteer_hits(pairs, benchmark_lexicon(spark, sf_dir), ["NAMES"])
 
 
