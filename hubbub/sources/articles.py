@@ -117,7 +117,7 @@ def write_article_files(articles, path):
     """Write each article as a ``.json`` file of its own and give the folders that hold them.
 
     On a mounted folder every task fills one folder, and only those of attempts that ended are given, so files of a failed or
-    repeated attempt are never read. Spark's writer, which other file systems get, starts two processes for each file there.
+    repeated attempt are never read. Spark's writer, which other file systems get, starts processes for each file there.
     """
     spark, rows = articles.sparkSession, article_json(articles)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
