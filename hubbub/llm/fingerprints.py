@@ -173,51 +173,90 @@ def classes(prints, radius=RADIUS):
     ``prints`` holds a column ``fingerprint``; equal ones are one fingerprint."""
     values = prints.select("fingerprint").where("fingerprint is not null").distinct()
     values = durable(values.select(*[F.conv(F.substring("fingerprint", at, 16), 16, -10).cast("long").alias(c) for c, at in (("h", 1), ("l", 17))]))
+    # Kept rows are members of large meetings, and those that have somebody near among the rows before them.
+    met = durable(meetings(values, radius).where(F.col("large") | (F.size("near") > 0)))
+    links = met.select(F.struct("h", "l").alias("a"), F.explode("near").alias("b")).groupBy("a").agg(F.sort_array(F.collect_set("b")).alias("near"))
+    links = durable(links.select("a", F.explode(thinned(F.col("near"), radius)).alias("b")))
+    members = met.where("large").select("front", "h", "l")
+    found = components(links) if members.isEmpty() else in_large_meetings(members, links, radius)
+    return found.select(text_of("id.h", "id.l").alias("fingerprint"), text_of("label.h", "label.l").alias("class"))
+
+
+def meetings(values, radius):
+    """(front, h, l, large, near) for every place of a fingerprint where it is not alone: whether the meeting has more than SMALL members,
+    and those of the SMALL - 1 members before it, in the order of h and l, that it is to be linked with.
+
+    The places are shuffled and sorted once: members of a meeting follow each other."""
     blocks, together = masks(radius)
     whole = lambda chosen, half: sum(blocks[k][half] for k in chosen)
-    marked = len(blocks) < 63  # a table's number is then its blocks as bits of a long
-    tables = F.array(*[
-        F.struct(F.lit(sum(1 << k for k in chosen) if marked else at).cast("long").alias("block"), F.hash(F.lit(at), F.col("h").bitwiseAND(F.lit(whole(chosen, 0))), F.col("l").bitwiseAND(F.lit(whole(chosen, 1)))).alias("front"))
-        for at, chosen in enumerate(itertools.combinations(range(len(blocks)), together))
-    ])
-    # Fronts are 32-bit hashes: two under one hash only meet in vain. Both sides of the join have the same columns, so they
-    # are one shuffle.
-    places = values.select("h", "l", F.explode(tables).alias("t")).select("h", "l", "t.block", "t.front")
-    large = durable(places.groupBy("front").agg(F.count("*").alias("many")).where(F.col("many") > SMALL).select("front"))
-    side = lambda rows, p: rows.select("front", *[F.col(c).alias(p + c) for c in rows.columns if c != "front"])
-    near = distance("ah", "al", "bh", "bl") <= radius
-
-    few = places.join(large, "front", "left_anti")
-    met = side(few, "a").join(side(few, "b"), "front").where("ablock = bblock").where("ah < bh or ah = bh and al < bl").where(near)
-    if marked:
-        differs = lambda k: F.col("ah").bitwiseXOR(F.col("bh")).bitwiseAND(F.lit(blocks[k][0])).bitwiseOR(F.col("al").bitwiseXOR(F.col("bl")).bitwiseAND(F.lit(blocks[k][1])))
-        equal = functools.reduce(lambda x, y: x + y, [F.when(differs(k) == 0, F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")) for k in range(len(blocks))])
+    chosen = list(itertools.combinations(range(len(blocks)), together))
+    signed = lambda v: (v & 0xFFFFFFFF ^ 1 << 31) - (1 << 31)
+    # A front is the number of its table and 25 bits of a hash: two under one hash only meet in vain.
+    front = lambda at, own: F.hash(F.col("h").bitwiseAND(F.lit(whole(own, 0))), F.col("l").bitwiseAND(F.lit(whole(own, 1)))).bitwiseAND(F.lit((1 << 25) - 1)).bitwiseOR(F.lit(signed(at << 25)))
+    places = values.select(F.explode(F.array(*[front(at, own) for at, own in enumerate(chosen)])).alias("front"), "h", "l")
+    order = Window.partitionBy("front").orderBy("h", "l")
+    many = F.count("*").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    rows = places.withColumn("many", many).where("many > 1")
+    rows = rows.select("front", "h", "l", (F.col("many") > SMALL).alias("large"), F.collect_list(F.struct("h", "l")).over(order.rowsBetween(1 - SMALL, -1)).alias("before"))
+    near = F.filter("before", lambda b: apart(F.struct("h", "l"), b) <= radius)
+    if len(blocks) < 63:  # a table is then its blocks as bits of a long
+        differs = lambda b, k: F.col("h").bitwiseXOR(b["h"]).bitwiseAND(F.lit(blocks[k][0])).bitwiseOR(F.col("l").bitwiseXOR(b["l"]).bitwiseAND(F.lit(blocks[k][1])))
+        equal = lambda b: functools.reduce(lambda x, y: x + y, [F.when(differs(b, k) == 0, F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")) for k in range(len(blocks))])
         # The lowest bits of ``equal``, as many as stand together, are those that taking the lowest away so often removes: of
         # the tables where two meet, the one of their first equal blocks gives the pair.
-        rest = F.aggregate(F.array(*[F.lit(k) for k in range(together)]), equal, lambda left, _: left.bitwiseAND(left - 1))
-        met = met.where(F.col("ablock") == equal.bitwiseXOR(rest))
-    named = lambda rows: rows.select(F.struct(F.col("ah").alias("h"), F.col("al").alias("l")).alias("a"), F.struct(F.col("bh").alias("h"), F.col("bl").alias("l")).alias("b"))
-    links = durable(named(met))
-    if not large.isEmpty():
-        links = links.union(named(in_large_meetings(places, large, side, near, links, named)))
-    found = components(links)
-    return found.select(text_of("id.h", "id.l").alias("fingerprint"), text_of("label.h", "label.l").alias("class"))
+        rest = lambda e: F.aggregate(F.array(*[F.lit(k) for k in range(together)]), e, lambda left, _: left.bitwiseAND(left - 1))
+        table = F.get(F.array(*[F.lit(sum(1 << k for k in own)).cast("long") for own in chosen]), F.shiftrightunsigned("front", 25))
+        near = F.filter(near, lambda b: F.col("large") | F.exists(F.array(equal(b)), lambda e: e.bitwiseXOR(rest(e)) == table))
+    return rows.select("front", "h", "l", "large", thinned(near, radius).alias("near"))
 
 
-def in_large_meetings(places, large, side, near, links, named):
-    """Links (ah, al, bh, bl) that connect, with ``links``, all members of large meetings that are within the radius."""
-    members = durable(places.drop("block").join(large, "front"))
-    often = members.groupBy("h", "l").agg(F.count("*").alias("often"))
-    leaders = members.join(often, ["h", "l"]).groupBy("front").agg(F.max(F.struct("often", "h", "l")).alias("b"))
-    leaders = leaders.select("front", F.col("b.h").alias("bh"), F.col("b.l").alias("bl"))
-    stars = durable(side(members, "a").join(leaders, "front").where("ah <> bh or al <> bl").where(near).drop("front").distinct())
-    labels = components(links.union(named(stars))).select("id.h", "id.l", "label")
-    classed = members.join(labels, ["h", "l"], "left")
-    classed = durable(classed.withColumn("label", F.coalesce("label", F.struct("h", "l"))))
-    shares = classed.groupBy("front", "label").agg(F.count("*").alias("many")).groupBy("front")
-    mixed = shares.agg(F.max_by("label", F.struct("many", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1").select("front", "main")
-    mixed = durable(classed.join(mixed, "front"))
+def apart(a, b):
+    """Differing bits of two structs of h and l."""
+    return F.bit_count(a["h"].bitwiseXOR(b["h"])) + F.bit_count(a["l"].bitwiseXOR(b["l"]))
+
+
+def thinned(near, radius):
+    """The fingerprints of a sorted array, without those that are within the radius of one that stays before them.
+
+    All of the array are near one fingerprint that comes after them in the order. Of two that are near each other the later one may
+    go: it is linked with the earlier one by links among smaller fingerprints, so no class falls apart."""
+    none = F.lit(None).cast("struct<h:bigint,l:bigint>")
+    add = lambda kept, b: F.when(F.exists(kept, lambda e: apart(e, b) <= radius), kept).otherwise(F.concat(kept, F.array(b)))
+    return F.aggregate(near, F.filter(F.array(none), lambda e: e.isNotNull()), add)
+
+
+def in_large_meetings(members, links, radius):
+    """(id, label) as of ``components``, where ``links`` and all members of large meetings that are within the radius are connected.
+
+    Further links are looked for between classes only, and only classes are connected again."""
+    side = lambda rows, p: rows.select("front", *[F.col(c).alias(p + c) for c in rows.columns if c != "front"])
+    near = distance("ah", "al", "bh", "bl") <= radius
+    between = lambda rows: durable(rows.where("alabel <> blabel").where(near).select(F.col("alabel").alias("a"), F.col("blabel").alias("b")).distinct())
+
+    def mixed(labels):
+        """Members of meetings that have several classes, with their class and the main one of the meeting."""
+        labels = labels.select("id.h", "id.l", "label")
+        classed = members.join(labels, ["h", "l"], "left").withColumn("label", F.coalesce("label", F.struct("h", "l")))
+        shares = classed.groupBy("front", "label").agg(F.count("*").alias("many")).groupBy("front")
+        shares = shares.agg(F.max_by("label", F.struct("many", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1")
+        return durable(classed.join(shares.select("front", "main"), "front"))
+
+    def merged(labels, links):
+        """``labels`` after links between classes; a member that had no link was a class of its own."""
+        more = components(links)
+        old = labels.union(more.select("id", F.col("id").alias("label"))).distinct()
+        return durable(old.join(more.select(F.col("id").alias("label"), F.col("label").alias("least")), "label", "left").select("id", F.coalesce("least", "label").alias("label")))
+
+    labels = components(links)
+    rows = mixed(labels)
+    often = rows.groupBy("h", "l").agg(F.count("*").alias("often"))
+    leaders = rows.join(often, ["h", "l"]).groupBy("front").agg(F.max(F.struct("often", "h", "l", "label")).alias("b"))
+    leaders = leaders.select("front", F.col("b.h").alias("bh"), F.col("b.l").alias("bl"), F.col("b.label").alias("blabel"))
+    stars = between(side(rows, "a").join(leaders, "front"))
+    if not stars.isEmpty():
+        labels = merged(labels, stars)
+        rows = mixed(labels)
     # Of two members with different labels, at least one is not of the meeting's main class.
-    minor = side(mixed.where("label <> main").drop("main"), "a")
-    rest = minor.join(side(mixed.drop("main"), "b"), "front").where("alabel <> blabel").where(near)
-    return stars.union(rest.select("ah", "al", "bh", "bl").distinct())
+    minor = side(rows.where("label <> main").drop("main"), "a")
+    rest = between(minor.join(side(rows.drop("main"), "b"), "front"))
+    return labels if rest.isEmpty() else merged(labels, rest)

@@ -162,6 +162,23 @@ def test_rows_in_proportion_to_the_group(spark):
     assert max(w.count() for w in written) <= 66 * 400
 
 
+def test_small_meetings_give_a_link_for_each_member(spark, monkeypatch):
+    """Groups of 16 near copies: no checkpoint holds all their pairs, and their places are shuffled once."""
+    import random
+
+    pick = random.Random(5)
+    names = sorted({f"{base ^ sum(1 << b for b in pick.sample(range(128), 3)):032x}" for base in [pick.getrandbits(128) for _ in range(5)] for _ in range(16)})
+    frame = spark.createDataFrame([(x,) for x in names], "fingerprint string")
+    written, real = [], fingerprints.durable
+    monkeypatch.setattr(fingerprints, "durable", lambda df: written.append(real(df)) or written[-1])
+    got = fingerprints.classes(frame).collect()
+    assert len(got) == len(names) and len({r["class"] for r in got}) == 5
+    pairs = [w.count() for w in written if w.columns == ["a", "b"]]
+    assert pairs and max(pairs) <= len(names)
+    plan = fingerprints.meetings(written[0], 10)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Generate") == 1 and "Join" not in plan
+
+
 def test_one_changed_word_is_near(frame):
     words = story(300, 3).split()
     texts = [" ".join(words)] + [" ".join([*words[:k], "changed", *words[k + 1:]]) for k in range(5, len(words), 12)]
