@@ -6,9 +6,10 @@ long, so a text's 128 counters are 64 sums.
 
 ``classes`` finds all fingerprints within a radius of each other through tables that each put other blocks of bits in front: of
 radius + 2 blocks, two are equal in any such pair, so the two meet in a table that puts these in front. A meeting of at most ``SMALL``
-fingerprints gives its pairs. In a larger one each member is held against the leader (the member of most large meetings);
-then only members that are still in another class than most of their meeting are held against the rest of it. So a group of n near copies
-gives rows in proportion to n, and no link between two classes is lost.
+fingerprints is compared in full, and of its links those are kept that connect it. In a larger one each member is held against the
+members just before it and, if they differ in class, the leader (the member of most such meetings); then only members that are still
+in another class than most of their meeting are held against the rest of it. So a group of n near copies gives rows in proportion
+to n, and no link between two classes is lost. All places are shuffled and sorted once; rows of one meeting stream through one task.
 
 Defined results: null text counts as empty; an empty or blank text has no votes and the zero fingerprint; equal texts
 have equal fingerprints; repeated rows are kept, ordered by id and then text; null ids come after all others and are
