@@ -9,8 +9,19 @@ from pyspark.sql import types as T
 
 from hubbub.schemas import ARTICLE_JSON
 from hubbub.operators.dedup import last_per_key
+from hubbub.session import SLICE_BYTES
 
 CORRUPT = "_corrupt_record"
+# Files in one folder of a task, which one task reads.
+FILES_EACH = 10_000
+
+
+class TaskFolders(list):
+    """Folders that tasks filled with article files on a mounted file system, and ``places``, the same as paths there."""
+
+    def __init__(self, path, mounted, names):
+        super().__init__(f"{path}/{name}" for name in names)
+        self.places = [f"{mounted}/{name}" for name in names]
 
 
 def _with_terms(df):
@@ -42,9 +53,13 @@ def _wholes(spark, path, schema):
 
     The text is read as the only element of a list, so whatever follows the object makes the file malformed
     instead of being left out."""
-    # As bytes, because the reader of whole texts copies the Hadoop configuration for each file, one task at a time.
-    files = spark.read.format("binaryFile").option("pathGlobFilter", GLOBS[False]).load(path)
-    texts = files.select(F.col("content").cast("string").alias("value"), F.col("_metadata.file_name").alias("source_filename"))
+    if isinstance(path, TaskFolders):
+        files = _files_of(spark, path.places)
+    else:
+        # As bytes, because the reader of whole texts copies the Hadoop configuration for each file, one task at a time.
+        files = spark.read.format("binaryFile").option("pathGlobFilter", GLOBS[False]).load(path)
+        files = files.select("content", F.col("_metadata.file_name").alias("source_filename"))
+    texts = files.select(F.col("content").cast("string").alias("value"), "source_filename")
     asked = T.ArrayType(T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())]))
     found = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), asked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     read = texts.withColumn("_found", found)
@@ -52,6 +67,30 @@ def _wholes(spark, path, schema):
     return read.select("value", "source_filename", F.when(fine, F.get("_found", F.lit(0))).alias("article"))
 
 
+def _files_of(spark, places):
+    """(content, source_filename) of the article files in mounted folders. A task lists and reads a folder, so the driver, which
+    would hold all files of a scan, holds the folders only."""
+    def read(batches):
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                contents, names, size = [], [], 0
+                for entry in os.scandir(places[k]):
+                    if entry.name.endswith(".json") and entry.name[0] not in "._" and entry.is_file():
+                        with open(entry.path, "rb") as file:
+                            contents.append(file.read())
+                        names.append(entry.name)
+                        size += len(contents[-1])
+                    if size >= SLICE_BYTES:
+                        yield packed(contents, names)
+                        contents, names, size = [], [], 0
+                yield packed(contents, names)
+
+    def packed(contents, names):
+        return pa.RecordBatch.from_arrays([pa.array(contents, pa.binary()), pa.array(names, pa.string())], ["content", "source_filename"])
+
+    return spark.range(0, len(places), 1, len(places)).mapInArrow(read, "content binary, source_filename string")
+
+
 def _articles(wholes):
     return _with_terms(wholes.select(*[F.col(f"article.{f.name}") for f in ARTICLE_JSON.fields], "source_filename"))
 
@@ -116,8 +155,8 @@ def write_articles(articles, path, key="article_url", order="seq", form="parquet
 def write_article_files(articles, path):
     """Write each article as a ``.json`` file of its own and give the folders that hold them.
 
-    On a mounted folder every task fills one folder, and only those of attempts that ended are given, so files of a failed or
-    repeated attempt are never read. Spark's writer, which other file systems get, starts processes for each file there.
+    On a mounted folder every task fills folders of its own, and only those of attempts that ended are given, so files of a failed
+    or repeated attempt are never read. Spark's writer, which other file systems get, starts processes for each file there.
     """
     spark, rows = articles.sparkSession, article_json(articles)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -125,20 +164,22 @@ def write_article_files(articles, path):
     mounted = folder.getPath()
 
     def write(batches):
-        own, n = uuid.uuid4().hex, 0
-        os.makedirs(f"{mounted}/{own}")
+        own, n, folders = uuid.uuid4().hex, 0, []
         for batch in batches:
             for value in batch.column(0):
-                with open(f"{mounted}/{own}/part-{own}-{n:09d}.json", "wb") as file:
+                if n % FILES_EACH == 0:
+                    folders.append(f"{own}-{len(folders)}")
+                    os.makedirs(f"{mounted}/{folders[-1]}")
+                with open(f"{mounted}/{folders[-1]}/part-{own}-{n:09d}.json", "wb") as file:
                     file.write(value.as_py().encode() + b"\n")
                 n += 1
-        yield pa.RecordBatch.from_arrays([pa.array([own])], ["folder"])
+        yield pa.RecordBatch.from_arrays([pa.array(folders, pa.string())], ["folder"])
 
     if folder.getScheme() == "file":
         texts = rows.select(F.to_json(F.struct(*rows.columns)).alias("value"))
-        done = texts.mapInArrow(write, "folder string").collect()  # one short row for each task
+        done = texts.mapInArrow(write, "folder string").collect()  # one short row for each folder
         if done:
-            return [f"{path}/{r.folder}" for r in done]
+            return TaskFolders(path, mounted, [r.folder for r in done])
     rows.write.option("maxRecordsPerFile", 1).json(path)
     return [path]
 

@@ -118,3 +118,23 @@ def test_files_are_read_as_bytes(spark, tmp_path):
     plan = articles.read_articles(spark, str(tmp_path))._jdf.queryExecution().toString()
     assert "binaryFile" in plan
     assert articles.read_articles(spark, str(tmp_path)).count() == 1
+
+
+def test_files_of_tasks_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """Folders hold a bounded number of files each, and the driver sees folders only, however many files there are."""
+    monkeypatch.setattr(articles, "FILES_EACH", 5)
+    rows = spark.range(27).select(F.concat(F.lit("u"), "id").alias("article_url"), F.lit("é").alias("content_raw"))
+    folders = articles.write_article_files(rows.repartition(2), str(tmp_path / "out"))
+    assert 6 <= len(folders) <= 7 and all(len(list((tmp_path / "out" / f.rsplit("/", 1)[1]).iterdir())) <= 5 for f in folders)
+    for name in ("_hidden.json", ".hidden.json", "notes.txt"):
+        write(tmp_path / "out" / folders[0].rsplit("/", 1)[1] / name, "no article")
+    read = articles.read_articles(spark, folders)
+    assert read.inputFiles() == []
+    assert sorted((r.article_url, r.content_raw) for r in read.collect()) == sorted((f"u{i}", "é") for i in range(27))
+    # The same as when the driver lists them.
+    assert sorted(read.collect(), key=str) == sorted(articles.read_articles(spark, list(folders)).collect(), key=str)
+    write(tmp_path / "out" / folders[0].rsplit("/", 1)[1] / "bad.json", '{"article_url": "u"')
+    with pytest.raises(Exception, match="not one article object"):
+        articles.read_articles(spark, folders).collect()
+    good, rejected = articles.read_articles_tolerant(spark, folders)
+    assert good.count() == 27 and [r.source_filename for r in rejected.collect()] == ["bad.json"]
