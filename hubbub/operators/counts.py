@@ -13,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from hubbub.functions.text import is_term, sentences
 from hubbub.functions.times import in_range, parse_wall
-from hubbub.operators.filters import content_words, term_array, zip_tags
+from hubbub.operators.filters import content_words, term_array
 from hubbub.operators.joins import fits_broadcast
 from hubbub.operators.ranking import top_per_group
 from hubbub.operators.segment import by_join, collected, known_words, one_per_word
@@ -102,14 +102,14 @@ def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WO
     if segmented and not joined:
         shared = spark.sparkContext.broadcast([] if lexicon is None else collected(lexicon))
 
-    @F.arrow_udf("struct<word:array<array<string>>,pos:array<array<string>>>")
+    @F.arrow_udf("array<array<struct<word:string,pos:string>>>")
     def cut_units(texts: pa.Array) -> pa.Array:
         return in_slices(texts, cut)
 
     def cut(texts):
         units = known_words(shared).tagged(texts.flatten().to_pylist(), "x")
         offsets = pa.array(np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(texts), 0))]), pa.int32())
-        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, units.field(k)) for k in ("word", "pos")], ["word", "pos"])
+        return pa.ListArray.from_arrays(offsets, units)
 
     fields = T.StructType.fromDDL(_DONE)
     kind = to_arrow_type(fields)
@@ -132,9 +132,9 @@ def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WO
     if segmented:
         tagged = _cut_by_join(articles, lexicon) if joined else articles.withColumn("_tagged", cut_units(texts))
         if method == "ckip":
-            units = F.zip_with("_tagged.word", "_tagged.pos", lambda w, p: content_words(zip_tags(w, p)))
+            units = F.transform("_tagged", content_words)
         else:
-            units = F.transform("_tagged.word", lambda unit: term_array(unit, stop))
+            units = F.transform("_tagged", lambda unit: term_array(F.transform(unit, lambda t: t["word"]), stop))
     else:
         tagged, units = articles, F.transform(texts, lambda text: term_array(sentences(text), stop))
     done = tagged.withColumn("_units", units)
@@ -153,13 +153,10 @@ def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WO
 def _cut_by_join(articles, lexicon):
     """Segment every unit by join and bring an article's units, its own text, together."""
     numbered = durable(articles.withColumn("_row", F.monotonically_increasing_id()))
-    cut = by_join(durable(text_units(numbered, ["_row"])), lexicon, ["_row", "unit_ix"], "x")
+    cut = by_join(durable(text_units(numbered, ["_row"])), lexicon, "x")
     units = cut.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("unit_ix", "tagged"))).alias("_units"))
 
-    def part(name):
-        return F.transform("_units", lambda u: F.transform(u["tagged"], lambda t: t[name])).alias(name)
-
-    return numbered.join(units, "_row", "left").select(*articles.columns, F.struct(part("word"), part("pos")).alias("_tagged"))
+    return numbered.join(units, "_row", "left").select(*articles.columns, F.transform("_units", lambda u: u["tagged"]).alias("_tagged"))
 
 
 def _top(found, n):

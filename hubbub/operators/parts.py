@@ -5,10 +5,13 @@ the length of some word is hashed from running sums, all places together, and on
 with the dictionary, which is exact. Words beyond ``_LONG`` characters are looked for only where their first ``_LONG`` are.
 """
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from hubbub.operators.blocks import BLOCK, Numbers, kinds_of_characters, stretches, tokens
 from hubbub.operators.trie import code_points
 
 _LONG = 64
@@ -18,26 +21,48 @@ _BITS_EACH, _FEWEST, _MOST = 512, 15, 27
 _ROW = 1 << 15
 # Characters looked at together.
 _SLICE = 1 << 19
+# Different blocks of neighbouring texts that are kept in mind.
+_SEEN = 1 << 20
 # An odd number and its inverse modulo 2^64, and one that mixes.
 _BASE, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+class Powers:
+    """Powers of the base and of its inverse, made once for as many characters as are looked at together."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def to(self, n):
+        if len(self.up) <= n:
+            up, down = np.full(n + n // 4 + 1, _BASE, np.uint64), np.full(n + n // 4 + 1, _INVERSE, np.uint64)
+            up[0] = down[0] = 1
+            self.up, self.down = np.multiply.accumulate(up), np.multiply.accumulate(down)
+        return self.up[:n], self.down
+
+
 class Hashes:
     """Hashes of any part of a sequence of characters."""
 
-    def __init__(self, codes):
-        up, down = np.full(len(codes) + 1, _BASE, np.uint64), np.full(len(codes) + 1, _INVERSE, np.uint64)
-        up[0] = down[0] = 1
-        self.down = np.multiply.accumulate(down)
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * np.multiply.accumulate(up)[:-1])])
+    def __init__(self, codes, powers=None):
+        up, self.down = (powers or Powers()).to(len(codes))
+        self.sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum((codes + 1).view(np.uint64) * up, out=self.sums[1:])
 
-    def of(self, starts, ends, bits):
-        """Places in a bitmap of 2^bits."""
+    def whole(self, starts, ends):
         h = (self.sums[ends] - self.sums[starts]) * self.down[starts]
         h = (h ^ (h >> np.uint64(32))) * np.uint64(_MIX)
-        h = (h ^ (h >> np.uint64(29))) * np.uint64(_MIX)
-        return (h >> np.uint64(64 - bits)).astype(np.int64)
+        return (h ^ (h >> np.uint64(29))) * np.uint64(_MIX)
+
+    def of(self, starts, ends, bits):
+        """Places in a bitmap of 2^bits."""
+        return (self.whole(starts, ends) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def is_latin(codes):
+    """Which characters are ASCII letters or digits."""
+    return (codes < 128) & ((codes - 48 < 10) & (codes >= 48) | ((codes | 32) - 97 < 26) & ((codes | 32) >= 97))
 
 
 def places(texts, bits):
@@ -61,45 +86,113 @@ def bitmap(words, bits):
     return out
 
 
-def parts_in(blocks, known, bits, sizes, alone):
-    """For each of distinct blocks, its different parts that may be words."""
-    text = "".join(blocks)
-    codes = code_points(text)
-    lengths = np.fromiter(map(len, blocks), np.int64, len(blocks))
+def likely(codes, lengths, hashes, known, bits, sizes, alone=False):
+    """(starts, size) of the parts of blocks that may be words, for each size."""
     stops = np.cumsum(lengths)
-    stop, block = np.repeat(stops, lengths), np.repeat(np.arange(len(blocks)), lengths)
-    hashes, starts = Hashes(codes), np.arange(len(codes))
+    stop, block = np.repeat(stops, lengths), np.repeat(np.arange(len(lengths)), lengths)
+    starts = np.arange(len(codes))
     if alone:
-        letter = (codes < 128) & ((codes - 48 < 10) & (codes >= 48) | ((codes | 32) - 97 < 26) & ((codes | 32) >= 97))
+        letter = is_latin(codes)
         touched = np.concatenate([[False], letter[1:] & letter[:-1] & (block[1:] == block[:-1]), [False]])
         starts = starts[~touched[:-1]]
 
-    def likely(starts, size, whole=True):
-        starts = starts[starts + size <= stop[starts]]
+    def passing(starts, size, whole=True):
         if alone and whole:
             starts = starts[~touched[starts + size]]
         at = hashes.of(starts, starts + size, bits)
         return starts[known[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1]
 
-    out = [set() for _ in blocks]
-    begun = None
+    begun = False
     for size in sizes:
-        if size > _LONG and begun is None:
-            begun = likely(starts, _LONG, whole=False)
-        hits = likely(starts if size <= _LONG else begun, size)
+        if size > _LONG and not begun:
+            begun, starts = True, starts[starts + _LONG <= stop[starts]]
+            starts = passing(starts, _LONG, whole=False)
+        # Sizes rise, so what has no room now has none later.
+        starts = starts[starts + size <= stop[starts]]
+        yield passing(starts, size), size
+
+
+def parts_in(blocks, known, bits, sizes, alone):
+    """For each of distinct blocks, its different parts that may be words."""
+    text = "".join(blocks)
+    codes, lengths = code_points(text), np.fromiter(map(len, blocks), np.int64, len(blocks))
+    block, out = np.repeat(np.arange(len(blocks)), lengths), [set() for _ in blocks]
+    for hits, size in likely(codes, lengths, Hashes(codes), known, bits, sizes, alone):
         for k, a in zip(block[hits].tolist(), hits.tolist()):
             out[k].add(text[a:a + size])
     return out
 
 
+def _bitmap_of(words):
+    """The bitmap of a table's words as a broadcast, its bits, and the words' lengths."""
+    n, sizes = words.agg(F.count(F.lit(1)), F.sort_array(F.collect_set(F.char_length("word")))).first()
+    bits = min(max((n * _BITS_EACH).bit_length(), _FEWEST), _MOST)
+    return words.sparkSession.sparkContext.broadcast(bitmap(words, bits).tobytes()), bits, sizes
+
+
+class Among:
+    """The parts that may be words in the blocks of neighbouring texts, each one told once."""
+
+    def __init__(self, known, bits, sizes):
+        self.known, self.bits, self.sizes, self.kinds, self.powers, self.place = known, bits, sizes, kinds_of_characters(), Powers(), None
+
+    def new_in(self, place, texts):
+        if place != self.place or len(self.blocks) > _SEEN:
+            # Told again at most.
+            self.place, self.blocks, self.told = place, Numbers(), Numbers()
+        stops = np.cumsum([len(t) if t else 0 for t in texts], dtype=np.int64)
+        codes = code_points("".join(t for t in texts if t))
+        starts, ends, _ = tokens(codes, stops, self.kinds)
+        block = self.kinds[np.minimum(codes[starts], len(self.kinds) - 1)] == BLOCK
+        starts, ends = starts[block], ends[block]
+        fresh, first = np.unique(Hashes(codes, self.powers).whole(starts, ends), return_index=True)
+        new = self.blocks.find(fresh) < 0
+        self.blocks.put(fresh[new])
+        starts, ends = starts[first[new]], ends[first[new]]
+        codes = codes[stretches(starts, ends - starts)]
+        hashes = Hashes(codes, self.powers)
+        found = [(hits, hits + size) for hits, size in likely(codes, ends - starts, hashes, self.known, self.bits, self.sizes)]
+        if not found:
+            return []
+        a, b = (np.concatenate(c) for c in zip(*found))
+        fresh, first = np.unique(hashes.whole(a, b), return_index=True)
+        new = self.told.find(fresh) < 0
+        self.told.put(fresh[new])
+        text = codes.astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass")
+        return [text[x:y] for x, y in zip(a[first[new]].tolist(), b[first[new]].tolist())]
+
+
+def parts_near(rows, words):
+    """(_near, word): the different parts of blocks in the ``text`` of rows with the same ``_near`` that may be words of ``words``.
+    None is missing; where such rows do not follow one another, or are very many, a part may come again."""
+    shared, bits, sizes = _bitmap_of(words)
+
+    @F.arrow_udf("array<string>")
+    def run(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        among = Among(np.frombuffer(shared.value, np.uint8), bits, sizes)
+        for places, texts in columns:
+            numbers, out, own, size = places.to_pylist(), [], [], 0
+            for k, text in enumerate(texts.to_pylist()):
+                own.append(text)
+                size += len(text) if text else 0
+                # The last of a slice gives what is new in it.
+                last = size >= _SLICE or k + 1 == len(numbers) or numbers[k + 1] != numbers[k]
+                out.append(among.new_in(numbers[k], own) if last else [])
+                if last:
+                    own, size = [], 0
+            yield pa.array(out, pa.list_(pa.string()))
+
+    # Not deterministic, because what it gives depends on the rows before.
+    found = rows.withColumn("_parts", run.asNondeterministic()("_near", "text")).select("_near", F.explode_outer("_parts").alias("word"))
+    return found.where(F.col("word").isNotNull())
+
+
 def parts_like(rows, words, row_key, text="text", blocks=None, alone=False):
     """(row key, word): the different parts of each row's text that may be words of ``words``, none of which is missing.
 
     ``blocks`` is a compiled pattern of the stretches that words lie in. ``alone`` leaves out parts that begin or end
     inside a run of ASCII letters and digits."""
-    n, sizes = words.agg(F.count(F.lit(1)), F.sort_array(F.collect_set(F.char_length("word")))).first()
-    bits = min(max((n * _BITS_EACH).bit_length(), _FEWEST), _MOST)
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap(words, bits).tobytes())
+    shared, bits, sizes = _bitmap_of(words)
 
     @F.arrow_udf("array<string>")
     def run(texts: pa.Array) -> pa.Array:

@@ -123,3 +123,51 @@ def test_more_blocks_than_are_remembered(monkeypatch):
         assert known.tagged(texts, "x").to_pylist() == want
         assert len(known.cuts) + len(known.words) <= remembered + 10
         assert [known.cut(t) for t in texts if t] == [segment.Dictionary(rows).cut(t) for t in texts if t]
+
+
+def test_blocks_of_many_texts_are_cut_together(monkeypatch):
+    """New blocks of all texts of a slice go through one search, and those met before through none."""
+    asked, search = [], segment.Dictionary.best_ends
+    monkeypatch.setattr(segment.Dictionary, "best_ends", lambda self, *blocks: asked.append(1) or search(self, *blocks))
+    known = segment.Dictionary([("ab", 9.0, "N"), ("台北", 2.0, "V")])
+    texts = [f"abc w{i % 7}, 3.{i % 5}% 台北市é" for i in range(300)]
+    rows = known.tagged(texts, "x").to_pylist()
+    assert len(asked) == 1
+    assert [(t["word"], t["pos"]) for t in rows[6]] == [("ab", "N"), ("c", "x"), ("w6", "x"), ("3.1%", "x"), ("台北", "V"), ("市", "x"), ("é", "x")]
+    assert known.tagged(texts, "x").to_pylist() == rows and len(asked) == 1
+
+
+def test_texts_longer_than_a_window(monkeypatch):
+    rows, texts = [("ab", 9.0, "N"), ("台北", 2.0, "V")], ["abcab 台北é " * 30, "", "abab" * 40, None, "a,b" * 50]
+    want = segment.Dictionary(rows).tagged(texts, "x").to_pylist()
+    for window in (1, 10, 100):
+        monkeypatch.setattr(segment, "_WINDOW", window)
+        assert segment.Dictionary(rows).tagged(texts, "x").to_pylist() == want
+
+
+def test_words_of_neighbours_travel_once(spark):
+    """A word that stands in every one of many neighbouring texts is looked up once for all of them."""
+    texts = spark.range(0, 1000, 1, 1).select((F.col("id") / 500).cast("bigint").alias("_near"), F.lit("abc abcd,ab").alias("text"))
+    words = spark.createDataFrame([("ab",), ("abcd",), ("zz",)], "word string")
+    assert sorted(map(tuple, segment.parts_near(texts, words).collect())) == [(0, "ab"), (0, "abcd"), (1, "ab"), (1, "abcd")]
+
+
+def test_join_over_many_neighbourhoods(spark, monkeypatch):
+    monkeypatch.setattr(segment, "_NEAR_BITS", 2)
+    rng = random.Random(8)
+    make = lambda a, b: "".join(rng.choice("ab台北, ") for _ in range(rng.randrange(a, b)))
+    lexicon = spark.createDataFrame([(w, float(rng.randrange(1, 9)), rng.choice(["N", None])) for w in {make(1, 5) for _ in range(80)}], "word string, weight double, tag string")
+    texts = spark.createDataFrame([(rng.choice(["u", None]), i % 3, rng.choice([None, "", make(0, 60)])) for i in range(100)], "article_url string, unit_ix int, text string").repartition(3)
+    near, far = (sorted(map(str, segment.segment(texts, lexicon, small=s).collect())) for s in (True, False))
+    assert near == far and len(near) == 100
+
+
+def test_words_of_earlier_neighbours_may_go(monkeypatch):
+    monkeypatch.setattr(segment, "_LISTED", 2)
+    nearby = segment.Nearby(5.0)
+    cuts = []
+    for place, words in enumerate((["ab", "cd", "ef"], ["cd"], ["gh"], [])):
+        nearby.learn(place, words, [2.0] * len(words), ["N"] * len(words))
+        assert len(nearby.rows) <= 3
+        cuts.append([[(t["word"], t["pos"]) for t in own] for own in nearby.dictionary().tagged([w * 2 for w in words], "x").to_pylist()])
+    assert cuts == [[[(w, "N")] * 2 for w in own] for own in (["ab", "cd", "ef"], ["cd"], ["gh"], [])]
