@@ -1,8 +1,5 @@
 """Word counts, top lists, keyword write-back and pooled frequencies."""
 
-from collections import Counter
-from itertools import chain
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,7 +10,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from hubbub.functions.text import is_term, sentences
 from hubbub.functions.times import in_range, parse_wall
-from hubbub.operators.filters import content_words, term_array
+from hubbub.operators.filters import content_words, is_content_tag, term_array
 from hubbub.operators.joins import fits_broadcast
 from hubbub.operators.ranking import top_per_group
 from hubbub.operators.segment import by_join, collected, known_words, one_per_word
@@ -102,43 +99,61 @@ def enrich(articles, lexicon=None, method="jieba", top_n=TOP_WORDS, stop=STOP_WO
     if segmented and not joined:
         shared = spark.sparkContext.broadcast([] if lexicon is None else collected(lexicon))
 
-    @F.arrow_udf("array<array<struct<word:string,pos:string>>>")
+    @F.arrow_udf("array<array<string>>")
     def cut_units(texts: pa.Array) -> pa.Array:
         return in_slices(texts, cut)
 
     def cut(texts):
-        units = known_words(shared).tagged(texts.flatten().to_pylist(), "x")
-        offsets = pa.array(np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(texts), 0))]), pa.int32())
-        return pa.ListArray.from_arrays(offsets, units)
+        known = known_words(shared)
+        words, _, _, counts = known.pieces(texts.flatten().to_pylist(), known.spoken)
+        return _lists(_lengths(texts), _lists(counts, words))
 
     fields = T.StructType.fromDDL(_DONE)
-    kind = to_arrow_type(fields)
+    both = T.StructType(fields.fields + [T.StructField("units", T.ArrayType(T.ArrayType(T.StringType())))])
+    kind, both_kind = to_arrow_type(fields), to_arrow_type(both)
 
     def tops(column):
-        return pa.array([
-            {"body_top": _top(units[0], top_n), "comments_top": _top(chain.from_iterable(units[1:]), top_n)}
-            for units in column.to_pylist()
-        ], kind)
+        units = column.flatten()
+        return pa.StructArray.from_arrays(_top_lists(_lengths(column), _lengths(units), units.flatten(), top_n), fields.names).cast(kind)
 
     @F.arrow_udf(fields)
     def finish(column: pa.Array) -> pa.Array:
         return in_slices(column, tops)
 
+    def cut_and_count(texts):
+        known, units = known_words(shared), _lengths(texts)
+        words, kinds, sizes, counts = known.pieces(texts.flatten().to_pylist(), known.spoken)
+        # As ``content_words`` has it, asked once for each tag.
+        kept = np.array([False, *map(is_content_tag, known.kinds)])[kinds] & (sizes > 1)
+        words = words.filter(pa.array(kept))
+        counts = np.diff(np.concatenate([[0], np.cumsum(kept)])[np.cumsum(counts)], prepend=0)
+        out = [*_top_lists(units, counts, words, top_n), _lists(units, _lists(counts, words))]
+        return pa.StructArray.from_arrays(out, both.names).cast(both_kind)
+
+    @F.arrow_udf(both)
+    def content_units(texts: pa.Array) -> pa.Array:
+        return in_slices(texts, cut_and_count)
+
     no_comments = F.array().cast(articles.schema["comments"].dataType)
     texts = F.concat(
         F.array(F.coalesce("content_raw", F.lit(""))),
         F.transform(F.coalesce("comments", no_comments), lambda c: F.coalesce(c["comment_content"], F.lit(""))),
     )
-    if segmented:
-        tagged = _cut_by_join(articles, lexicon) if joined else articles.withColumn("_tagged", cut_units(texts))
-        if method == "ckip":
-            units = F.transform("_tagged", content_words)
-        else:
-            units = F.transform("_tagged", lambda unit: term_array(F.transform(unit, lambda t: t["word"]), stop))
+    if segmented and method == "ckip" and not joined:
+        # Most words are dropped, so they are where they are cut, and the others counted.
+        done = articles.withColumn("_done", content_units(texts)).withColumn("_units", F.col("_done.units"))
     else:
-        tagged, units = articles, F.transform(texts, lambda text: term_array(sentences(text), stop))
-    done = tagged.withColumn("_units", units)
-    done = done.withColumn("_done", finish("_units"))
+        if joined:
+            tagged = _cut_by_join(articles, lexicon)
+            said = lambda unit: F.transform(unit, lambda t: t["word"])
+            units = F.transform("_tagged", lambda unit: content_words(unit) if method == "ckip" else term_array(said(unit), stop))
+        elif segmented:
+            tagged = articles.withColumn("_tagged", cut_units(texts))
+            units = F.transform("_tagged", lambda unit: term_array(unit, stop))
+        else:
+            tagged, units = articles, F.transform(texts, lambda text: term_array(sentences(text), stop))
+        done = tagged.withColumn("_units", units)
+        done = done.withColumn("_done", finish("_units"))
     comments = F.transform("comments", lambda c, i: c.withField("comment_keywords", F.get(F.col("_units"), i + 1)))
     return (
         done.withColumn("content_keywords", F.get("_units", F.lit(0)))
@@ -159,8 +174,32 @@ def _cut_by_join(articles, lexicon):
     return numbered.join(units, "_row", "left").select(*articles.columns, F.transform("_units", lambda u: u["tagged"]).alias("_tagged"))
 
 
-def _top(found, n):
-    return [{"word": w, "count": c} for w, c in Counter(found).most_common(n)]
+def _lengths(lists):
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _lists(lengths, values):
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), values)
+
+
+def _top_lists(units, counts, words, n):
+    """The n most frequent words of each article's body and of its comments, ties in first-seen order, as Arrow lists of words with
+    their counts. ``units`` says how many units an article has, the first being its body, and ``counts`` how many words a unit."""
+    article = np.repeat(np.arange(len(units)), units)
+    reply = np.arange(len(article)) != (np.cumsum(units) - units)[article]
+    coded = words.dictionary_encode(null_encoding="encode")
+    each = max(len(coded.dictionary), 1)
+    keys = np.repeat(2 * article + reply, counts) * each + coded.indices.to_numpy()
+    keys, first, times = np.unique(keys, return_index=True, return_counts=True)
+    order = np.lexsort((first, -times, keys // each))
+    group, word, times = (keys // each)[order], (keys % each)[order], times[order]
+    rank = np.arange(len(group)) - np.searchsorted(group, group)
+    out = []
+    for part in (0, 1):
+        own = (rank < n) & (group % 2 == part)
+        top = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(word[own])), pa.array(times[own])], ["word", "count"])
+        out.append(_lists(np.bincount(group[own] // 2, minlength=len(units)), top))
+    return out
 
 
 def pooled_words(articles, start, end):

@@ -32,7 +32,7 @@ def term_array(words, stop=STOP_WORDS):
 
 
 def is_content_tag(tag):
-    """Noun or verb tags."""
+    """Noun or verb tags, of a column or of one tag."""
     return tag.startswith("N") | tag.startswith("V")
 
 

@@ -1,6 +1,9 @@
 import random
 from collections import Counter
+from itertools import chain
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from hubbub.functions.times import time_range
@@ -112,3 +115,28 @@ def test_words_of_a_text_are_counted_inside_its_row(spark):
     alone = docs.where("doc_id < 4")
     for found in (counts.words_per_text(alone), counts.top_words_per_text(alone)):
         assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_top_lists_are_those_of_plain_counting():
+    rng = random.Random(4)
+    articles = [[[rng.choice("abcdefg") for _ in range(rng.randrange(9))] for _ in range(rng.randrange(1, 5))] for _ in range(60)]
+    units = list(chain.from_iterable(articles))
+    words = pa.array(list(chain.from_iterable(units)), pa.string())
+    for n in (1, 3, 50):
+        lists = counts._top_lists(np.array([len(a) for a in articles]), np.array([len(u) for u in units]), words, n)
+        body, comments = ([[(t["word"], t["count"]) for t in own] for own in part.to_pylist()] for part in lists)
+        assert body == [Counter(a[0]).most_common(n) for a in articles]
+        assert comments == [Counter(chain.from_iterable(a[1:])).most_common(n) for a in articles]
+
+
+def test_tagged_enrichment_crosses_to_python_once(spark):
+    """Words that are dropped by their tags never leave the worker that cuts them, and the others are counted there."""
+    docs = spark.createDataFrame([("u", "ab cd ab 台北", [("cd ab",), (None,)]), ("v", None, None)], "article_url string, content_raw string, comments array<struct<comment_content:string>>")
+    docs = docs.withColumn("comments", F.transform("comments", lambda c: c.withField("comment_keywords", F.lit(None).cast("array<string>"))))
+    lexicon = spark.createDataFrame([("ab", 2.0, "Na"), ("cd", 2.0, "VA"), ("台北", 1.0, "x")], "word string, weight double, tag string")
+    done = counts.enrich(docs, lexicon, "ckip", small=True)
+    assert done._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    u, v = sorted(done.collect(), key=lambda r: r.article_url)
+    assert u.content_keywords == ["ab", "cd", "ab"] and [c.comment_keywords for c in u.comments] == [["cd", "ab"], []]
+    assert [tuple(t) for t in u.content_top_key] == [("ab", 2), ("cd", 1)] and [tuple(t) for t in u.comments_top_key] == [("cd", 1), ("ab", 1)]
+    assert v.content_keywords == [] and v.comments is None and v.content_top_key == v.comments_top_key == []
