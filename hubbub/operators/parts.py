@@ -145,10 +145,11 @@ class Among:
         starts, ends, _ = tokens(codes, stops, self.kinds)
         block = self.kinds[np.minimum(codes[starts], len(self.kinds) - 1)] == BLOCK
         starts, ends = starts[block], ends[block]
-        fresh, first = np.unique(Hashes(codes, self.powers).whole(starts, ends), return_index=True)
-        new = self.blocks.find(fresh) < 0
-        self.blocks.put(fresh[new])
-        starts, ends = starts[first[new]], ends[first[new]]
+        hashes = Hashes(codes, self.powers).whole(starts, ends)
+        new = np.flatnonzero(self.blocks.find(hashes) < 0)
+        fresh, first = np.unique(hashes[new], return_index=True)
+        self.blocks.put(fresh)
+        starts, ends = starts[new[first]], ends[new[first]]
         codes = codes[stretches(starts, ends - starts)]
         hashes = Hashes(codes, self.powers)
         found = [(hits, hits + size) for hits, size in likely(codes, ends - starts, hashes, self.known, self.bits, self.sizes)]
