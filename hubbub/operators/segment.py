@@ -21,10 +21,10 @@ _HAN_FIRST, _HAN_LAST = ord("一"), ord("鿕")
 _HAN = re.compile(r"([一-鿕]+)")
 _RUN = re.compile(r"([a-zA-Z0-9]+(?:\.\d+)?%?)")
 _OUTSIDE = re.compile(f"[^{BLOCK_SET}]")
-# Blocks and their words remembered by a worker, about 24 bytes each; longer blocks are cut each time.
+# Blocks and their words remembered by a worker, about 32 and 8 bytes each; longer blocks are cut each time.
 _REMEMBERED, _SHORT = 1 << 21, 64
-# Characters looked at together, up to the end of a block.
-_WINDOW = 1 << 20
+# Characters looked at together, up to the end of a block: few enough for a core's own cache.
+_WINDOW = 1 << 18
 # Rows that are neighbours, as a power of two, and words of earlier neighbours that a task keeps.
 _NEAR_BITS, _LISTED = 10, 1 << 17
 # A word of a block in one number: its kind of tag, and its length below.
@@ -102,8 +102,8 @@ class Dictionary:
             data = np.frombuffer(text.encode(), np.uint8)[kept]
         else:
             codes = codes[kept]
-            width = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
-            offsets = np.concatenate([[0], np.cumsum(width)])[offsets]
+            more = (codes >= 0x80).view(np.int8) + (codes >= 0x800) + (codes >= 0x10000)
+            offsets += np.concatenate([[0], np.cumsum(more, dtype=np.int32)])[offsets]
             data = codes.astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass").encode()
         spoken = pa.StringArray.from_buffers(len(words), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data))
         before = np.concatenate([[0], np.cumsum(count)])[np.searchsorted(starts, stops)]
@@ -303,8 +303,8 @@ def by_join(units, lexicon, default_tag):
     near = F.shiftright("_row", _NEAR_BITS).alias("_near")
     found = parts_near(units.select(near, "text"), lexicon).join(lexicon, "word")
     none = lambda name: F.lit(None).cast(units.schema[name].dataType).alias(name)
-    words = found.select(*[F.col("word").alias("text") if c == "text" else none(c) for c in units.columns], "_near", "weight", "tag", F.lit(True).alias("_listed"))
-    said = units.select("*", near, *[F.lit(None).cast(lexicon.schema[c].dataType).alias(c) for c in ("weight", "tag")], F.lit(False).alias("_listed"))
+    words = found.select(*[F.col("word").alias("text") if c == "text" else none(c) for c in units.columns], "_near", "weight", "tag", F.lit(True))
+    said = units.select("*", near, *[F.lit(None).cast(lexicon.schema[c].dataType).alias(f"_{c}") for c in ("weight", "tag")], F.lit(False).alias("_listed"))
     rows = said.union(words).repartition("_near").sortWithinPartitions("_near", F.desc("_listed"))
 
     @F.arrow_udf(_TAGGED)
@@ -322,7 +322,7 @@ def by_join(units, lexicon, default_tag):
             yield pa.concat_arrays(out)
 
     # Not deterministic, because what it gives depends on the rows before: no filter may pass below it.
-    tagged = run.asNondeterministic()("text", "_near", "_listed", "weight", "tag")
+    tagged = run.asNondeterministic()("text", "_near", "_listed", "_weight", "_tag")
     return rows.withColumn("tagged", tagged).where(~F.col("_listed")).select(*units.columns, "tagged")
 
 

@@ -158,6 +158,7 @@ def test_join_over_many_neighbourhoods(spark, monkeypatch):
     make = lambda a, b: "".join(rng.choice("ab台北, ") for _ in range(rng.randrange(a, b)))
     lexicon = spark.createDataFrame([(w, float(rng.randrange(1, 9)), rng.choice(["N", None])) for w in {make(1, 5) for _ in range(80)}], "word string, weight double, tag string")
     texts = spark.createDataFrame([(rng.choice(["u", None]), i % 3, rng.choice([None, "", make(0, 60)])) for i in range(100)], "article_url string, unit_ix int, text string").repartition(3)
+    texts = texts.withColumns({"weight": F.lit("a unit's own"), "tag": F.lit(1)})
     near, far = (sorted(map(str, segment.segment(texts, lexicon, small=s).collect())) for s in (True, False))
     assert near == far and len(near) == 100
 
